@@ -1,0 +1,314 @@
+import datetime as dt
+
+import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from tablesync import KeySkew, SpecError, TableSpec, merge, merge_frames, overwrite
+from tablesync.catalog import set_properties, table_exists, table_info
+from tablesync.operators.merge import profile_keys
+from tablesync.plans import merge_table
+
+SCHEMA = "id int, a string, b int"
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def frame(spark, data, schema=SCHEMA):
+    return spark.createDataFrame(data, schema)
+
+
+def expected(old, new, n_keys=1):
+    """Nested-loop model of the merge."""
+    out, hit = [], set()
+    for o in old:
+        matches = [
+            i for i, n in enumerate(new)
+            if None not in o[:n_keys] and o[:n_keys] == n[:n_keys]
+        ]
+        hit.update(matches)
+        if not matches:
+            out.append(o)
+        for i in matches:
+            out.append(tuple(ov if nv is None else nv for nv, ov in zip(new[i], o)))
+    out += [n for i, n in enumerate(new) if i not in hit]
+    return sorted(out, key=repr)
+
+
+def test_rules(spark):
+    old = [(1, "x", 1), (2, "y", 2), (None, "nk", 0), (3, "d", 1), (3, "d", 2)]
+    new = [(2, None, 20), (4, "n", None), (None, "nk2", 1), (3, "e", None), (3, None, 9)]
+    got = rows(merge_frames(frame(spark, old), frame(spark, new), ["id"]))
+    assert got == expected(old, new)
+    assert (2, "y", 20) in got  # a null keeps the old value
+    assert (1, "x", 1) in got and (4, "n", None) in got
+    assert (None, "nk", 0) in got and (None, "nk2", 1) in got  # null keys match nothing
+    assert sum(r[0] == 3 for r in got) == 4  # repeated keys multiply
+
+
+def test_composite_key_and_odd_names(spark):
+    schema = "`k.1` int, `k 2` string, `v``x` int"
+    old = [(1, "a", 1), (1, "b", 2), (1, None, 3)]
+    new = [(1, "a", 10), (2, "a", 20), (1, None, 30)]
+    got = merge_frames(frame(spark, old, schema), frame(spark, new, schema), ["k.1", "k 2"])
+    assert got.columns == ["k.1", "k 2", "v`x"]
+    assert rows(got) == expected(old, new, 2)
+
+
+def test_same_result_however_keys_are_spread(spark):
+    old = [(i % 7 if i % 3 else 0, f"o{i}", i) for i in range(60)] + [(None, "z", 1)] * 4
+    new = [(i % 9 if i % 4 else 1, None if i % 2 else f"n{i}", i) for i in range(40)] + [(None, "y", 2)]
+    left, right = frame(spark, old).repartition(5), frame(spark, new).repartition(3)
+    hashes = {
+        r[0]: r[1] for r in left.union(right).where("id is not null").select("id", F.xxhash64("id")).distinct().collect()
+    }
+    plain = expected(old, new)
+    for skew in (
+        KeySkew(),
+        KeySkew(hot_old=(hashes[0],), splits=4),
+        KeySkew(hot_new=(hashes[1],), splits=3),
+        KeySkew(hot_old=(hashes[0], hashes[2]), hot_new=(hashes[1], hashes[8]), splits=5),
+        KeySkew(hot_old=(hashes[8],), hot_new=(hashes[0],), splits=2),
+    ):
+        assert rows(merge_frames(left, right, ["id"], skew)) == plain, skew
+
+
+def test_profile_finds_the_hot_key(spark):
+    df = spark.range(0, 40_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 11 == 0, F.lit(None)).otherwise(F.col("id") + 100).alias("id")
+    )
+    profile = profile_keys(df, ["id"], hot_key_rows=1000)
+    hot = df.where("id = 7").select(F.xxhash64("id")).first()[0]
+    assert list(profile.hot) == [hot]
+    assert profile.hot[hot] >= df.where("id = 7").count()
+    assert profile.rows == 40_000
+    assert profile.null_rows == df.where("id is null").count()
+    empty = profile_keys(df.where("id < -5"), ["id"], 10)
+    assert (empty.rows, empty.null_rows, empty.hot) == (0, 0, {})
+    nulls = profile_keys(df.where("id is null"), ["id"], 10)
+    assert nulls.rows == nulls.null_rows > 0 and nulls.hot == {}
+
+
+def test_skew_is_assigned_to_the_larger_side(spark):
+    from tablesync.operators.merge import KeyProfile
+
+    skew = KeySkew.of(KeyProfile(100, 0, {1: 50, 2: 10}), KeyProfile(100, 0, {2: 30, 3: 20}), 10)
+    assert (skew.hot_old, skew.hot_new, skew.null_keys, skew.splits) == ((1,), (2, 3), False, 6)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    st.dictionaries(st.integers(0, 12), st.tuples(st.sampled_from(["p", "q", None]), st.integers(0, 3) | st.none()), max_size=8),
+    st.dictionaries(st.integers(0, 12), st.tuples(st.sampled_from(["q", "r", None]), st.integers(0, 3) | st.none()), max_size=8),
+)
+def test_property_unique_keys(spark, old, new):
+    model = dict(old)
+    for k, v in new.items():
+        model[k] = tuple(n if n is not None else o for n, o in zip(v, old.get(k, (None, None))))
+    as_rows = lambda d: [(k, *v) for k, v in d.items()]
+    got = rows(merge_frames(frame(spark, as_rows(old)), frame(spark, as_rows(new)), ["id"]))
+    assert got == sorted(as_rows(model), key=repr)
+
+
+LAYOUTS = {
+    "plain": {},
+    "partitioned": {"partition_by": ["a"]},
+    "derived": {"derived": {"half": "b div 10"}},
+    "both": {"partition_by": ["a"], "derived": {"half": "b div 10"}},
+    "by_key": {"derived": {"k": "id % 3"}},
+    "key_and_derived": {"keys": ["id", "a"], "partition_by": ["a"], "derived": {"k": "id % 3"}},
+    "bucketed": {"bucket_by": ["id"], "num_buckets": 3},
+    "bucketed_partitioned": {"bucket_by": ["id"], "num_buckets": 2, "partition_by": ["a"]},
+}
+OLD = [(1, "x", 1), (2, "y", 12), (3, "x", 25), (4, None, 3), (5, "w", None), (9, "only", 4), (None, "x", 5)]
+NEW = [(2, "x", None), (3, None, 7), (4, "z", 31), (6, "v", 1), (7, None, None), (9, "x", None), (None, "q", 8)]
+
+
+def derived_value(layout, row):
+    if "half" in layout.get("derived", {}):
+        return (None if row[2] is None else str(row[2] // 10),)
+    if "k" in layout.get("derived", {}):
+        return (None if row[0] is None else str(row[0] % 3),)
+    return ()
+
+
+@pytest.mark.parametrize("external", [False, True])
+@pytest.mark.parametrize("rewrite", ["touched", "all"])
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_merge_table(spark, db, tmp_path, layout, external, rewrite):
+    options = {"keys": ["id"], **LAYOUTS[layout]}
+    if external:
+        options["path"] = str(tmp_path / "t")
+    spec = TableSpec(f"{db}.t", rewrite=rewrite, **options)
+    overwrite(frame(spark, OLD), spec)
+    before = table_info(spark, spec.table)
+    merge(frame(spark, NEW), spec)
+
+    want = sorted(
+        (r + derived_value(LAYOUTS[layout], r) for r in expected(OLD, NEW, len(spec.keys))), key=repr
+    )
+    names = ["id", "a", "b", *spec.derived]
+    assert rows(spark.table(spec.table).select(*names)) == want
+    after = table_info(spark, spec.table)
+    assert (after.external, after.location, after.partition_by, after.bucket_by, after.num_buckets) == (
+        external, before.location, before.partition_by, before.bucket_by, before.num_buckets
+    )
+    assert after.properties.get("tablesync.derived") == before.properties.get("tablesync.derived")
+    leftover = [t.name for t in spark.catalog.listTables(db) if t.name != "t"]
+    assert leftover == []
+    if after.partition_by:
+        # No stale directory comes back when partitions are registered again.
+        spark.sql(f"MSCK REPAIR TABLE {spec.table}")
+        assert rows(spark.table(spec.table).select(*names)) == want
+    # A second merge of the same rows changes nothing but the null-key rows.
+    merge(frame(spark, NEW), spec)
+    again = rows(spark.table(spec.table).select(*names).where("id is not null"))
+    assert again == [r for r in want if r[0] is not None] or len(spec.keys) > 1
+
+
+def test_untouched_partitions_keep_their_files(spark, db):
+    spec = TableSpec(f"{db}.t", keys=["id"], partition_by=["a"])
+    many = [(i, f"p{i % 10}", i) for i in range(100)]
+    overwrite(frame(spark, many), spec)
+    files = lambda: {
+        r[0]: r[1] for r in spark.table(spec.table).select("a", "_metadata.file_path").distinct().collect()
+    }
+    before = files()
+    merge(frame(spark, [(3, "p4", 0), (1000, "p5", 1)]), spec)
+    after = files()
+    assert {p for p in before if before[p] != after.get(p)} == {"p3", "p4", "p5"}
+
+
+def test_derived_value_outside_the_read_partitions(spark, db):
+    # The merged row mixes old and new columns, so its partition is that of neither.
+    spec = TableSpec(f"{db}.t", keys=["id"], derived={"d": "concat(coalesce(a, '-'), coalesce(b, 0))"})
+    old = [(i, "abcdefgh"[i], i) for i in range(8)]
+    overwrite(frame(spark, old), spec)
+    merge(frame(spark, [(2, None, 50)]), spec)
+    got = {r[0]: r for r in rows(spark.table(spec.table))}
+    assert got[2] == (2, "c", 50, "c50") and len(got) == 8
+
+
+def test_guard_stops_rows_that_left_the_read_partitions(spark, db):
+    spec = TableSpec(f"{db}.t", keys=["id"], partition_by=["a"])
+    overwrite(frame(spark, [(1, "x", 1), (2, "y", 2)]), spec)
+    touched = merge_table._Touched(("a",), (("x",),), frozenset())
+    with pytest.raises(Exception, match="left the touched partitions"):
+        merge_table._overwrite_in_place(
+            frame(spark, [(2, "y", 9)]).select("id", "b", "a"), spark.table(spec.table), spec, touched
+        )
+    assert spark.table(spec.table).count() == 2
+
+
+def test_changed_derivation_rewrites_everything(spark, db):
+    spec = TableSpec(f"{db}.t", keys=["id"], derived={"d": "b div 10"})
+    overwrite(frame(spark, [(1, "x", 10), (2, "y", 25)]), spec)
+    merge(frame(spark, [(2, "z", None)]), TableSpec(f"{db}.t", keys=["id"], derived={"d": "b % 10"}))
+    assert rows(spark.table(spec.table)) == [(1, "x", 10, "0"), (2, "z", 25, "5")]
+
+
+def test_merge_errors(spark, db):
+    overwrite(frame(spark, OLD), TableSpec(f"{db}.t"))
+    with pytest.raises(SpecError, match="needs keys"):
+        merge(frame(spark, NEW), TableSpec(f"{db}.t"))
+    with pytest.raises(SpecError, match="not in the data"):
+        merge(frame(spark, NEW), TableSpec(f"{db}.t", keys=["nope"]))
+    with pytest.raises(SpecError, match="missing .'b'."):
+        merge(frame(spark, NEW).drop("b"), TableSpec(f"{db}.t", keys=["id"]))
+    with pytest.raises(SpecError, match="unknown .'c'."):
+        merge(frame(spark, NEW).withColumn("c", F.lit(1)), TableSpec(f"{db}.t", keys=["id"]))
+    twice = frame(spark, [(1, "p", 1), (1, "q", 2)])
+    with pytest.raises(SpecError, match="incoming rows repeat the merge key id=1"):
+        merge(twice, TableSpec(f"{db}.t", keys=["id"], duplicate_keys="error"))
+    assert rows(spark.table(f"{db}.t")) == sorted(OLD, key=repr)
+    merge(frame(spark, NEW), TableSpec(f"{db}.t", keys=["id"], duplicate_keys="error"))
+    assert rows(spark.table(f"{db}.t")) == expected(OLD, NEW)
+
+
+def test_missing_table_and_types_of_the_table(spark, db):
+    merge(frame(spark, OLD), TableSpec(f"{db}.t"))  # no keys needed yet
+    assert rows(spark.table(f"{db}.t")) == sorted(OLD, key=repr)
+    incoming = spark.createDataFrame([(1, dt.date(2020, 1, 2), 5)], "ID long, A date, B long")
+    merge(incoming, TableSpec(f"{db}.t", keys=["ID"]))
+    table = spark.table(f"{db}.t")
+    assert [f.dataType.simpleString() for f in table.schema] == ["int", "string", "int"]
+    assert (1, "2020-01-02", 5) in rows(table)
+
+
+def test_hot_keys_through_the_table(spark, db):
+    old = [(0 if i % 3 == 0 else i, f"o{i}", i) for i in range(300)]
+    new = [(0, "hot", None)] + [(i, None, -i) for i in range(200, 500)]
+    spec = TableSpec(f"{db}.t", keys=["id"], hot_key_rows=20)
+    overwrite(frame(spark, old), spec)
+    merge(frame(spark, new), spec)
+    assert rows(spark.table(spec.table)) == expected(old, new)
+
+
+@pytest.mark.parametrize("stage_incoming", [True, False])
+def test_without_staging_the_incoming_rows(spark, db, stage_incoming):
+    spec = TableSpec(f"{db}.t", keys=["id"], partition_by=["a"], stage_incoming=stage_incoming)
+    overwrite(frame(spark, OLD), spec)
+    merge(frame(spark, NEW), spec)
+    assert rows(spark.table(spec.table).select("id", "a", "b")) == expected(OLD, NEW)
+
+
+def broken_off(spark, monkeypatch, spec, where):
+    """Merge, failing at the named step."""
+
+    def fail(*args, **kwargs):
+        raise RuntimeError("broken off")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(merge_table, where, fail)
+        with pytest.raises(RuntimeError):
+            merge(frame(spark, NEW), spec)
+
+
+@pytest.mark.parametrize(
+    "options, where",
+    [
+        ({}, "_take_over"),
+        ({}, "rename_table"),
+        ({"path": True}, "_publish_stage"),
+        ({"path": True}, "_replay"),
+        ({"path": True, "partition_by": ["a"]}, "_replay"),
+        ({"path": True, "partition_by": ["a"]}, "_insert_dynamic"),
+    ],
+)
+def test_recovery(spark, db, tmp_path, monkeypatch, options, where):
+    if options.get("path"):
+        options = {**options, "path": str(tmp_path / "t")}
+    spec = TableSpec(f"{db}.t", keys=["id"], **options)
+    overwrite(frame(spark, OLD), spec)
+    broken_off(spark, monkeypatch, spec, where)
+    merge_table.recover(spark, spec.table)
+    got = rows(spark.table(spec.table).select("id", "a", "b"))
+    complete = where in ("rename_table", "_replay", "_insert_dynamic")
+    assert got == (expected(OLD, NEW) if complete else sorted(OLD, key=repr))
+    assert [t.name for t in spark.catalog.listTables(db)] == ["t"]
+
+
+def test_stage_in_the_shared_folder(spark, db, tmp_path, monkeypatch):
+    monkeypatch.setattr(merge_table, "shared_folder", lambda _: str(tmp_path / "shared"))
+    spec = TableSpec(f"{db}.t", keys=["id"], path=str(tmp_path / "t"))
+    overwrite(frame(spark, OLD), spec)
+    merge(frame(spark, NEW), spec)
+    assert rows(spark.table(spec.table)) == expected(OLD, NEW)
+    assert (tmp_path / "shared" / merge_table.STAGE_SCHEMA).exists()
+    assert spark.catalog.listTables(merge_table.STAGE_SCHEMA) == []
+    spark.sql(f"DROP SCHEMA {merge_table.STAGE_SCHEMA}")
+
+
+def test_bucketed_merge_shuffles_one_side(spark, db):
+    df = spark.range(1000).select(F.col("id").cast("int").alias("id"), F.lit("x").alias("a"), F.lit(1).alias("b"))
+    overwrite(df, TableSpec(f"{db}.t", bucket_by=["id"], num_buckets=8))
+    with_conf = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = merge_frames(spark.table(f"{db}.t"), df, ["id"], KeySkew(null_keys=False))
+        text = plan._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", with_conf)
+    assert text.count("Exchange hashpartitioning") == 1, text
