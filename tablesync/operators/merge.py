@@ -71,20 +71,29 @@ def _key_hash(names: Sequence[str]) -> Column:
     return F.xxhash64(*[column(n) for n in names])
 
 
-def profile_keys(df: DataFrame, keys: Sequence[str], hot_key_rows: int) -> KeyProfile:
-    """Count rows and null keys and find the keys with ``hot_key_rows`` rows or more.
-
-    Reads the key columns of all rows once. Each task folds its rows into one
-    sketch of bounded size; the sketches are combined in two steps, so neither a
-    task nor the driver ever holds more than a bounded number of them.
+def profile_keys(
+    old: DataFrame, new: DataFrame, keys: Sequence[str], hot_key_rows: int
+) -> tuple[KeyProfile, KeyProfile]:
+    """Count rows and null keys and find the keys with ``hot_key_rows`` rows or
+    more, per side.
+
+    Reads the key columns of all rows once, in one job. Each task folds its rows
+    into one sketch of bounded size; the sketches are combined in two steps, so
+    neither a task nor the driver ever holds more than a bounded number of them.
     """
-    per_group = (
-        df.select(
+
+    def tagged(side: str, df: DataFrame) -> DataFrame:
+        return df.select(
+            F.lit(side).alias("side"),
             _any_null(keys).alias("no_key"),
             _key_hash(keys).alias("key_hash"),
             F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias("sketch_group"),
         )
-        .groupBy("sketch_group")
+
+    per_group = (
+        tagged("old", old)
+        .unionAll(tagged("new", new))
+        .groupBy("side", "sketch_group")
         .agg(
             F.count("*").alias("row_count"),
             F.count_if("no_key").alias("null_rows"),
@@ -93,24 +102,31 @@ def profile_keys(df: DataFrame, keys: Sequence[str], hot_key_rows: int) -> KeyPr
             ).alias("sketch"),
         )
     )
-    found = (
-        per_group.groupBy(F.lit(True).alias("every"))  # no group, no row: combine fails on none
+    sides = (
+        per_group.groupBy("side")
         .agg(
             F.sum("row_count").alias("row_count"),
             F.sum("null_rows").alias("null_rows"),
             F.expr(f"approx_top_k_combine(sketch, {_TRACKED_KEYS})").alias("sketch"),
         )
         .select(
+            "side",
             "row_count",
             "null_rows",
             F.expr(f"approx_top_k_estimate(sketch, {_MAX_HOT_KEYS})").alias("top"),
         )
-        .first()
+        .collect()  # two rows at most
     )
-    if found is None:
-        return KeyProfile(0, 0, {})
-    hot = {t["item"]: t["count"] for t in found["top"] or [] if t["count"] >= hot_key_rows}
-    return KeyProfile(found["row_count"], found["null_rows"], hot)
+    found = {
+        s["side"]: KeyProfile(
+            s["row_count"],
+            s["null_rows"],
+            {t["item"]: t["count"] for t in s["top"] or [] if t["count"] >= hot_key_rows},
+        )
+        for s in sides
+    }
+    nothing = KeyProfile(0, 0, {})
+    return found.get("old", nothing), found.get("new", nothing)
 
 
 def check_unique(df: DataFrame, keys: Sequence[str], side: str) -> None:

@@ -20,7 +20,6 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 
 from tablesync.catalog import (
@@ -48,10 +47,18 @@ _READY = "tablesync.stage.ready"
 _TARGET_PATH = "tablesync.stage.path"
 _EMPTIED = "tablesync.stage.emptied."
 _WHOLE, _TOUCHED = "whole", "touched"
+_LEFT = "tablesync: a merged row left the touched partitions"
 
 # Beyond this many touched partitions the whole table is rewritten.
 _MAX_TOUCHED = 10_000
 
+# SQL functions whose value is not a function of the row.
+_UNSTABLE = (
+    "curdate", "current_date", "current_timestamp", "input_file_name", "localtimestamp",
+    "monotonically_increasing_id", "now", "rand", "randn", "random", "randstr", "shuffle",
+    "spark_partition_id", "uniform", "uuid",
+)
+
 # File systems on which renaming a directory moves no data.
 _CHEAP_RENAME = ("file", "hdfs", "viewfs", "abfs", "abfss")
 
@@ -105,7 +112,7 @@ def merge(df: DataFrame, spec: TableSpec) -> None:
         same_derivation = info.properties.get(write.DERIVED_PROPERTY) == (
             json.dumps(asked) if asked else None
         )
-        if info.partition_by and spec.rewrite == "touched" and same_derivation:
+        if info.partition_by and spec.rewrite == "touched" and same_derivation and _stable(spec):
             if _merge_touched(target, new, spec, info.external):
                 return
         _merge_whole(old, new, spec, info)
@@ -118,12 +125,8 @@ def _merged(old: DataFrame, new: DataFrame, spec: TableSpec) -> DataFrame:
     """The merge of two frames, planned for the keys they hold."""
     if spec.duplicate_keys == "error":  # then only null keys can be many
         return merge_frames(old, new, spec.keys)
-    skew = KeySkew.of(
-        profile_keys(old, spec.keys, spec.hot_key_rows),
-        profile_keys(new, spec.keys, spec.hot_key_rows),
-        spec.hot_key_rows,
-    )
-    return merge_frames(old, new, spec.keys, skew)
+    profiles = profile_keys(old, new, spec.keys, spec.hot_key_rows)
+    return merge_frames(old, new, spec.keys, KeySkew.of(*profiles, spec.hot_key_rows))
 
 
 # --- touched partitions -----------------------------------------------------
@@ -155,15 +158,26 @@ def _partition_rows(df: DataFrame, columns: Sequence[str]) -> list[Row] | None:
     return None if len(found) > _MAX_TOUCHED else found
 
 
-def _follows_from_keys(new: DataFrame, spec: TableSpec) -> bool:
+def _mentions(expression: str, name: str) -> bool:
+    """Whether the name occurs in the text; may say yes where it is no column."""
+    text, word = expression.lower(), name.lower()
+    if re.fullmatch(r"\w+", word):
+        return re.search(rf"(?<!\w){word}(?!\w)", text) is not None
+    return word.replace("`", "``") in text
+
+
+def _stable(spec: TableSpec) -> bool:
+    """Whether derived values depend on the row alone."""
+    return not any(_mentions(e, f) for e in spec.derived.values() for f in _UNSTABLE)
+
+
+def _follows_from_keys(columns: Sequence[str], spec: TableSpec) -> bool:
     """Whether the merge key alone decides the partition of a row."""
-    if any(c not in spec.keys for c in spec.partition_columns if c not in spec.derived):
-        return False
-    try:
-        add_derived(new.select(*[column(k) for k in spec.keys]), spec.derived).schema
-    except AnalysisException:
-        return False
-    return True
+    plain = [c for c in spec.partition_columns if c not in spec.derived]
+    others = [c for c in columns if c not in spec.keys]
+    return set(plain) <= set(spec.keys) and not any(
+        _mentions(e, c) for e in spec.derived.values() for c in others
+    )
 
 
 def _find_touched(target: DataFrame, new: DataFrame, spec: TableSpec, by_key: bool) -> _Touched | None:
@@ -189,7 +203,7 @@ def _find_touched(target: DataFrame, new: DataFrame, spec: TableSpec, by_key: bo
 def _merge_touched(target: DataFrame, new: DataFrame, spec: TableSpec, external: bool) -> bool:
     """Rewrite only the partitions the incoming rows touch; False if that is not the way."""
     spark = target.sparkSession
-    by_key = _follows_from_keys(new, spec)
+    by_key = _follows_from_keys(new.columns, spec)
     touched = _find_touched(target, new, spec, by_key)
     if touched is None:
         return False
@@ -203,8 +217,7 @@ def _merge_touched(target: DataFrame, new: DataFrame, spec: TableSpec, external:
     old = target.where(touched.holds()).drop(*spec.derived)
     merged = add_derived(_merged(old, new, spec), spec.derived)
     if by_key:
-        _overwrite_in_place(merged, target, spec, touched)
-        return True
+        return _overwrite_in_place(merged, target, spec, touched)
 
     stage = stage_name(spark, spec.table)
     drop_table(spark, stage)
@@ -220,17 +233,22 @@ def _merge_touched(target: DataFrame, new: DataFrame, spec: TableSpec, external:
     return True
 
 
-def _overwrite_in_place(merged: DataFrame, target: DataFrame, spec: TableSpec, touched: _Touched) -> None:
-    """One dynamic overwrite. A row for a partition that was not read fails the
-    job before its commit, as it would replace rows that are not in the result."""
-    guard = {
-        c: F.when(touched.holds(), column(c)).otherwise(
-            F.raise_error(F.lit(f"{spec.table}: a merged row left the touched partitions"))
-        )
-        for c in spec.partition_columns[:1]
-    }
-    shaped = merged.withColumns(guard).select(*[column(c) for c in target.columns])
-    _insert_dynamic(_laid_out(shaped, spec), spec.table)
+def _overwrite_in_place(
+    merged: DataFrame, target: DataFrame, spec: TableSpec, touched: _Touched
+) -> bool:
+    """One dynamic overwrite. A row for a partition that was not read would replace
+    rows that are not in the result, so it fails the job before anything is
+    committed; then this returns False."""
+    first = spec.partition_columns[0]
+    guarded = F.when(touched.holds(), column(first)).otherwise(F.raise_error(F.lit(_LEFT)))
+    shaped = merged.withColumn(first, guarded).select(*[column(c) for c in target.columns])
+    try:
+        _insert_dynamic(_laid_out(shaped, spec), spec.table)
+    except Exception as error:
+        if _LEFT in str(error):
+            return False
+        raise
+    return True
 
 
 def _insert_dynamic(df: DataFrame, table: str) -> None:

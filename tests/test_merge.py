@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tablesync import KeySkew, SpecError, TableSpec, merge, merge_frames, overwrite
 from tablesync.catalog import set_properties, table_exists, table_info
-from tablesync.operators.merge import profile_keys
+from tablesync.operators.merge import KeyProfile, profile_keys
 from tablesync.plans import merge_table
 
 SCHEMA = "id int, a string, b int"
@@ -79,21 +79,18 @@ def test_profile_finds_the_hot_key(spark):
     df = spark.range(0, 40_000, 1, 8).select(
         F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 11 == 0, F.lit(None)).otherwise(F.col("id") + 100).alias("id")
     )
-    profile = profile_keys(df, ["id"], hot_key_rows=1000)
+    few = df.where("id is null")
+    profile, nulls = profile_keys(df, few, ["id"], hot_key_rows=1000)
     hot = df.where("id = 7").select(F.xxhash64("id")).first()[0]
     assert list(profile.hot) == [hot]
     assert profile.hot[hot] >= df.where("id = 7").count()
-    assert profile.rows == 40_000
-    assert profile.null_rows == df.where("id is null").count()
-    empty = profile_keys(df.where("id < -5"), ["id"], 10)
-    assert (empty.rows, empty.null_rows, empty.hot) == (0, 0, {})
-    nulls = profile_keys(df.where("id is null"), ["id"], 10)
-    assert nulls.rows == nulls.null_rows > 0 and nulls.hot == {}
+    assert (profile.rows, profile.null_rows) == (40_000, few.count())
+    assert nulls.rows == nulls.null_rows == few.count() and nulls.hot == {}
+    empty = profile_keys(df.where("id < -5"), df.where("id < -5"), ["id"], 10)
+    assert empty == (KeyProfile(0, 0, {}), KeyProfile(0, 0, {}))
 
 
 def test_skew_is_assigned_to_the_larger_side(spark):
-    from tablesync.operators.merge import KeyProfile
-
     skew = KeySkew.of(KeyProfile(100, 0, {1: 50, 2: 10}), KeyProfile(100, 0, {2: 30, 3: 20}), 10)
     assert (skew.hot_old, skew.hot_new, skew.null_keys, skew.splits) == ((1,), (2, 3), False, 6)
 
@@ -112,6 +109,14 @@ def test_property_unique_keys(spark, old, new):
     assert got == sorted(as_rows(model), key=repr)
 
 
+def leftovers(spark, db):
+    shared = spark.catalog.databaseExists(merge_table.STAGE_SCHEMA)
+    staged = spark.catalog.listTables(merge_table.STAGE_SCHEMA) if shared else []
+    return [t.name for t in spark.catalog.listTables(db) if t.name != "t"] + [
+        t.name for t in staged if t.name.startswith(db)
+    ]
+
+
 LAYOUTS = {
     "plain": {},
     "partitioned": {"partition_by": ["a"]},
@@ -156,8 +161,7 @@ def test_merge_table(spark, db, tmp_path, layout, external, rewrite):
         external, before.location, before.partition_by, before.bucket_by, before.num_buckets
     )
     assert after.properties.get("tablesync.derived") == before.properties.get("tablesync.derived")
-    leftover = [t.name for t in spark.catalog.listTables(db) if t.name != "t"]
-    assert leftover == []
+    assert leftovers(spark, db) == []
     if after.partition_by:
         # No stale directory comes back when partitions are registered again.
         spark.sql(f"MSCK REPAIR TABLE {spec.table}")
@@ -195,11 +199,19 @@ def test_guard_stops_rows_that_left_the_read_partitions(spark, db):
     spec = TableSpec(f"{db}.t", keys=["id"], partition_by=["a"])
     overwrite(frame(spark, [(1, "x", 1), (2, "y", 2)]), spec)
     touched = merge_table._Touched(("a",), (("x",),), frozenset())
-    with pytest.raises(Exception, match="left the touched partitions"):
-        merge_table._overwrite_in_place(
-            frame(spark, [(2, "y", 9)]).select("id", "b", "a"), spark.table(spec.table), spec, touched
-        )
-    assert spark.table(spec.table).count() == 2
+    moved = frame(spark, [(2, "y", 9)]).select("id", "b", "a")
+    assert not merge_table._overwrite_in_place(moved, spark.table(spec.table), spec, touched)
+    assert rows(spark.table(spec.table)) == [(1, 1, "x"), (2, 2, "y")]
+
+
+def test_which_partitions_follow_from_the_key():
+    columns = ["id", "day", "a.b"]
+    follows = lambda **o: merge_table._follows_from_keys(columns, TableSpec("d.t", keys=["id"], **o))
+    assert follows(partition_by=["id"]) and follows(derived={"p": "id % 10"})
+    assert not follows(partition_by=["day"]) and not follows(derived={"p": "year(DAY)"})
+    assert not follows(derived={"p": "concat(id, `a.b`)"})
+    stable = lambda e: merge_table._stable(TableSpec("d.t", derived={"p": e}))
+    assert stable("year(day)") and not stable("CURRENT_DATE()") and not stable("id + rand()")
 
 
 def test_changed_derivation_rewrites_everything(spark, db):
@@ -287,18 +299,18 @@ def test_recovery(spark, db, tmp_path, monkeypatch, options, where):
     got = rows(spark.table(spec.table).select("id", "a", "b"))
     complete = where in ("rename_table", "_replay", "_insert_dynamic")
     assert got == (expected(OLD, NEW) if complete else sorted(OLD, key=repr))
-    assert [t.name for t in spark.catalog.listTables(db)] == ["t"]
+    assert leftovers(spark, db) == []
 
 
 def test_stage_in_the_shared_folder(spark, db, tmp_path, monkeypatch):
     monkeypatch.setattr(merge_table, "shared_folder", lambda _: str(tmp_path / "shared"))
+    monkeypatch.setattr(merge_table, "STAGE_SCHEMA", "stage_here")
     spec = TableSpec(f"{db}.t", keys=["id"], path=str(tmp_path / "t"))
     overwrite(frame(spark, OLD), spec)
     merge(frame(spark, NEW), spec)
     assert rows(spark.table(spec.table)) == expected(OLD, NEW)
-    assert (tmp_path / "shared" / merge_table.STAGE_SCHEMA).exists()
-    assert spark.catalog.listTables(merge_table.STAGE_SCHEMA) == []
-    spark.sql(f"DROP SCHEMA {merge_table.STAGE_SCHEMA}")
+    assert (tmp_path / "shared" / "stage_here").exists()
+    assert spark.catalog.listTables("stage_here") == []
 
 
 def test_bucketed_merge_shuffles_one_side(spark, db):
