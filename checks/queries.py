@@ -316,7 +316,7 @@ def merge_hot_key(w: Workspace) -> DataFrame:
     events = w.read("events").select("event_id", "event_type", "user_id", "value")
     types = events.select("event_type").distinct()
     hot_old, hot_new = types.agg(F.min("event_type"), F.max("event_type")).first()
-    spec = w.spec(keys=["event_id"], hot_key_rows=100)
+    spec = w.spec(keys=["event_id"], hot_key_rows=100, broadcast_bytes=0)
 
     def keyed(hot: str, key: int) -> DataFrame:
         return events.withColumn(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from tablesync.catalog import quote
 from tablesync.spec import SpecError
 
-_NESTED = (T.StructType, T.ArrayType, T.MapType)
+NESTED = (T.StructType, T.ArrayType, T.MapType)
 _TEMPORAL = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 # The patterns and the decimal type of typed ingest.
@@ -24,7 +24,7 @@ def column(name: str) -> Column:
 
 
 def nested_columns(schema: T.StructType) -> list[str]:
-    return [f.name for f in schema if isinstance(f.dataType, _NESTED)]
+    return [f.name for f in schema if isinstance(f.dataType, NESTED)]
 
 
 def nested_to_json(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -98,7 +98,7 @@ def _fits(source: T.DataType, target: T.DataType) -> bool:
     if source == target or isinstance(source, T.NullType):
         return True
     if isinstance(target, T.StringType):
-        return not isinstance(source, _NESTED)
+        return not isinstance(source, NESTED)
     if isinstance(source, T.NumericType) and isinstance(target, T.NumericType):
         return True
     return isinstance(source, _TEMPORAL) and isinstance(target, _TEMPORAL)

@@ -8,6 +8,9 @@ A full outer join sends every row of one key to one task and adaptive execution
 cannot split it, so two kinds of rows are kept out of it: rows with a null key
 (they go straight to the result, with no shuffle) and the rows of the few keys
 that hold a large share of a side (they are spread over many tasks).
+
+Incoming rows known to be few take another way: they are broadcast, the old side
+is only streamed past them and never shuffled, and skew does not matter.
 """
 
 from __future__ import annotations
@@ -17,9 +20,9 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tablesync.functions.columns import column, prefer_new
+from tablesync.functions.columns import NESTED, column, prefer_new
 from tablesync.spec import SpecError
 
 # The sketch keeps this many candidate keys per task; a key with more than about
@@ -143,6 +146,19 @@ def check_unique(df: DataFrame, keys: Sequence[str], side: str) -> None:
         raise SpecError(f"{side} rows repeat the merge key {shown} ({repeated['row_count']} rows)")
 
 
+def row_bytes(schema: T.StructType) -> Column:
+    """About how much memory a row takes: text by its length, the rest by word."""
+    width = F.lit(16 + 8 * len(schema)).cast("bigint")
+    for field in schema:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            width += F.coalesce(F.octet_length(column(field.name)), F.lit(0))
+        elif isinstance(field.dataType, NESTED):
+            width += F.coalesce(F.octet_length(F.to_json(column(field.name))), F.lit(0))
+        elif isinstance(field.dataType, T.DecimalType):
+            width += F.lit(16)
+    return width
+
+
 class _Merge:
     """Names both sides apart by position, so that any column name is safe."""
 
@@ -188,6 +204,49 @@ class _Merge:
         return [self.picked(matched), self.plain(unmatched, s)]
 
 
+def _checked(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> _Merge:
+    if not keys:
+        raise SpecError("merge needs keys")
+    if set(old.columns) != set(new.columns):
+        raise SpecError(
+            f"columns differ: only old {sorted(set(old.columns) - set(new.columns))}, "
+            f"only incoming {sorted(set(new.columns) - set(old.columns))}"
+        )
+    return _Merge(old.columns, keys)
+
+
+def merge_few(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Merge incoming rows that are few enough to broadcast; the caller has checked.
+
+    The old side is read twice, once in full and once for its keys alone, to tell
+    which incoming rows are new. Its rows stay in the tasks that read them.
+    """
+    merge = _checked(old, new, keys)
+    left, right = merge.side(old, "o"), merge.side(new, "n")
+    updated = merge.picked(left.join(F.broadcast(right), merge.on(), "left_outer"))
+    # At most one row per incoming key.
+    present = (
+        left.select(*merge.names("o"))
+        .join(F.broadcast(right.select(*merge.names("n"))), merge.on(), "left_semi")
+        .distinct()
+    )
+    inserted = right.join(F.broadcast(present), merge.on("n", "o"), "left_anti")
+    return updated.unionAll(merge.plain(inserted, "n"))
+
+
+def merge_matched(old: DataFrame, new: DataFrame, keys: Sequence[str], carried: str) -> DataFrame:
+    """The merged rows of keys found in both sides, with one more old column."""
+    merge = _checked(old.drop(carried), new, keys)
+    left = old.select(
+        *[column(c).alias(f"o{i}") for i, c in enumerate(merge.columns)], column(carried)
+    )
+    joined = left.join(merge.side(new, "n"), merge.on())
+    kept = [
+        prefer_new(F.col(f"n{i}"), F.col(f"o{i}")).alias(c) for i, c in enumerate(merge.columns)
+    ]
+    return joined.select(*kept, column(carried))
+
+
 def merge_frames(
     old: DataFrame, new: DataFrame, keys: Sequence[str], skew: KeySkew = KeySkew()
 ) -> DataFrame:
@@ -196,14 +255,7 @@ def merge_frames(
     ``skew`` only moves rows between branches of the plan; the result is the
     same for any value that does not deny null keys which are there.
     """
-    if not keys:
-        raise SpecError("merge needs keys")
-    if set(old.columns) != set(new.columns):
-        raise SpecError(
-            f"columns differ: only old {sorted(set(old.columns) - set(new.columns))}, "
-            f"only incoming {sorted(set(new.columns) - set(old.columns))}"
-        )
-    merge = _Merge(old.columns, keys)
+    merge = _checked(old, new, keys)
     left, right = merge.side(old, "o"), merge.side(new, "n")
     branches: list[DataFrame] = []
 

@@ -2,12 +2,13 @@
 
 Three ways to publish the merged rows, chosen per merge:
 
-* *in place* -- the partition of a row follows from its merge key, so no row can
-  change partition. The partitions of the incoming rows are read, merged and
-  overwritten in one dynamic partition overwrite: each row is written once.
-* *staged* -- rows may change partition, or the table is external. The merged
-  rows of the touched partitions (or of the whole table) are written to a stage
-  table, which then replaces them. The stage is kept until that has succeeded.
+* *in place* -- no row changes partition, either because the partition follows
+  from the merge key or because one look at the matched rows says so. The touched
+  partitions are read, merged and overwritten in one dynamic partition overwrite:
+  each row is written once.
+* *staged* -- rows change partition, or the table is external. The merged rows of
+  the touched partitions (or of the whole table) are written to a stage table,
+  which then replaces them. The stage is kept until that has succeeded.
 * *renamed* -- a managed table of which most must be rewritten: the merged rows
   are written once to a new table, which takes the place of the old one.
 """
@@ -20,9 +21,10 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
 
 from tablesync.catalog import (
+    TableInfo,
     drop_table,
     ensure_schema,
     qualified,
@@ -36,9 +38,17 @@ from tablesync.catalog import (
     table_info,
     text_literal,
 )
-from tablesync.functions.columns import add_derived, column, conform
+from tablesync.functions.columns import add_derived, column, conform, partition_columns_last
 from tablesync.operators.layout import lay_out
-from tablesync.operators.merge import KeySkew, check_unique, merge_frames, profile_keys
+from tablesync.operators.merge import (
+    KeySkew,
+    check_unique,
+    merge_few,
+    merge_frames,
+    merge_matched,
+    profile_keys,
+    row_bytes,
+)
 from tablesync.plans import write
 from tablesync.spec import SpecError, TableSpec
 
@@ -102,9 +112,7 @@ def merge(df: DataFrame, spec: TableSpec) -> None:
     spec = replace(spec, keys=[k if k in old.columns else named[k.lower()] for k in spec.keys])
     incoming = stage_name(spark, spec.table, "incoming")
     try:
-        if spec.stage_incoming:
-            new.write.format("orc").mode("overwrite").saveAsTable(qualified(spark, incoming))
-            new = spark.table(qualified(spark, incoming))
+        new, few = _take_in(new, spec, incoming)
         if spec.duplicate_keys == "error":
             check_unique(new, spec.keys, "incoming")
             check_unique(old, spec.keys, "existing")
@@ -113,16 +121,34 @@ def merge(df: DataFrame, spec: TableSpec) -> None:
             json.dumps(asked) if asked else None
         )
         if info.partition_by and spec.rewrite == "touched" and same_derivation and _stable(spec):
-            if _merge_touched(target, new, spec, info.external):
+            if _merge_touched(target, new, spec, few, info.external):
                 return
-        _merge_whole(old, new, spec, info)
+        _merge_whole(old, new, spec, few, info)
     finally:
         if spec.stage_incoming:
             drop_table(spark, incoming)
 
 
-def _merged(old: DataFrame, new: DataFrame, spec: TableSpec) -> DataFrame:
-    """The merge of two frames, planned for the keys they hold."""
+def _take_in(new: DataFrame, spec: TableSpec, stage: str) -> tuple[DataFrame, bool]:
+    """The incoming rows, staged if asked for, and whether they may be broadcast.
+
+    Their size is measured on all rows, while they are staged."""
+    spark = new.sparkSession
+    size = F.sum(row_bytes(new.schema)).alias("bytes")
+    if spec.stage_incoming:
+        seen = Observation()
+        staged = new.observe(seen, size)
+        staged.write.format("orc").mode("overwrite").saveAsTable(qualified(spark, stage))
+        new, measured = spark.table(qualified(spark, stage)), seen.get["bytes"]
+    else:
+        measured = new.agg(size).first()["bytes"] if spec.broadcast_bytes else None
+    return new, (measured or 0) <= spec.broadcast_bytes
+
+
+def _merged(old: DataFrame, new: DataFrame, spec: TableSpec, few: bool) -> DataFrame:
+    """The merge of two frames, planned for their size and the keys they hold."""
+    if few:
+        return merge_few(old, new, spec.keys)
     if spec.duplicate_keys == "error":  # then only null keys can be many
         return merge_frames(old, new, spec.keys)
     profiles = profile_keys(old, new, spec.keys, spec.hot_key_rows)
@@ -134,11 +160,12 @@ def _merged(old: DataFrame, new: DataFrame, spec: TableSpec) -> DataFrame:
 
 @dataclass(frozen=True)
 class _Touched:
-    """A set of partitions: every combination of the listed values."""
+    """The partitions to read: every combination of the listed values."""
 
     columns: tuple[str, ...]
     values: tuple[tuple[object, ...], ...]  # per column
-    matched: frozenset[tuple[object, ...]]  # partitions holding matched old rows
+    matched: frozenset[tuple[object, ...]]  # partitions that hold matched old rows
+    rows_move: bool  # whether a matched row changes partition
 
     def holds(self) -> Column:
         def one(name: str, values: Sequence[object]) -> Column:
@@ -152,9 +179,9 @@ class _Touched:
         return all(v in values for v, values in zip(partition, self.values))
 
 
-def _partition_rows(df: DataFrame, columns: Sequence[str]) -> list[Row] | None:
-    """The distinct partitions of the rows, or None when there are very many."""
-    found = df.select(*[column(c) for c in columns]).distinct().limit(_MAX_TOUCHED + 1).collect()
+def _few_rows(df: DataFrame) -> list[Row] | None:
+    """The distinct rows, or None when there are very many."""
+    found = df.distinct().limit(_MAX_TOUCHED + 1).collect()
     return None if len(found) > _MAX_TOUCHED else found
 
 
@@ -180,52 +207,71 @@ def _follows_from_keys(columns: Sequence[str], spec: TableSpec) -> bool:
     )
 
 
-def _find_touched(target: DataFrame, new: DataFrame, spec: TableSpec, by_key: bool) -> _Touched | None:
+def _partition(spec: TableSpec) -> Column:
+    return F.struct(*[column(c) for c in spec.partition_columns])
+
+
+def _find_touched(target: DataFrame, new: DataFrame, spec: TableSpec, few: bool) -> _Touched | None:
+    """Which partitions the incoming rows touch; None when there are very many."""
     columns = spec.partition_columns
-    landing = _partition_rows(add_derived(new, spec.derived), columns)
-    if landing is None:
+    landing = add_derived(new, spec.derived).select(_partition(spec).alias("to"))
+    if _follows_from_keys(new.columns, spec):
+        moves = landing.select(F.col("to").alias("from"), "to", F.lit(False).alias("matched"))
+    else:
+        # Of the table only the keys, the partition columns and what the derived
+        # expressions read are scanned here.
+        was = "__partition_before"
+        paired = merge_matched(
+            target.select(*[column(c) for c in new.columns], _partition(spec).alias(was)),
+            F.broadcast(new) if few else new,
+            spec.keys,
+            was,
+        )
+        matched = add_derived(paired, spec.derived).select(
+            F.col(was).alias("from"), _partition(spec).alias("to"), F.lit(True).alias("matched")
+        )
+        moves = matched.unionAll(
+            landing.select(F.col("to").alias("from"), "to", F.lit(False).alias("matched"))
+        )
+    found = _few_rows(moves)
+    if found is None:
         return None
-    matched: list[Row] = []
-    if not by_key:
-        # Only the keys and the partition columns of the table are read here.
-        keys = new.select(*[column(k).alias(f"k{i}") for i, k in enumerate(spec.keys)]).distinct()
-        on = [column(k) == F.col(f"k{i}") for i, k in enumerate(spec.keys)]
-        found = _partition_rows(target.join(keys, on, "left_semi"), columns)
-        if found is None:
-            return None
-        matched = found
-    values = tuple(
-        tuple({row[i] for row in (*landing, *matched)}) for i in range(len(columns))
+    ends = [tuple(end) for row in found for end in (row["from"], row["to"])]
+    return _Touched(
+        columns,
+        tuple(tuple({end[i] for end in ends}) for i in range(len(columns))),
+        frozenset(tuple(row["from"]) for row in found if row["matched"]),
+        any(row["from"] != row["to"] for row in found),
     )
-    return _Touched(columns, values, frozenset(map(tuple, matched)))
 
 
-def _merge_touched(target: DataFrame, new: DataFrame, spec: TableSpec, external: bool) -> bool:
+def _merge_touched(
+    target: DataFrame, new: DataFrame, spec: TableSpec, few: bool, external: bool
+) -> bool:
     """Rewrite only the partitions the incoming rows touch; False if that is not the way."""
     spark = target.sparkSession
-    by_key = _follows_from_keys(new.columns, spec)
-    touched = _find_touched(target, new, spec, by_key)
+    touched = _find_touched(target, new, spec, few)
     if touched is None:
         return False
     if not any(touched.values):  # nothing came in
         return True
-    if not by_key and not external:
+    if touched.rows_move and not external:
         whole = spark.sql(f"SHOW PARTITIONS {qualified(spark, spec.table)}").count()
         if 2 * len(touched.matched) > whole:
             return False
 
     old = target.where(touched.holds()).drop(*spec.derived)
-    merged = add_derived(_merged(old, new, spec), spec.derived)
-    if by_key:
-        return _overwrite_in_place(merged, target, spec, touched)
+    merged = add_derived(_merged(old, new, spec, few), spec.derived)
+    if not touched.rows_move:
+        return _overwrite_in_place(merged, target, spec, few, touched)
 
     stage = stage_name(spark, spec.table)
     drop_table(spark, stage)
-    _save_stage(merged, spec, stage)
+    _save_stage(_spread(merged, spec), spec, stage)
     staged = spark.table(qualified(spark, stage))
-    present = _partition_rows(staged, spec.partition_columns)
+    present = _few_rows(staged.select(*[column(c) for c in spec.partition_columns]))
     if present is None or not all(row in touched for row in map(tuple, present)):
-        # A derived value fell outside: its partition was not read.
+        # The rows were not the same as when they were looked at.
         drop_table(spark, stage)
         return False
     emptied = touched.matched - set(map(tuple, present))
@@ -234,7 +280,7 @@ def _merge_touched(target: DataFrame, new: DataFrame, spec: TableSpec, external:
 
 
 def _overwrite_in_place(
-    merged: DataFrame, target: DataFrame, spec: TableSpec, touched: _Touched
+    merged: DataFrame, target: DataFrame, spec: TableSpec, few: bool, touched: _Touched
 ) -> bool:
     """One dynamic overwrite. A row for a partition that was not read would replace
     rows that are not in the result, so it fails the job before anything is
@@ -242,8 +288,10 @@ def _overwrite_in_place(
     first = spec.partition_columns[0]
     guarded = F.when(touched.holds(), column(first)).otherwise(F.raise_error(F.lit(_LEFT)))
     shaped = merged.withColumn(first, guarded).select(*[column(c) for c in target.columns])
+    # Streamed past a broadcast, the rows of a partition are still in the few
+    # tasks that read its files.
     try:
-        _insert_dynamic(_laid_out(shaped, spec), spec.table)
+        _insert_dynamic(shaped if few else _spread(shaped, spec), spec.table)
     except Exception as error:
         if _LEFT in str(error):
             return False
@@ -260,9 +308,13 @@ def _insert_dynamic(df: DataFrame, table: str) -> None:
 # --- whole table ------------------------------------------------------------
 
 
-def _merge_whole(old: DataFrame, new: DataFrame, spec: TableSpec, info: object) -> None:
+def _merge_whole(
+    old: DataFrame, new: DataFrame, spec: TableSpec, few: bool, info: TableInfo
+) -> None:
     spark = old.sparkSession
-    merged = add_derived(_merged(old, new, spec), spec.derived)
+    merged = add_derived(_merged(old, new, spec, few), spec.derived)
+    if not few or spec.partition_columns or spec.num_partitions:
+        merged = _spread(merged, spec)
     scheme = re.match(r"([\w+.-]+):", info.location)
     if not info.external and (scheme.group(1) if scheme else "file") in _CHEAP_RENAME:
         successor = successor_name(spark, spec.table)
@@ -275,7 +327,7 @@ def _merge_whole(old: DataFrame, new: DataFrame, spec: TableSpec, info: object)
     _publish_stage(spark, spec, stage, _WHOLE, [])
 
 
-def _laid_out(df: DataFrame, spec: TableSpec) -> DataFrame:
+def _spread(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Spread over write tasks, unless the join has already put each bucket in one task."""
     if not spec.partition_columns and set(spec.bucket_columns) == set(spec.keys):
         return df
@@ -285,9 +337,8 @@ def _laid_out(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def _save_stage(merged: DataFrame, spec: TableSpec, table: str) -> None:
-    body = [c for c in merged.columns if c not in spec.partition_columns]
-    shaped = merged.select(*[column(c) for c in (*body, *spec.partition_columns)])
-    write.save(_laid_out(shaped, spec), spec, table, "overwrite", None)
+    shaped = partition_columns_last(merged, spec.partition_columns)
+    write.save(shaped, spec, table, "overwrite", None)
 
 
 def _take_over(spark: SparkSession, successor: str, table: str) -> None:

@@ -40,7 +40,9 @@ class TableSpec:
     Merge only: ``keys`` match rows; ``duplicate_keys="error"`` refuses
     repeated keys, the default multiplies them like any join; ``rewrite="all"``
     turns off the rewrite of just the touched partitions; ``stage_incoming``
-    writes the incoming rows once before the several passes over them;
+    writes the incoming rows once before the several passes over them (turn it
+    off only for a frame that is cheap and gives the same rows each time);
+    incoming rows of up to ``broadcast_bytes`` in all are broadcast;
     ``hot_key_rows`` is the row count from which one key is spread over tasks.
     """
 
@@ -58,6 +60,7 @@ class TableSpec:
     duplicate_keys: str = "allow"
     rewrite: str = "touched"
     stage_incoming: bool = True
+    broadcast_bytes: int = 64 * 1024 * 1024
     hot_key_rows: int = 1_000_000
 
     def __post_init__(self) -> None:

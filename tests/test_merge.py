@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tablesync import KeySkew, SpecError, TableSpec, merge, merge_frames, overwrite
 from tablesync.catalog import set_properties, table_exists, table_info
-from tablesync.operators.merge import KeyProfile, profile_keys
+from tablesync.operators.merge import KeyProfile, merge_few, profile_keys
 from tablesync.plans import merge_table
 
 SCHEMA = "id int, a string, b int"
@@ -73,6 +73,7 @@ def test_same_result_however_keys_are_spread(spark):
         KeySkew(hot_old=(hashes[8],), hot_new=(hashes[0],), splits=2),
     ):
         assert rows(merge_frames(left, right, ["id"], skew)) == plain, skew
+    assert rows(merge_few(left, right, ["id"])) == plain
 
 
 def test_profile_finds_the_hot_key(spark):
@@ -139,11 +140,16 @@ def derived_value(layout, row):
     return ()
 
 
-@pytest.mark.parametrize("external", [False, True])
-@pytest.mark.parametrize("rewrite", ["touched", "all"])
-@pytest.mark.parametrize("layout", LAYOUTS)
-def test_merge_table(spark, db, tmp_path, layout, external, rewrite):
+CASES = [(layout, external, "touched") for layout in LAYOUTS for external in (False, True)]
+CASES += [("both", False, "all"), ("both", True, "all"), ("bucketed_partitioned", True, "all")]
+
+
+@pytest.mark.parametrize("few", [False, True])
+@pytest.mark.parametrize("layout, external, rewrite", CASES)
+def test_merge_table(spark, db, tmp_path, layout, external, rewrite, few):
     options = {"keys": ["id"], **LAYOUTS[layout]}
+    if not few:
+        options["broadcast_bytes"] = 0
     if external:
         options["path"] = str(tmp_path / "t")
     spec = TableSpec(f"{db}.t", rewrite=rewrite, **options)
@@ -166,6 +172,8 @@ def test_merge_table(spark, db, tmp_path, layout, external, rewrite):
         # No stale directory comes back when partitions are registered again.
         spark.sql(f"MSCK REPAIR TABLE {spec.table}")
         assert rows(spark.table(spec.table).select(*names)) == want
+    if few or external:
+        return
     # A second merge of the same rows changes nothing but the null-key rows.
     merge(frame(spark, NEW), spec)
     again = rows(spark.table(spec.table).select(*names).where("id is not null"))
@@ -198,9 +206,9 @@ def test_derived_value_outside_the_read_partitions(spark, db):
 def test_guard_stops_rows_that_left_the_read_partitions(spark, db):
     spec = TableSpec(f"{db}.t", keys=["id"], partition_by=["a"])
     overwrite(frame(spark, [(1, "x", 1), (2, "y", 2)]), spec)
-    touched = merge_table._Touched(("a",), (("x",),), frozenset())
+    touched = merge_table._Touched(("a",), (("x",),), frozenset(), False)
     moved = frame(spark, [(2, "y", 9)]).select("id", "b", "a")
-    assert not merge_table._overwrite_in_place(moved, spark.table(spec.table), spec, touched)
+    assert not merge_table._overwrite_in_place(moved, spark.table(spec.table), spec, True, touched)
     assert rows(spark.table(spec.table)) == [(1, 1, "x"), (2, 2, "y")]
 
 
@@ -252,7 +260,7 @@ def test_missing_table_and_types_of_the_table(spark, db):
 def test_hot_keys_through_the_table(spark, db):
     old = [(0 if i % 3 == 0 else i, f"o{i}", i) for i in range(300)]
     new = [(0, "hot", None)] + [(i, None, -i) for i in range(200, 500)]
-    spec = TableSpec(f"{db}.t", keys=["id"], hot_key_rows=20)
+    spec = TableSpec(f"{db}.t", keys=["id"], hot_key_rows=20, broadcast_bytes=0)
     overwrite(frame(spark, old), spec)
     merge(frame(spark, new), spec)
     assert rows(spark.table(spec.table)) == expected(old, new)
