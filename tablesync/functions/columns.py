@@ -23,6 +23,12 @@ def column(name: str) -> Column:
     return F.col(quote(name))
 
 
+def pick(df: DataFrame, names: Iterable[str]) -> DataFrame:
+    """The named columns. Expression text costs one call to the JVM per column,
+    which a wide table feels when its plans are built."""
+    return df.selectExpr(*map(quote, names))
+
+
 def nested_columns(schema: T.StructType) -> list[str]:
     return [f.name for f in schema if isinstance(f.dataType, NESTED)]
 
@@ -39,8 +45,8 @@ def nested_to_json(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
 def scalars_to_text(df: DataFrame) -> DataFrame:
     """Cast every column that is not nested to text, for text-only targets."""
     nested = set(nested_columns(df.schema))
-    return df.select(
-        *[column(c) if c in nested else column(c).cast("string").alias(c) for c in df.columns]
+    return df.selectExpr(
+        *[q if c in nested else f"CAST({q} AS STRING) AS {q}" for c in df.columns for q in [quote(c)]]
     )
 
 
@@ -86,12 +92,7 @@ def split_columns(
 
 def partition_columns_last(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     body, partitions = split_columns(df.columns, partition_by)
-    return df.select(*[column(c) for c in body + partitions])
-
-
-def prefer_new(new: Column, old: Column) -> Column:
-    """The incoming value, or the old one where the incoming value is null."""
-    return F.coalesce(new, old)
+    return pick(df, body + partitions)
 
 
 def _fits(source: T.DataType, target: T.DataType) -> bool:
@@ -125,8 +126,8 @@ def conform(df: DataFrame, target: T.StructType, case_sensitive: bool = False) -
                 f"column {field.name}: {source.dataType.simpleString()} does not fit "
                 f"{field.dataType.simpleString()}"
             )
-        value = column(source.name)
+        value = quote(source.name)
         if source.dataType != field.dataType:
-            value = value.cast(field.dataType)
-        chosen.append(value.alias(field.name))
-    return df.select(*chosen)
+            value = f"CAST({value} AS {field.dataType.simpleString()})"
+        chosen.append(f"{value} AS {quote(field.name)}")
+    return df.selectExpr(*chosen)

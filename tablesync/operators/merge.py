@@ -22,7 +22,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tablesync.functions.columns import NESTED, column, prefer_new
+from tablesync.catalog import quote
+from tablesync.functions.columns import NESTED
 from tablesync.spec import SpecError
 
 # The sketch keeps this many candidate keys per task; a key with more than about
@@ -31,7 +32,6 @@ _TRACKED_KEYS = 10_000
 _MAX_HOT_KEYS = 1_000
 _SKETCH_GROUPS = 256
 _MAX_SPLITS = 10_000
-_SPLIT = "split"
 
 
 @dataclass(frozen=True)
@@ -66,12 +66,16 @@ class KeySkew:
         )
 
 
-def _any_null(names: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a | b, [column(n).isNull() for n in names])
+# Expressions over many columns are written as text: it takes one call to the JVM
+# where a Column takes several per column. ``names`` are quoted where need be.
 
 
-def _key_hash(names: Sequence[str]) -> Column:
-    return F.xxhash64(*[column(n) for n in names])
+def _any_null(names: Sequence[str]) -> str:
+    return "(" + " OR ".join(f"{n} IS NULL" for n in names) + ")"
+
+
+def _key_hash(names: Sequence[str]) -> str:
+    return f"xxhash64({', '.join(names)})"
 
 
 def profile_keys(
@@ -85,12 +89,14 @@ def profile_keys(
     neither a task nor the driver ever holds more than a bounded number of them.
     """
 
+    names = [quote(k) for k in keys]
+
     def tagged(side: str, df: DataFrame) -> DataFrame:
-        return df.select(
-            F.lit(side).alias("side"),
-            _any_null(keys).alias("no_key"),
-            _key_hash(keys).alias("key_hash"),
-            F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias("sketch_group"),
+        return df.selectExpr(
+            f"'{side}' AS side",
+            f"{_any_null(names)} AS no_key",
+            f"{_key_hash(names)} AS key_hash",
+            f"pmod(spark_partition_id(), {_SKETCH_GROUPS}) AS sketch_group",
         )
 
     per_group = (
@@ -134,9 +140,10 @@ def profile_keys(
 
 def check_unique(df: DataFrame, keys: Sequence[str], side: str) -> None:
     """Refuse repeated keys. Rows with a null key match nothing and may repeat."""
+    names = [quote(k) for k in keys]
     repeated = (
-        df.where(~_any_null(keys))
-        .groupBy(*[column(k) for k in keys])
+        df.where(f"NOT {_any_null(names)}")
+        .groupBy(*names)
         .agg(F.count("*").alias("row_count"))
         .where(F.col("row_count") > 1)
         .first()
@@ -148,44 +155,41 @@ def check_unique(df: DataFrame, keys: Sequence[str], side: str) -> None:
 
 def row_bytes(schema: T.StructType) -> Column:
     """About how much memory a row takes: text by its length, the rest by word."""
-    width = F.lit(16 + 8 * len(schema)).cast("bigint")
+    widths = [str(16 + 8 * len(schema))]
     for field in schema:
+        name = quote(field.name)
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            width += F.coalesce(F.octet_length(column(field.name)), F.lit(0))
+            widths.append(f"coalesce(octet_length({name}), 0)")
         elif isinstance(field.dataType, NESTED):
-            width += F.coalesce(F.octet_length(F.to_json(column(field.name))), F.lit(0))
+            widths.append(f"coalesce(octet_length(to_json({name})), 0)")
         elif isinstance(field.dataType, T.DecimalType):
-            width += F.lit(16)
-    return width
+            widths.append("16")
+    return F.expr(f"CAST({' + '.join(widths)} AS BIGINT)")
 
 
 class _Merge:
     """Names both sides apart by position, so that any column name is safe."""
 
     def __init__(self, columns: Sequence[str], keys: Sequence[str]):
-        self.columns = list(columns)
-        self.keys = [self.columns.index(k) for k in keys]
+        self.columns = [quote(c) for c in columns]
+        self.keys = [list(columns).index(k) for k in keys]
 
     def side(self, df: DataFrame, prefix: str) -> DataFrame:
-        return df.select(*[column(c).alias(f"{prefix}{i}") for i, c in enumerate(self.columns)])
+        return df.selectExpr(*[f"{c} AS {prefix}{i}" for i, c in enumerate(self.columns)])
 
     def names(self, prefix: str) -> list[str]:
         return [f"{prefix}{i}" for i in self.keys]
 
-    def on(self, left: str = "o", right: str = "n") -> Column:
-        pairs = [F.col(f"{left}{i}") == F.col(f"{right}{i}") for i in self.keys]
-        return reduce(lambda a, b: a & b, pairs)
+    def on(self, left: str = "o", right: str = "n") -> str:
+        return " AND ".join(f"{left}{i} = {right}{i}" for i in self.keys)
 
-    def picked(self, joined: DataFrame) -> DataFrame:
-        return joined.select(
-            *[
-                prefer_new(F.col(f"n{i}"), F.col(f"o{i}")).alias(c)
-                for i, c in enumerate(self.columns)
-            ]
-        )
+    def picked(self, joined: DataFrame, *more: str) -> DataFrame:
+        """The incoming value, or the old one where the incoming value is null."""
+        chosen = [f"coalesce(n{i}, o{i}) AS {c}" for i, c in enumerate(self.columns)]
+        return joined.selectExpr(*chosen, *more)
 
     def plain(self, df: DataFrame, prefix: str) -> DataFrame:
-        return df.select(*[F.col(f"{prefix}{i}").alias(c) for i, c in enumerate(self.columns)])
+        return df.selectExpr(*[f"{prefix}{i} AS {c}" for i, c in enumerate(self.columns)])
 
     def spread(self, big: DataFrame, small: DataFrame, b: str, s: str, splits: int) -> list[DataFrame]:
         """Full outer join of the rows of a few keys of which ``big`` has many.
@@ -195,12 +199,12 @@ class _Merge:
         to every split. The small side's unmatched rows are told by the distinct
         keys of the big side, at most one per hot key.
         """
-        left = big.withColumn(_SPLIT, F.pmod(F.spark_partition_id(), F.lit(splits)))
-        right = small.withColumn(f"{s}_{_SPLIT}", F.explode(F.sequence(F.lit(0), F.lit(splits - 1))))
+        left = big.selectExpr("*", f"pmod(spark_partition_id(), {splits}) AS split")
+        right = small.selectExpr("*", f"explode(sequence(0, {splits - 1})) AS copy")
         on = self.on(b, s)
-        matched = left.join(right, on & (F.col(_SPLIT) == F.col(f"{s}_{_SPLIT}")), "left_outer")
+        matched = left.join(right, F.expr(f"{on} AND split = copy"), "left_outer")
         present = big.select(*self.names(b)).distinct()
-        unmatched = small.join(F.broadcast(present), on, "left_anti")
+        unmatched = small.join(F.broadcast(present), F.expr(on), "left_anti")
         return [self.picked(matched), self.plain(unmatched, s)]
 
 
@@ -223,28 +227,22 @@ def merge_few(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """
     merge = _checked(old, new, keys)
     left, right = merge.side(old, "o"), merge.side(new, "n")
-    updated = merge.picked(left.join(F.broadcast(right), merge.on(), "left_outer"))
+    updated = merge.picked(left.join(F.broadcast(right), F.expr(merge.on()), "left_outer"))
     # At most one row per incoming key.
     present = (
         left.select(*merge.names("o"))
-        .join(F.broadcast(right.select(*merge.names("n"))), merge.on(), "left_semi")
+        .join(F.broadcast(right.select(*merge.names("n"))), F.expr(merge.on()), "left_semi")
         .distinct()
     )
-    inserted = right.join(F.broadcast(present), merge.on("n", "o"), "left_anti")
+    inserted = right.join(F.broadcast(present), F.expr(merge.on("n", "o")), "left_anti")
     return updated.unionAll(merge.plain(inserted, "n"))
 
 
 def merge_matched(old: DataFrame, new: DataFrame, keys: Sequence[str], carried: str) -> DataFrame:
     """The merged rows of keys found in both sides, with one more old column."""
     merge = _checked(old.drop(carried), new, keys)
-    left = old.select(
-        *[column(c).alias(f"o{i}") for i, c in enumerate(merge.columns)], column(carried)
-    )
-    joined = left.join(merge.side(new, "n"), merge.on())
-    kept = [
-        prefer_new(F.col(f"n{i}"), F.col(f"o{i}")).alias(c) for i, c in enumerate(merge.columns)
-    ]
-    return joined.select(*kept, column(carried))
+    left = old.selectExpr(*[f"{c} AS o{i}" for i, c in enumerate(merge.columns)], carried)
+    return merge.picked(left.join(merge.side(new, "n"), F.expr(merge.on())), carried)
 
 
 def merge_frames(
@@ -262,26 +260,23 @@ def merge_frames(
     if skew.null_keys:
         for side, prefix in ((left, "o"), (right, "n")):
             branches.append(merge.plain(side.where(_any_null(merge.names(prefix))), prefix))
-        left = left.where(~_any_null(merge.names("o")))
-        right = right.where(~_any_null(merge.names("n")))
+        left = left.where(f"NOT {_any_null(merge.names('o'))}")
+        right = right.where(f"NOT {_any_null(merge.names('n'))}")
 
     hot = (*skew.hot_old, *skew.hot_new)
     if hot:
-        left_hash, right_hash = _key_hash(merge.names("o")), _key_hash(merge.names("n"))
+
+        def having(side: DataFrame, prefix: str, hashes: Sequence[int], test: str = "IN") -> DataFrame:
+            listed = ", ".join(map(str, hashes))
+            return side.where(f"{_key_hash(merge.names(prefix))} {test} ({listed})")
+
         if skew.hot_old:
-            branches += merge.spread(
-                left.where(left_hash.isin(*skew.hot_old)),
-                right.where(right_hash.isin(*skew.hot_old)),
-                "o", "n", skew.splits,
-            )
+            big, small = having(left, "o", skew.hot_old), having(right, "n", skew.hot_old)
+            branches += merge.spread(big, small, "o", "n", skew.splits)
         if skew.hot_new:
-            branches += merge.spread(
-                right.where(right_hash.isin(*skew.hot_new)),
-                left.where(left_hash.isin(*skew.hot_new)),
-                "n", "o", skew.splits,
-            )
-        left = left.where(~left_hash.isin(*hot))
-        right = right.where(~right_hash.isin(*hot))
-
-    merged = merge.picked(left.join(right, merge.on(), "full_outer"))
+            big, small = having(right, "n", skew.hot_new), having(left, "o", skew.hot_new)
+            branches += merge.spread(big, small, "n", "o", skew.splits)
+        left, right = having(left, "o", hot, "NOT IN"), having(right, "n", hot, "NOT IN")
+
+    merged = merge.picked(left.join(right, F.expr(merge.on()), "full_outer"))
     return reduce(DataFrame.unionAll, branches, merged)

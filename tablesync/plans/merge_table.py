@@ -38,7 +38,13 @@ from tablesync.catalog import (
     table_info,
     text_literal,
 )
-from tablesync.functions.columns import add_derived, column, conform, partition_columns_last
+from tablesync.functions.columns import (
+    add_derived,
+    column,
+    conform,
+    partition_columns_last,
+    pick,
+)
 from tablesync.operators.layout import lay_out
 from tablesync.operators.merge import (
     KeySkew,
@@ -207,41 +213,41 @@ def _follows_from_keys(columns: Sequence[str], spec: TableSpec) -> bool:
     )
 
 
-def _partition(spec: TableSpec) -> Column:
-    return F.struct(*[column(c) for c in spec.partition_columns])
+def _partition(spec: TableSpec) -> str:
+    return f"struct({', '.join(map(quote, spec.partition_columns))})"
 
 
 def _find_touched(target: DataFrame, new: DataFrame, spec: TableSpec, few: bool) -> _Touched | None:
     """Which partitions the incoming rows touch; None when there are very many."""
     columns = spec.partition_columns
-    landing = add_derived(new, spec.derived).select(_partition(spec).alias("to"))
+    landing = add_derived(new, spec.derived).selectExpr(
+        f"{_partition(spec)} AS part_from", f"{_partition(spec)} AS part_to", "false AS matched"
+    )
     if _follows_from_keys(new.columns, spec):
-        moves = landing.select(F.col("to").alias("from"), "to", F.lit(False).alias("matched"))
+        moves = landing
     else:
         # Of the table only the keys, the partition columns and what the derived
         # expressions read are scanned here.
         was = "__partition_before"
         paired = merge_matched(
-            target.select(*[column(c) for c in new.columns], _partition(spec).alias(was)),
+            target.selectExpr(*map(quote, new.columns), f"{_partition(spec)} AS {was}"),
             F.broadcast(new) if few else new,
             spec.keys,
             was,
         )
-        matched = add_derived(paired, spec.derived).select(
-            F.col(was).alias("from"), _partition(spec).alias("to"), F.lit(True).alias("matched")
-        )
-        moves = matched.unionAll(
-            landing.select(F.col("to").alias("from"), "to", F.lit(False).alias("matched"))
+        matched = add_derived(paired, spec.derived).selectExpr(
+            f"{was} AS part_from", f"{_partition(spec)} AS part_to", "true AS matched"
         )
+        moves = matched.unionAll(landing)
     found = _few_rows(moves)
     if found is None:
         return None
-    ends = [tuple(end) for row in found for end in (row["from"], row["to"])]
+    ends = [tuple(end) for row in found for end in (row["part_from"], row["part_to"])]
     return _Touched(
         columns,
         tuple(tuple({end[i] for end in ends}) for i in range(len(columns))),
-        frozenset(tuple(row["from"]) for row in found if row["matched"]),
-        any(row["from"] != row["to"] for row in found),
+        frozenset(tuple(row["part_from"]) for row in found if row["matched"]),
+        any(row["part_from"] != row["part_to"] for row in found),
     )
 
 
@@ -269,7 +275,7 @@ def _merge_touched(
     drop_table(spark, stage)
     _save_stage(_spread(merged, spec), spec, stage)
     staged = spark.table(qualified(spark, stage))
-    present = _few_rows(staged.select(*[column(c) for c in spec.partition_columns]))
+    present = _few_rows(pick(staged, spec.partition_columns))
     if present is None or not all(row in touched for row in map(tuple, present)):
         # The rows were not the same as when they were looked at.
         drop_table(spark, stage)
@@ -287,7 +293,7 @@ def _overwrite_in_place(
     committed; then this returns False."""
     first = spec.partition_columns[0]
     guarded = F.when(touched.holds(), column(first)).otherwise(F.raise_error(F.lit(_LEFT)))
-    shaped = merged.withColumn(first, guarded).select(*[column(c) for c in target.columns])
+    shaped = pick(merged.withColumn(first, guarded), target.columns)
     # Streamed past a broadcast, the rows of a partition are still in the few
     # tasks that read its files.
     try:
@@ -374,7 +380,7 @@ def _replay(spark: SparkSession, table: str, stage: str) -> None:
     rows = spark.table(qualified(spark, stage))
     if info.properties[_READY] == _TOUCHED:
         columns = spark.table(qualified(spark, table)).columns
-        _insert_dynamic(rows.select(*[column(c) for c in columns]), table)
+        _insert_dynamic(pick(rows, columns), table)
         body = [c for c in columns if c not in info.partition_by]
         nothing = ", ".join(quote(c) for c in body)
         for key, clause in info.properties.items():

@@ -8,7 +8,7 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from tablesync.catalog import session_conf
-from tablesync.functions.columns import column
+from tablesync.functions.columns import pick
 from tablesync.spec import SpecError
 
 COLUMNAR_FORMATS = ("parquet", "orc")
@@ -93,7 +93,7 @@ def relocate_dataset(
     frame = scan(spark, source, file_format, infer_partition_types=False)
     partitions = partition_columns_of(spark, frame, source)
     body = [c for c in frame.columns if c not in partitions]
-    writer = frame.select(*[column(c) for c in [*body, *partitions]]).write
+    writer = pick(frame, [*body, *partitions]).write
     if partitions:
         writer = writer.partitionBy(*partitions)
     writer.format(target_format or file_format).mode("overwrite").save(target)
