@@ -127,7 +127,7 @@ def merge(df: DataFrame, spec: TableSpec) -> None:
             json.dumps(asked) if asked else None
         )
         if info.partition_by and spec.rewrite == "touched" and same_derivation and _stable(spec):
-            if _merge_touched(target, new, spec, few, info.external):
+            if _merge_touched(target, new, spec, few, _renames(info)):
                 return
         _merge_whole(old, new, spec, few, info)
     finally:
@@ -217,8 +217,13 @@ def _partition(spec: TableSpec) -> str:
     return f"struct({', '.join(map(quote, spec.partition_columns))})"
 
 
-def _find_touched(target: DataFrame, new: DataFrame, spec: TableSpec, few: bool) -> _Touched | None:
-    """Which partitions the incoming rows touch; None when there are very many."""
+def _find_touched(
+    target: DataFrame, new: DataFrame, spec: TableSpec, few: bool, most: int
+) -> _Touched | None:
+    """Which partitions the incoming rows touch; None when there are very many.
+
+    Many incoming rows that land in more than ``most`` partitions are not looked
+    up in the table at all."""
     columns = spec.partition_columns
     landing = add_derived(new, spec.derived).selectExpr(
         f"{_partition(spec)} AS part_from", f"{_partition(spec)} AS part_to", "false AS matched"
@@ -226,6 +231,10 @@ def _find_touched(target: DataFrame, new: DataFrame, spec: TableSpec, few: bool)
     if _follows_from_keys(new.columns, spec):
         moves = landing
     else:
+        if not few:
+            spots = _few_rows(landing)
+            if spots is None or len(spots) > most:
+                return None
         # Of the table only the keys, the partition columns and what the derived
         # expressions read are scanned here.
         was = "__partition_before"
@@ -252,19 +261,23 @@ def _find_touched(target: DataFrame, new: DataFrame, spec: TableSpec, few: bool)
 
 
 def _merge_touched(
-    target: DataFrame, new: DataFrame, spec: TableSpec, few: bool, external: bool
+    target: DataFrame, new: DataFrame, spec: TableSpec, few: bool, renames: bool
 ) -> bool:
-    """Rewrite only the partitions the incoming rows touch; False if that is not the way."""
+    """Rewrite only the partitions the incoming rows touch; False if that is not the way.
+
+    A table that can be replaced by renaming is written once when rewritten as a
+    whole, and a stage twice: there half the partitions is where they are even."""
     spark = target.sparkSession
-    touched = _find_touched(target, new, spec, few)
+    most = _MAX_TOUCHED
+    if renames:
+        most = spark.sql(f"SHOW PARTITIONS {qualified(spark, spec.table)}").count() // 2
+    touched = _find_touched(target, new, spec, few, most)
     if touched is None:
         return False
     if not any(touched.values):  # nothing came in
         return True
-    if touched.rows_move and not external:
-        whole = spark.sql(f"SHOW PARTITIONS {qualified(spark, spec.table)}").count()
-        if 2 * len(touched.matched) > whole:
-            return False
+    if touched.rows_move and len(touched.matched) > most:
+        return False
 
     old = target.where(touched.holds()).drop(*spec.derived)
     merged = add_derived(_merged(old, new, spec, few), spec.derived)
@@ -314,6 +327,12 @@ def _insert_dynamic(df: DataFrame, table: str) -> None:
 # --- whole table ------------------------------------------------------------
 
 
+def _renames(info: TableInfo) -> bool:
+    """Whether another table can take this one's place without moving data."""
+    scheme = re.match(r"([\w+.-]+):", info.location)
+    return not info.external and (scheme.group(1) if scheme else "file") in _CHEAP_RENAME
+
+
 def _merge_whole(
     old: DataFrame, new: DataFrame, spec: TableSpec, few: bool, info: TableInfo
 ) -> None:
@@ -321,8 +340,7 @@ def _merge_whole(
     merged = add_derived(_merged(old, new, spec, few), spec.derived)
     if not few or spec.partition_columns or spec.num_partitions:
         merged = _spread(merged, spec)
-    scheme = re.match(r"([\w+.-]+):", info.location)
-    if not info.external and (scheme.group(1) if scheme else "file") in _CHEAP_RENAME:
+    if _renames(info):
         successor = successor_name(spark, spec.table)
         _save_stage(merged, spec, successor)
         set_properties(spark, successor, write.derived_properties(spec))
