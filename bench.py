@@ -20,7 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import tablesync as ts
-from checks.queries import Workspace, order_changes
+from checks.queries import JOINED, Workspace, order_changes
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -123,9 +123,14 @@ class Bench:
             "overwrite_bucketed": self.writes(self.orders, bucket_by=["o_orderkey"], num_buckets=8),
             "append_derived_year": self.appends,
             "merge_half_of_keys": self.merges(half),
-            "merge_half_of_keys_bucketed": self.merges(half, bucket_by=["o_orderkey"], num_buckets=8),
+            "merge_half_of_keys_joined": self.merges(half, **JOINED),
+            "merge_half_of_keys_joined_bucketed": self.merges(
+                half, bucket_by=["o_orderkey"], num_buckets=8, **JOINED
+            ),
             "merge_half_of_keys_external": self.merges(half, external=True),
-            "merge_all_keys_by_year": self.merges(order_changes(self.orders), derived=ORDER_YEAR),
+            "merge_all_keys_by_year": self.merges(
+                order_changes(self.orders), derived=ORDER_YEAR, **JOINED
+            ),
             "merge_1pct_recent_by_year": self.merges(recent, derived=ORDER_YEAR),
             "merge_1pct_recent_by_year_rewriting_all": self.merges(
                 recent, derived=ORDER_YEAR, rewrite="all"

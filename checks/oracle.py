@@ -89,6 +89,8 @@ ORACLE: dict[str, str] = {
     "merge_external": MERGED_ORDERS,
     "merge_external_partitioned": MERGED_ORDERS,
     "merge_bucketed": MERGED_ORDERS,
+    "merge_broadcast": MERGED_ORDERS,
+    "merge_broadcast_partitioned": f"SELECT *, {YEAR} FROM ({MERGED_ORDERS})",
     "merge_partition_follows_key": f"""
         SELECT *, CAST(CAST(trunc(o_orderkey / 5000) AS BIGINT) AS VARCHAR) AS key_range
         FROM ({MERGED_ORDERS})""",

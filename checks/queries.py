@@ -223,6 +223,11 @@ def append_partitioned(w: Workspace) -> DataFrame:
 # --- merges -----------------------------------------------------------------------
 
 
+# Incoming rows that fit a broadcast would all take that way: most merges here turn
+# it off, so that the full outer join is what gets checked.
+JOINED = {"broadcast_bytes": 0}
+
+
 def _merged_orders(w: Workspace, **options) -> DataFrame:
     orders = w.read("orders")
     spec = w.spec(keys=["o_orderkey"], **options)
@@ -237,32 +242,40 @@ def merge_missing_table(w: Workspace) -> DataFrame:
 
 
 def merge_managed(w: Workspace) -> DataFrame:
-    return _merged_orders(w)
+    return _merged_orders(w, **JOINED)
 
 
 def merge_managed_partitioned(w: Workspace) -> DataFrame:
-    return _merged_orders(w, derived=BY_YEAR)
+    return _merged_orders(w, derived=BY_YEAR, **JOINED)
 
 
 def merge_external(w: Workspace) -> DataFrame:
-    return _merged_orders(w, external=True)
+    return _merged_orders(w, external=True, **JOINED)
 
 
 def merge_external_partitioned(w: Workspace) -> DataFrame:
-    return _merged_orders(w, external=True, partition_by=["o_orderstatus"])
+    return _merged_orders(w, external=True, partition_by=["o_orderstatus"], **JOINED)
 
 
 def merge_bucketed(w: Workspace) -> DataFrame:
-    return _merged_orders(w, bucket_by=["o_orderkey"], num_buckets=8)
+    return _merged_orders(w, bucket_by=["o_orderkey"], num_buckets=8, **JOINED)
 
 
 def merge_partition_follows_key(w: Workspace) -> DataFrame:
     return _merged_orders(w, derived={"key_range": "o_orderkey div 5000"})
 
 
+def merge_broadcast(w: Workspace) -> DataFrame:
+    return _merged_orders(w)
+
+
+def merge_broadcast_partitioned(w: Workspace) -> DataFrame:
+    return _merged_orders(w, external=True, partition_by=["o_orderstatus"], derived=BY_YEAR)
+
+
 def merge_composite_key(w: Workspace) -> DataFrame:
     talks = w.read("conversations")
-    spec = w.spec(keys=["conv_id", "turn"])
+    spec = w.spec(keys=["conv_id", "turn"], **JOINED)
     ts.overwrite(talks, spec)
     ts.merge(
         talks.select(
@@ -289,7 +302,7 @@ def merge_null_keys(w: Workspace) -> DataFrame:
     orders = w.read("orders").withColumn(
         "o_orderkey", F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey"))
     )
-    spec = w.spec(keys=["o_orderkey"])
+    spec = w.spec(keys=["o_orderkey"], **JOINED)
     ts.overwrite(orders, spec)
     ts.merge(orders.withColumn("o_orderstatus", F.lower("o_orderstatus")), spec)
     return w.table()
@@ -297,7 +310,7 @@ def merge_null_keys(w: Workspace) -> DataFrame:
 
 def merge_duplicate_keys(w: Workspace) -> DataFrame:
     lines = w.read("lineitem")
-    spec = w.spec(keys=["l_orderkey", "l_linenumber"])
+    spec = w.spec(keys=["l_orderkey", "l_linenumber"], **JOINED)
     ts.overwrite(lines, spec)
     ts.merge(
         lines.withColumns(
@@ -316,7 +329,7 @@ def merge_hot_key(w: Workspace) -> DataFrame:
     events = w.read("events").select("event_id", "event_type", "user_id", "value")
     types = events.select("event_type").distinct()
     hot_old, hot_new = types.agg(F.min("event_type"), F.max("event_type")).first()
-    spec = w.spec(keys=["event_id"], hot_key_rows=100, broadcast_bytes=0)
+    spec = w.spec(keys=["event_id"], hot_key_rows=100, **JOINED)
 
     def keyed(hot: str, key: int) -> DataFrame:
         return events.withColumn(
@@ -449,6 +462,8 @@ QUERIES: dict[str, Query] = {
         merge_external,
         merge_external_partitioned,
         merge_bucketed,
+        merge_broadcast,
+        merge_broadcast_partitioned,
         merge_partition_follows_key,
         merge_composite_key,
         merge_null_update,

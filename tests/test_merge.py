@@ -332,3 +332,20 @@ def test_bucketed_merge_shuffles_one_side(spark, db):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", with_conf)
     assert text.count("Exchange hashpartitioning") == 1, text
+
+
+@pytest.mark.parametrize("options", [{}, {"partition_by": ["a"]}, {"broadcast_bytes": 0}])
+def test_nothing_comes_in(spark, db, options):
+    spec = TableSpec(f"{db}.t", keys=["id"], **options)
+    overwrite(frame(spark, OLD), spec)
+    for nothing in (frame(spark, []), frame(spark, NEW).where("false"), spark.table(spec.table).limit(0)):
+        merge(nothing, spec)
+        assert rows(spark.table(spec.table).select("id", "a", "b")) == sorted(OLD, key=repr)
+
+
+def test_into_an_empty_table(spark, db):
+    for i, options in enumerate([{}, {"partition_by": ["a"]}, {"broadcast_bytes": 0, "partition_by": ["a"]}]):
+        spec = TableSpec(f"{db}.t{i}", keys=["id"], **options)
+        overwrite(frame(spark, []), spec)
+        merge(frame(spark, NEW), spec)
+        assert rows(spark.table(spec.table).select("id", "a", "b")) == sorted(NEW, key=repr)
