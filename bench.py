@@ -119,6 +119,7 @@ class Bench:
         half, recent, dearest = self.since(self.half), self.since(self.last_percent), self.dearest()
         return {
             "overwrite_plain": self.writes(self.lineitem),
+            "overwrite_plain_in_8_tasks": self.writes(self.lineitem, num_partitions=8),
             "overwrite_derived_year": self.writes(self.lineitem, derived=SHIP_YEAR),
             "overwrite_bucketed": self.writes(self.orders, bucket_by=["o_orderkey"], num_buckets=8),
             "append_derived_year": self.appends,

@@ -21,7 +21,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F, types as T
 
 from tablesync.catalog import (
     TableInfo,
@@ -294,6 +294,9 @@ def _merge_touched(
         drop_table(spark, stage)
         return False
     emptied = touched.matched - set(map(tuple, present))
+    if spec.path and any(_unwritable(target.schema, spec, p) for p in emptied):
+        drop_table(spark, stage)
+        return False
     _publish_stage(spark, spec, stage, _TOUCHED, [_partition_clause(spec, p) for p in emptied])
     return True
 
@@ -380,6 +383,14 @@ def _partition_clause(spec: TableSpec, partition: Iterable[object]) -> str:
     return ", ".join(f"{quote(c)} = {value(v)}" for c, v in zip(spec.partition_columns, partition))
 
 
+def _unwritable(schema: T.StructType, spec: TableSpec, partition: Iterable[object]) -> bool:
+    """Spark overwrites no single partition of which a value other than text is null."""
+    return any(
+        v is None and not isinstance(schema[c].dataType, T.StringType)
+        for c, v in zip(spec.partition_columns, partition)
+    )
+
+
 def _publish_stage(
     spark: SparkSession, spec: TableSpec, stage: str, reach: str, emptied: Sequence[str]
 ) -> None:
@@ -387,7 +398,7 @@ def _publish_stage(
 
     The mark holds all that ``recover`` needs to do the second step again.
     """
-    marks = {_READY: reach, _TARGET_PATH: spec.path or ""}
+    marks = {_READY: reach} | ({_TARGET_PATH: spec.path} if spec.path else {})
     marks |= {f"{_EMPTIED}{i}": clause for i, clause in enumerate(emptied)}
     set_properties(spark, stage, marks | write.derived_properties(spec))
     _replay(spark, spec.table, stage)
@@ -401,22 +412,22 @@ def _replay(spark: SparkSession, table: str, stage: str) -> None:
         _insert_dynamic(pick(rows, columns), table)
         body = [c for c in columns if c not in info.partition_by]
         nothing = ", ".join(quote(c) for c in body)
+        name = qualified(spark, table)
         for key, clause in info.properties.items():
-            if key.startswith(_EMPTIED):
-                # Empties the directory, which dropping the partition of an
-                # external table would leave in place.
+            if not key.startswith(_EMPTIED):
+                continue
+            if _TARGET_PATH in info.properties:
+                # Dropping the partition of an external table leaves its files.
                 spark.sql(
-                    f"INSERT OVERWRITE {qualified(spark, table)} PARTITION ({clause}) "
+                    f"INSERT OVERWRITE {name} PARTITION ({clause}) "
                     f"SELECT {nothing} FROM {qualified(spark, stage)} WHERE false"
                 )
-                spark.sql(
-                    f"ALTER TABLE {qualified(spark, table)} DROP IF EXISTS PARTITION ({clause})"
-                )
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({clause})")
     else:
         derived = info.properties.get(write.DERIVED_PROPERTY)
         spec = TableSpec(
             table=table,
-            path=info.properties[_TARGET_PATH] or None,
+            path=info.properties.get(_TARGET_PATH),
             file_format=info.file_format,
             partition_by=info.partition_by,
             bucket_by=info.bucket_by,
@@ -435,6 +446,7 @@ def recover(spark: SparkSession, table: str) -> None:
     was not complete: it is dropped and the table is as before that merge.
     """
     successor, stage = successor_name(spark, table), stage_name(spark, table)
+    drop_table(spark, stage_name(spark, table, "incoming"))
     if table_exists(spark, successor):
         if table_exists(spark, table):
             drop_table(spark, successor)

@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from tablesync import KeySkew, SpecError, TableSpec, merge, merge_frames, overwrite
-from tablesync.catalog import set_properties, table_exists, table_info
+from tablesync.catalog import session_conf, table_info
 from tablesync.operators.merge import KeyProfile, merge_few, profile_keys
 from tablesync.plans import merge_table
 
@@ -125,6 +125,7 @@ LAYOUTS = {
     "both": {"partition_by": ["a"], "derived": {"half": "b div 10"}},
     "by_key": {"derived": {"k": "id % 3"}},
     "key_and_derived": {"keys": ["id", "a"], "partition_by": ["a"], "derived": {"k": "id % 3"}},
+    "int_partition": {"partition_by": ["b"]},
     "bucketed": {"bucket_by": ["id"], "num_buckets": 3},
     "bucketed_partitioned": {"bucket_by": ["id"], "num_buckets": 2, "partition_by": ["a"]},
 }
@@ -140,7 +141,8 @@ def derived_value(layout, row):
     return ()
 
 
-CASES = [(layout, external, "touched") for layout in LAYOUTS for external in (False, True)]
+CASES = [(layout, external, "touched") for layout in LAYOUTS if layout != "int_partition" for external in (False, True)]
+CASES += [("int_partition", True, "touched"), ("int_partition", False, "touched")]
 CASES += [("both", False, "all"), ("both", True, "all"), ("bucketed_partitioned", True, "all")]
 
 
@@ -349,3 +351,56 @@ def test_into_an_empty_table(spark, db):
         overwrite(frame(spark, []), spec)
         merge(frame(spark, NEW), spec)
         assert rows(spark.table(spec.table).select("id", "a", "b")) == sorted(NEW, key=repr)
+
+
+@pytest.mark.parametrize("external", [False, True])
+@pytest.mark.parametrize("schema, left, right", [
+    ("id int, p string", "it's 5%/x=\\y", "z"),
+    ("id int, p string", None, "z"),
+    ("id int, p int", None, 7),
+    ("id int, p int", -7, 8),
+    ("id int, p date", dt.date(2020, 1, 2), None),
+    ("id int, p boolean", True, False),
+    ("id int, p decimal(5,2)", None, 1.25),
+])
+def test_emptied_partitions_are_gone(spark, db, tmp_path, monkeypatch, external, schema, left, right):
+    from decimal import Decimal
+
+    left, right = (Decimal(str(v)) if isinstance(v, float) else v for v in (left, right))
+    options = {"path": str(tmp_path / "t")} if external else {}
+    spec = TableSpec(f"{db}.t", keys=["id"], partition_by=["p"], **options)
+    overwrite(frame(spark, [(1, left), (2, right)], schema), spec)
+    if not external:  # take the staged way, not the rename
+        monkeypatch.setattr(merge_table, "_CHEAP_RENAME", ())
+    merge(frame(spark, [(1, right)], schema), spec)
+    # An incoming null keeps the old value, so that row stays where it was.
+    want = [(1, left if right is None else right), (2, right)]
+    assert rows(spark.table(spec.table)) == sorted(want, key=repr)
+    kept = {p for _, p in want}
+    assert spark.sql(f"SHOW PARTITIONS {spec.table}").count() == len(kept)
+    spark.sql(f"MSCK REPAIR TABLE {spec.table}")
+    assert rows(spark.table(spec.table)) == sorted(want, key=repr)
+
+
+def test_managed_table_where_renaming_moves_data(spark, db, monkeypatch):
+    monkeypatch.setattr(merge_table, "_CHEAP_RENAME", ())
+    spec = TableSpec(f"{db}.t", keys=["id"], derived={"d": "b div 10"}, rewrite="all")
+    overwrite(frame(spark, OLD), spec)
+    merge(frame(spark, NEW), spec)
+    assert rows(spark.table(spec.table).select("id", "a", "b")) == expected(OLD, NEW)
+    info = table_info(spark, spec.table)
+    assert not info.external and info.partition_by == ("d",) and "tablesync.derived" in info.properties
+    assert leftovers(spark, db) == []
+
+
+def test_rows_of_a_hot_key_are_in_many_tasks(spark):
+    old = spark.range(0, 8000, 1, 8).selectExpr("if(id % 2 = 0, 1, cast(id as int)) AS id", "'o' AS a", "1 AS b")
+    new = spark.range(3).selectExpr("cast(id as int) AS id", "'n' AS a", "cast(null as int) AS b")
+    hot = new.where("id = 1").select(F.xxhash64("id")).first()[0]
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    with session_conf(spark, settings):
+        merged = merge_frames(old, new, ["id"], KeySkew(hot_old=(hot,), splits=6))
+        where = merged.where("id = 1").groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r[1] for r in where) == 4001
+        assert len(where) > 2 and max(r[1] for r in where) < 4000
+        assert merged.count() == 8000 + 2
