@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, DataFrameWriter
+from pyspark.sql import DataFrame, DataFrameWriter, functions as F
 
 from tablesync.catalog import quote
 
+# Without adaptive execution: into how many tasks one directory may be split.
+_SPLITS = 16
+
 
 def lay_out(
     df: DataFrame,
@@ -21,14 +24,18 @@ def lay_out(
     A partitioned or bucketed target is rebalanced by its layout columns: rows
     of one directory (or bucket) meet in one task, so not every task opens a
     file in every directory, and adaptive execution splits a directory that
-    holds far more rows than others over several tasks. A plain target is
+    holds far more rows than others over several tasks. Where that is turned off,
+    each directory is split by the tasks that read its rows. A plain target is
     written as it comes, or in exactly ``num_partitions`` tasks.
     """
-    columns = [*partition_by, *bucket_by]
+    columns = [quote(c) for c in (*partition_by, *bucket_by)]
     if columns:
         tasks = num_partitions or (num_buckets if not partition_by else None)
         first = [tasks] if tasks else []
-        return df.hint("rebalance", *first, *[quote(c) for c in columns])
+        if df.sparkSession.conf.get("spark.sql.adaptive.enabled").lower() == "true":
+            return df.hint("rebalance", *first, *columns)
+        split = F.pmod(F.spark_partition_id(), F.lit(_SPLITS))
+        return df.repartition(*first, *columns, split)
     return df.repartition(num_partitions) if num_partitions else df
 
 

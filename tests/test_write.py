@@ -151,6 +151,17 @@ def test_layout_plans(spark):
     assert "RoundRobinPartitioning(5)" in plan(lay_out(df, num_partitions=5))
 
 
+def test_layout_without_adaptive_execution(spark, db):
+    df = spark.range(0, 4000, 1, 8).selectExpr("id", "if(id % 8 < 6, 'hot', 'x') AS `p.q`")
+    with catalog.session_conf(spark, {"spark.sql.adaptive.enabled": "false"}):
+        overwrite(df, TableSpec(f"{db}.t", partition_by=["p.q"]))
+        overwrite(df, TableSpec(f"{db}.b", bucket_by=["id"], num_buckets=4))
+    table = spark.table(f"{db}.t")
+    assert table.count() == spark.table(f"{db}.b").count() == 4000
+    files = dict(table.groupBy("`p.q`").agg(F.countDistinct("_metadata.file_path")).collect())
+    assert 2 <= files["hot"] <= 8
+
+
 def test_catalog_helpers(spark, db):
     assert not catalog.table_exists(spark, f"{db}.t") and not catalog.table_exists(spark, "no_such_db.t")
     catalog.drop_table(spark, f"{db}.t")
