@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Iterator
 
@@ -14,6 +15,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 #: Bytes of text that a task works on at once; a longer text is worked on alone.
 SLICE_BYTES = 4 << 20
 
+#: Words that a task remembers.
+KNOWN_WORDS = 1_000_000
+
+_NOISE = re.compile(r"[\W_]+")
 _FIRST, _SECOND = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F  # odd, so that they have inverses mod 2**64
 
 
@@ -121,3 +126,32 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
 
 def signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))
+
+
+def token_hash(word: str) -> int:
+    """A hash of a word's letters and digits, without case; 0 if it has none."""
+    token = _NOISE.sub("", word.casefold())
+    return xxhash.xxh3_64_intdigest(token) | 1 if token else 0
+
+
+def known_values(words: list[str], known: dict, value) -> list:
+    """`value(word)` of each word, remembered in `known`, which starts anew when it is full."""
+    if len(known) > KNOWN_WORDS:
+        known.clear()
+    out = []
+    for word in words:
+        if (found := known.get(word)) is None:
+            known[word] = found = value(word)
+        out.append(found)
+    return out
+
+
+def tokens_of(texts: pa.Array, known: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Token hashes of all texts, where each text's begin and end, and each token's word number."""
+    words, bounds = split_words(texts)
+    distinct, at = distinct_words(words)
+    hashes = np.array(known_values(distinct, known, token_hash), np.uint64)[at]
+    kept = hashes != 0
+    counted = np.concatenate(([0], np.cumsum(kept)))
+    word = (np.arange(len(at)) - np.repeat(bounds[:-1], np.diff(bounds)))[kept]
+    return hashes[kept], counted[bounds], word
