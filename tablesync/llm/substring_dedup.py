@@ -204,6 +204,7 @@ def _removals(window: int, anchor: int, keep_layout: bool) -> Callable[[Iterator
                 yield pa.record_batch(
                     {
                         "doc_id": part.column("doc_id"),
+                        "carried": part.column("carried"),
                         "n_words": pa.array(words),
                         "n_removed": pa.array(n_removed),
                         "kept_text": pa.array(
@@ -218,16 +219,18 @@ def _removals(window: int, anchor: int, keep_layout: bool) -> Callable[[Iterator
 
 
 def remove_repeats(
-    docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR, keep_layout: bool = False
+    docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR, keep_layout: bool = False, carry: tuple[str, ...] = ()
 ) -> DataFrame:
     """One row per row of `docs` (doc_id, text): doc_id, n_words, n_removed, kept_text, kept_sha256.
 
+    The columns named in `carry` follow as the fields of a struct `carried`, null if there are none.
     `kept_text` joins the kept words by one space; with `keep_layout` a text that loses none
     stays as it is. `kept_sha256` is always of the joined words.
     """
     if not 0 < anchor <= window or window - anchor > 62:
         raise ValueError("anchor must be in 1 .. window, and less than 63 below it")
-    own = docs.select("doc_id", "text").withColumn("text_key", F.xxhash64("doc_id", "text"))
+    carried = F.struct(*carry) if carry else F.lit(None).cast("int")
+    own = docs.select("doc_id", "text", carried.alias("carried"), F.xxhash64("doc_id", "text").alias("text_key"))
     read = own.select("text_key", "text")
 
     counted = read.mapInArrow(
@@ -275,7 +278,8 @@ def remove_repeats(
         .groupBy("text_key")
         .agg(F.collect_list(F.struct("digest", "second", "mask")).alias("repeats"))
     )
+    kind = own.schema["carried"].dataType.simpleString()
     return own.join(repeats, "text_key", "left").mapInArrow(
         _removals(window, anchor, keep_layout),
-        "doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string",
+        f"doc_id long, carried {kind}, n_words long, n_removed long, kept_text string, kept_sha256 string",
     )
