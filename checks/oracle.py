@@ -8,7 +8,7 @@ LINES = (
     "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
     "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
 )
-EVENTS = ("event_id", "event_type", "user_id", "value")
+EVENTS = ("event_id", "ts", "user_id", "event_type", "value", "props")
 
 YEAR = "CAST(year(o_orderdate) AS VARCHAR) AS o_year"
 
@@ -23,6 +23,15 @@ FROM orders
 """
 
 
+def blanks(old: str, new: str, more: str = "") -> str:
+    """All orders with status `old`, and the urgent ones again with new keys and status `new`."""
+    others = "o_custkey, o_totalprice, o_orderdate, o_orderpriority"
+    return f"""
+        SELECT o_orderkey, {others}, {old} AS o_orderstatus{more} FROM orders
+        UNION ALL
+        SELECT -o_orderkey, {others}, {new}{more} FROM orders WHERE o_orderpriority = '1-URGENT'"""
+
+
 def merged(old: str, new: str, keys: tuple[str, ...], columns: tuple[str, ...]) -> str:
     picked = ", ".join(f"coalesce(t.{c}, s.{c}) AS {c}" for c in columns)
     on = " AND ".join(f"s.{k} = t.{k}" for k in keys)
@@ -65,6 +74,12 @@ ORACLE: dict[str, str] = {
     "write_formats": """
         SELECT customer.*, file_format
         FROM customer, (VALUES ('orc'), ('parquet'), ('json'), ('csv')) AS f(file_format)""",
+    "write_formats_events": """
+        SELECT events.*, file_format
+        FROM events, (VALUES ('orc'), ('parquet'), ('json'), ('csv')) AS f(file_format)""",
+    "write_formats_documents": """
+        SELECT documents.*, file_format
+        FROM documents, (VALUES ('orc'), ('parquet'), ('json'), ('csv')) AS f(file_format)""",
     "write_bucketed": ALL_ORDERS,
     "write_bucketed_partitioned": ALL_ORDERS,
     "write_repartitioned": ALL_ORDERS,
@@ -94,6 +109,13 @@ ORACLE: dict[str, str] = {
     "merge_partition_follows_key": f"""
         SELECT *, CAST(CAST(trunc(o_orderkey / 5000) AS BIGINT) AS VARCHAR) AS key_range
         FROM ({MERGED_ORDERS})""",
+    "merge_empty_partition_text": blanks("CASE WHEN o_orderstatus = 'O' THEN 'O' END", "NULL"),
+    "merge_empty_partition_text_external": blanks("CASE WHEN o_orderstatus = 'O' THEN 'O' END", "NULL"),
+    "merge_empty_derived_text": blanks(
+        "CASE o_orderstatus WHEN 'F' THEN '' WHEN 'O' THEN 'O' END", "''", ", CAST(NULL AS VARCHAR) AS tail"
+    ),
+    "merge_two_partition_columns": MERGED_ORDERS,
+    "append_then_merge_derived": f"SELECT *, {YEAR} FROM ({MERGED_ORDERS})",
     "merge_composite_key": merged(
         "SELECT * FROM conversations",
         """SELECT conv_id, CASE WHEN role = 'user' THEN turn ELSE turn + 1000 END AS turn,
@@ -130,10 +152,10 @@ ORACLE: dict[str, str] = {
     ),
     "merge_hot_key": merged(
         """SELECT CASE WHEN event_type = (SELECT min(event_type) FROM events) THEN -1 ELSE event_id END AS event_id,
-                  event_type, user_id, value
+                  ts, user_id, event_type, value, props
            FROM events""",
         """SELECT CASE WHEN event_type = (SELECT max(event_type) FROM events) THEN -2 ELSE event_id END AS event_id,
-                  event_type, user_id,
+                  ts, user_id, event_type, props,
                   CASE WHEN event_type <> (SELECT max(event_type) FROM events) THEN -value END AS value
            FROM events""",
         ("event_id",),

@@ -3,7 +3,6 @@ returns what a reader of the result sees."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from functools import reduce
@@ -17,12 +16,12 @@ from tablesync.spec import FILE_FORMATS
 
 class Workspace:
     """A fresh schema and folder: in the cluster's shared folder where it names
-    one, in a new temporary folder otherwise."""
+    one, in the warehouse otherwise."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self.db = f"ts_{uuid.uuid4().hex[:12]}"
-        shared = catalog.shared_folder(spark) or tempfile.mkdtemp(prefix="tablesync-")
+        shared = catalog.shared_folder(spark) or spark.conf.get("spark.sql.warehouse.dir")
         self.base = f"{shared.rstrip('/')}/{self.db}"
         catalog.ensure_schema(spark, self.db, f"{self.base}/managed")
 
@@ -141,14 +140,26 @@ def partition_columns_last(w: Workspace) -> DataFrame:
 # --- writes -----------------------------------------------------------------------
 
 
-def write_formats(w: Workspace) -> DataFrame:
+def _in_all_formats(w: Workspace, name: str) -> DataFrame:
     read = []
     for file_format in FILE_FORMATS:
-        ts.overwrite(w.read("customer"), w.spec(file_format, external=True, file_format=file_format))
+        ts.overwrite(w.read(name), w.spec(file_format, external=True, file_format=file_format))
         read.append(w.table(file_format).withColumn("file_format", F.lit(file_format)))
     return reduce(DataFrame.unionByName, read)
 
 
+def write_formats(w: Workspace) -> DataFrame:
+    return _in_all_formats(w, "customer")
+
+
+def write_formats_events(w: Workspace) -> DataFrame:
+    return _in_all_formats(w, "events")
+
+
+def write_formats_documents(w: Workspace) -> DataFrame:
+    return _in_all_formats(w, "documents")
+
+
 def write_bucketed(w: Workspace) -> DataFrame:
     ts.overwrite(w.read("orders"), w.spec(bucket_by=["o_custkey"], num_buckets=4))
     return w.table()
@@ -298,6 +309,43 @@ def merge_null_update(w: Workspace) -> DataFrame:
     return w.table()
 
 
+def _merged_with_blanks(w: Workspace, **options) -> DataFrame:
+    """Orders whose status is empty text for one value and null for another, merged with changes."""
+    status = F.when(F.col("o_orderstatus") == "F", "").when(F.col("o_orderstatus") == "O", "O")
+    orders = w.read("orders").withColumn("o_orderstatus", status)
+    spec = w.spec(keys=["o_orderkey"], **options)
+    ts.overwrite(orders, spec)
+    few = w.read("orders").where("o_orderpriority = '1-URGENT'")
+    ts.merge(few.withColumns({"o_orderkey": -F.col("o_orderkey"), "o_orderstatus": F.lit("")}), spec)
+    return w.table()
+
+
+def merge_empty_partition_text(w: Workspace) -> DataFrame:
+    return _merged_with_blanks(w, partition_by=["o_orderstatus"])
+
+
+def merge_empty_partition_text_external(w: Workspace) -> DataFrame:
+    return _merged_with_blanks(w, partition_by=["o_orderstatus"], external=True)
+
+
+def merge_empty_derived_text(w: Workspace) -> DataFrame:
+    return _merged_with_blanks(w, derived={"tail": "substr(o_orderstatus, 2, 3)"})
+
+
+def merge_two_partition_columns(w: Workspace) -> DataFrame:
+    return _merged_orders(w, partition_by=["o_orderstatus", "o_orderpriority"], **JOINED)
+
+
+def append_then_merge_derived(w: Workspace) -> DataFrame:
+    """Rows come by append and by merge into a table with a derived partition."""
+    orders = w.read("orders")
+    spec = w.spec(keys=["o_orderkey"], derived=BY_YEAR)
+    ts.overwrite(orders.where("o_orderstatus = 'F'"), spec)
+    ts.append(orders.where("o_orderstatus <> 'F'"), spec)
+    ts.merge(order_changes(orders), spec)
+    return w.table()
+
+
 def merge_null_keys(w: Workspace) -> DataFrame:
     orders = w.read("orders").withColumn(
         "o_orderkey", F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey"))
@@ -326,7 +374,7 @@ def merge_duplicate_keys(w: Workspace) -> DataFrame:
 
 def merge_hot_key(w: Workspace) -> DataFrame:
     """One key holds a fifth of the existing events, another of the incoming ones."""
-    events = w.read("events").select("event_id", "event_type", "user_id", "value")
+    events = w.read("events")
     types = events.select("event_type").distinct()
     hot_old, hot_new = types.agg(F.min("event_type"), F.max("event_type")).first()
     spec = w.spec(keys=["event_id"], hot_key_rows=100, **JOINED)
@@ -414,9 +462,13 @@ def describe_ddl(w: Workspace) -> DataFrame:
 
 
 def relocate_dataset(w: Workspace) -> DataFrame:
-    source, target = _orders_by(w, "o_orderstatus", "o_year"), w.path("copy")
-    ts.relocate_dataset(w.spark, source, target)
-    ts.relocate_dataset(w.spark, source, target)
+    """The second copy replaces the first, of other rows, in a session whose overwrites are dynamic."""
+    source, target, other = _orders_by(w, "o_orderstatus", "o_year"), w.path("copy"), w.path("other")
+    rows = ts.add_derived(w.read("orders").withColumn("o_orderstatus", F.lit("old")), BY_YEAR)
+    rows.write.partitionBy("o_orderstatus", "o_year").parquet(other)
+    with catalog.session_conf(w.spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+        ts.relocate_dataset(w.spark, other, target)
+        ts.relocate_dataset(w.spark, source, target)
     return ts.scan(w.spark, target, "parquet", infer_partition_types=False)
 
 
@@ -446,6 +498,8 @@ QUERIES: dict[str, Query] = {
         derived_partition,
         partition_columns_last,
         write_formats,
+        write_formats_events,
+        write_formats_documents,
         write_bucketed,
         write_bucketed_partitioned,
         write_repartitioned,
@@ -467,6 +521,11 @@ QUERIES: dict[str, Query] = {
         merge_partition_follows_key,
         merge_composite_key,
         merge_null_update,
+        merge_empty_partition_text,
+        merge_empty_partition_text_external,
+        merge_empty_derived_text,
+        merge_two_partition_columns,
+        append_then_merge_derived,
         merge_null_keys,
         merge_duplicate_keys,
         merge_hot_key,

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
 
 
+_UNREPAIRED = "tablesync.unrepaired"
+
+
 def quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -48,11 +51,22 @@ def drop_table(spark: SparkSession, table: str) -> None:
 
 
 def rename_table(spark: SparkSession, table: str, new_name: str) -> None:
-    """Rename, and register the partitions again under the new location."""
+    """Rename, and register the partitions again under the new location.
+
+    The table is marked meanwhile; ``finish_rename`` does what a stop between left undone.
+    """
     partitioned = bool(table_info(spark, table).partition_by)
-    spark.sql(f"ALTER TABLE {qualified(spark, table)} RENAME TO {qualified(spark, new_name)}")
     if partitioned:
-        repair_table(spark, new_name)
+        set_properties(spark, table, {_UNREPAIRED: "true"})
+    spark.sql(f"ALTER TABLE {qualified(spark, table)} RENAME TO {qualified(spark, new_name)}")
+    finish_rename(spark, new_name)
+
+
+def finish_rename(spark: SparkSession, table: str) -> None:
+    """Register the partitions of a table that was renamed but not yet repaired."""
+    if _UNREPAIRED in table_info(spark, table).properties:
+        repair_table(spark, table)
+        unset_properties(spark, table, [_UNREPAIRED])
 
 
 def repair_table(spark: SparkSession, table: str) -> None:
@@ -66,6 +80,11 @@ def set_properties(spark: SparkSession, table: str, properties: Mapping[str, str
         spark.sql(f"ALTER TABLE {qualified(spark, table)} SET TBLPROPERTIES ({pairs})")
 
 
+def unset_properties(spark: SparkSession, table: str, names: Iterable[str]) -> None:
+    if listed := ", ".join(map(text_literal, names)):
+        spark.sql(f"ALTER TABLE {qualified(spark, table)} UNSET TBLPROPERTIES IF EXISTS ({listed})")
+
+
 @dataclass(frozen=True)
 class TableInfo:
     """How the catalog says a table is laid out."""
@@ -77,6 +96,8 @@ class TableInfo:
     bucket_by: tuple[str, ...]
     num_buckets: int | None
     properties: Mapping[str, str] = field(default_factory=dict)
+    comment: str | None = None
+    column_comments: Mapping[str, str] = field(default_factory=dict)
 
 
 def table_info(spark: SparkSession, table: str) -> TableInfo:
@@ -90,6 +111,8 @@ def table_info(spark: SparkSession, table: str) -> TableInfo:
         bucket_by=tuple(about.get("bucket_columns") or ()),
         num_buckets=about.get("num_buckets") if about.get("bucket_columns") else None,
         properties=about.get("table_properties") or {},
+        comment=about.get("comment"),
+        column_comments={c["name"]: c["comment"] for c in about["columns"] if c.get("comment")},
     )
 
 

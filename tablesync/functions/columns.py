@@ -74,10 +74,19 @@ def typed_ingest(
 
 
 def add_derived(df: DataFrame, derived: Mapping[str, str]) -> DataFrame:
-    """Add partition columns computed by SQL expressions, stored as text."""
+    """Add partition columns computed by SQL expressions, stored as text; empty text is null."""
     if not derived:
         return df
-    return df.withColumns({alias: F.expr(e).cast("string") for alias, e in derived.items()})
+    return df.withColumns(
+        {alias: F.nullif(F.expr(e).cast("string"), F.lit("")) for alias, e in derived.items()}
+    )
+
+
+def blank_partitions_to_null(df: DataFrame, partition_by: Iterable[str]) -> DataFrame:
+    """Empty text in partition columns as null, which is how a table stores it."""
+    text = {f.name for f in df.schema if isinstance(f.dataType, T.StringType)}
+    chosen = {c: F.nullif(column(c), F.lit("")) for c in partition_by if c in text}
+    return df.withColumns(chosen) if chosen else df
 
 
 def split_columns(

@@ -8,8 +8,25 @@ from pyspark.sql import DataFrame, DataFrameWriter, functions as F
 
 from tablesync.catalog import quote
 
-# Without adaptive execution: into how many tasks one directory may be split.
-_SPLITS = 16
+# How text formats keep microseconds, line breaks, blanks and empty text.
+_TEXT_OPTIONS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+FORMAT_OPTIONS = {
+    "json": _TEXT_OPTIONS,
+    "csv": _TEXT_OPTIONS
+    | {
+        "header": "true",
+        "multiLine": "true",
+        "escape": '"',
+        "nullValue": "\u0000",
+        "emptyValue": "",
+        "ignoreLeadingWhiteSpace": "false",
+        "ignoreTrailingWhiteSpace": "false",
+    },
+}
+_BUCKET = "__tablesync_bucket"
 
 
 def lay_out(
@@ -21,24 +38,35 @@ def lay_out(
 ) -> DataFrame:
     """Spread rows over write tasks so that files are few and tasks are even.
 
-    A partitioned or bucketed target is rebalanced by its layout columns: rows
-    of one directory (or bucket) meet in one task, so not every task opens a
-    file in every directory, and adaptive execution splits a directory that
+    A partitioned or bucketed target is rebalanced by its directories and bucket
+    numbers: rows of one directory (or bucket) meet in one task, so not every task
+    opens a file in every directory, and adaptive execution splits a directory that
     holds far more rows than others over several tasks. Where that is turned off,
     each directory is split by the tasks that read its rows. A plain target is
     written as it comes, or in exactly ``num_partitions`` tasks.
     """
-    columns = [quote(c) for c in (*partition_by, *bucket_by)]
+    columns = [quote(c) for c in partition_by]
+    if bucket_by:
+        # the number of the bucket, as the writer computes it
+        number = F.pmod(F.hash(*[F.col(quote(c)) for c in bucket_by]), F.lit(num_buckets))
+        df = df.withColumn(_BUCKET, number)
+        columns.append(_BUCKET)
     if columns:
         tasks = num_partitions or (num_buckets if not partition_by else None)
         first = [tasks] if tasks else []
         if df.sparkSession.conf.get("spark.sql.adaptive.enabled").lower() == "true":
-            return df.hint("rebalance", *first, *columns)
-        split = F.pmod(F.spark_partition_id(), F.lit(_SPLITS))
-        return df.repartition(*first, *columns, split)
+            return df.hint("rebalance", *first, *columns).drop(_BUCKET)
+        # buckets stay whole; a directory without buckets is split by the tasks that read its rows
+        split = [] if bucket_by else [F.pmod(F.spark_partition_id(), F.lit(_split_count(df)))]
+        return df.repartition(*first, *columns, *split).drop(_BUCKET)
     return df.repartition(num_partitions) if num_partitions else df
 
 
+def _split_count(df: DataFrame) -> int:
+    """As many parts as the cluster runs tasks at once."""
+    return max(1, df.sparkSession.sparkContext.defaultParallelism)
+
+
 def table_writer(
     df: DataFrame,
     file_format: str,
@@ -48,7 +76,7 @@ def table_writer(
     bucket_by: Sequence[str] = (),
     num_buckets: int | None = None,
 ) -> DataFrameWriter:
-    writer = df.write.format(file_format).mode(mode)
+    writer = df.write.format(file_format).mode(mode).options(**FORMAT_OPTIONS.get(file_format, {}))
     if path:
         writer = writer.option("path", path)
     if partition_by:

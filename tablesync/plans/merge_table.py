@@ -1,32 +1,35 @@
 """Merge a frame into a catalog table.
 
-Three ways to publish the merged rows, chosen per merge:
-
-* *in place* -- no row changes partition, either because the partition follows
-  from the merge key or because one look at the matched rows says so. The touched
-  partitions are read, merged and overwritten in one dynamic partition overwrite:
-  each row is written once.
-* *staged* -- rows change partition, or the table is external. The merged rows of
-  the touched partitions (or of the whole table) are written to a stage table,
-  which then replaces them. The stage is kept until that has succeeded.
-* *renamed* -- a managed table of which most must be rewritten: the merged rows
-  are written once to a new table, which takes the place of the old one.
+How the merged rows are published follows from the table and the spec alone:
+
+* *touched* -- a partitioned table. The partitions that incoming rows and their
+  matches lie in are read and merged into a stage table, which then replaces them.
+  ``rewrite="all"``, or derived columns that are not a function of the row or not
+  those the table was written with, turn this off.
+* *renamed* -- a managed table where renaming moves no data: the merged rows are
+  written once to a new table, which takes the place of the old one.
+* *staged* -- any other table: the stage holds all merged rows.
+
+A stage is kept, with its mark, until it has replaced the target's rows, so a merge
+that is broken off can be finished. Helper tables name the table they belong to in a
+property; nothing without it is ever touched.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Collection, Iterable, Sequence
 from dataclasses import dataclass, replace
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tablesync.catalog import (
     TableInfo,
     drop_table,
     ensure_schema,
+    finish_rename,
     qualified,
     quote,
     rename_table,
@@ -37,15 +40,16 @@ from tablesync.catalog import (
     table_exists,
     table_info,
     text_literal,
+    unset_properties,
 )
 from tablesync.functions.columns import (
     add_derived,
-    column,
+    blank_partitions_to_null,
     conform,
     partition_columns_last,
     pick,
 )
-from tablesync.operators.layout import lay_out
+from tablesync.operators.layout import FORMAT_OPTIONS, lay_out
 from tablesync.operators.merge import (
     KeySkew,
     check_unique,
@@ -61,38 +65,86 @@ from tablesync.spec import SpecError, TableSpec
 STAGE_SCHEMA = "tablesync_stage"
 _READY = "tablesync.stage.ready"
 _TARGET_PATH = "tablesync.stage.path"
-_EMPTIED = "tablesync.stage.emptied."
+_OWNER = "tablesync.owner"
 _WHOLE, _TOUCHED = "whole", "touched"
-_LEFT = "tablesync: a merged row left the touched partitions"
-
-# Beyond this many touched partitions the whole table is rewritten.
-_MAX_TOUCHED = 10_000
-
-# SQL functions whose value is not a function of the row.
-_UNSTABLE = (
-    "curdate", "current_date", "current_timestamp", "input_file_name", "localtimestamp",
-    "monotonically_increasing_id", "now", "rand", "randn", "random", "randstr", "shuffle",
-    "spark_partition_id", "uniform", "uuid",
-)
 
 # File systems on which renaming a directory moves no data.
 _CHEAP_RENAME = ("file", "hdfs", "viewfs", "abfs", "abfss")
 
 
+def _full_name(spark: SparkSession, table: str) -> str:
+    return json.dumps(split_name(spark, table))
+
+
 def stage_name(spark: SparkSession, table: str, role: str = "stage") -> str:
     """Where a merge keeps its intermediate rows: in the cluster's shared
     checkpoint folder where one is set, else beside the table."""
-    db, name = split_name(spark, table)
     shared = shared_folder(spark)
     if not shared:
-        return f"{db}.{name}__{role}"
+        return successor_name(spark, table, role)
     ensure_schema(spark, STAGE_SCHEMA, f"{shared.rstrip('/')}/{STAGE_SCHEMA}")
-    return f"{STAGE_SCHEMA}.{db}__{name}__{role}"
+    return f"{STAGE_SCHEMA}.{_helper(spark, table, role)}"
+
 
+def successor_name(spark: SparkSession, table: str, role: str = "merged") -> str:
+    return f"{split_name(spark, table)[0]}.{_helper(spark, table, role)}"
 
-def successor_name(spark: SparkSession, table: str) -> str:
-    db, name = split_name(spark, table)
-    return f"{db}.{name}__merged"
+
+def _helper(spark: SparkSession, table: str, role: str) -> str:
+    digest = hashlib.sha1(_full_name(spark, table).encode()).hexdigest()[:16]
+    return f"{split_name(spark, table)[1]}__{digest}_{role}"
+
+
+def _owned(spark: SparkSession, helper: str, table: str) -> bool:
+    """Whether a helper table is there and was made for this table."""
+    if not table_exists(spark, helper):
+        return False
+    return table_info(spark, helper).properties.get(_OWNER) == _full_name(spark, table)
+
+
+def _drop_helper(spark: SparkSession, helper: str, table: str) -> None:
+    if _owned(spark, helper, table):
+        drop_table(spark, helper)
+
+
+def _save_helper(
+    df: DataFrame,
+    helper: str,
+    table: str,
+    file_format: str = "orc",
+    partition_by: Sequence[str] = (),
+    bucket_by: Sequence[str] = (),
+    num_buckets: int | None = None,
+) -> None:
+    """Write rows to a new helper table, which names its owner from the start."""
+    spark = df.sparkSession
+    _drop_helper(spark, helper, table)
+    if table_exists(spark, helper):
+        raise SpecError(f"{helper} is in the way of a merge into {table}; it was not made by one")
+
+    def listed(names: Sequence[str]) -> str:
+        return "(" + ", ".join(map(quote, names)) + ")"
+
+    options = FORMAT_OPTIONS.get(file_format, {})
+    clauses = [
+        f"USING {file_format}",
+        "OPTIONS (" + ", ".join(f"{text_literal(k)} = {text_literal(v)}" for k, v in options.items()) + ")"
+        if options
+        else "",
+        f"PARTITIONED BY {listed(partition_by)}" if partition_by else "",
+        f"CLUSTERED BY {listed(bucket_by)} INTO {num_buckets} BUCKETS" if bucket_by else "",
+        f"TBLPROPERTIES ({text_literal(_OWNER)} = {text_literal(_full_name(spark, table))})",
+    ]
+    view = f"tablesync_{hashlib.sha1(helper.encode()).hexdigest()[:16]}"
+    spark.createDataFrame([], df.schema).createOrReplaceTempView(view)
+    try:
+        spark.sql(f"CREATE TABLE {qualified(spark, helper)} {' '.join(clauses)} AS SELECT * FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
+    spec = TableSpec(
+        helper, file_format=file_format, partition_by=partition_by, bucket_by=bucket_by, num_buckets=num_buckets
+    )
+    write.save(df, spec, helper, "append", None)
 
 
 def merge(df: DataFrame, spec: TableSpec) -> None:
@@ -114,6 +166,7 @@ def merge(df: DataFrame, spec: TableSpec) -> None:
     # Derived columns are outputs: they are computed again from the merged row.
     old = target.drop(*spec.derived)
     new = conform(rows, old.schema, write.case_sensitive(spark))
+    new = blank_partitions_to_null(new, spec.partition_by)
     named = {c.lower(): c for c in old.columns}
     spec = replace(spec, keys=[k if k in old.columns else named[k.lower()] for k in spec.keys])
     incoming = stage_name(spark, spec.table, "incoming")
@@ -126,13 +179,13 @@ def merge(df: DataFrame, spec: TableSpec) -> None:
         same_derivation = info.properties.get(write.DERIVED_PROPERTY) == (
             json.dumps(asked) if asked else None
         )
-        if info.partition_by and spec.rewrite == "touched" and same_derivation and _stable(spec):
-            if _merge_touched(target, new, spec, few, _renames(info)):
+        if info.partition_by and spec.rewrite == "touched" and same_derivation and _stable(new, spec):
+            if _merge_touched(target, new, spec, few):
                 return
         _merge_whole(old, new, spec, few, info)
     finally:
         if spec.stage_incoming:
-            drop_table(spark, incoming)
+            _drop_helper(spark, incoming, spec.table)
 
 
 def _take_in(new: DataFrame, spec: TableSpec, stage: str) -> tuple[DataFrame, bool]:
@@ -143,8 +196,7 @@ def _take_in(new: DataFrame, spec: TableSpec, stage: str) -> tuple[DataFrame, bo
     size = F.sum(row_bytes(new.schema)).alias("bytes")
     if spec.stage_incoming:
         seen = Observation()
-        staged = new.observe(seen, size)
-        staged.write.format("orc").mode("overwrite").saveAsTable(qualified(spark, stage))
+        _save_helper(new.observe(seen, size), stage, spec.table)
         new, measured = spark.table(qualified(spark, stage)), seen.get["bytes"]
     else:
         measured = new.agg(size).first()["bytes"] if spec.broadcast_bytes else None
@@ -164,31 +216,41 @@ def _merged(old: DataFrame, new: DataFrame, spec: TableSpec, few: bool) -> DataF
 # --- touched partitions -----------------------------------------------------
 
 
-@dataclass(frozen=True)
-class _Touched:
-    """The partitions to read: every combination of the listed values."""
-
-    columns: tuple[str, ...]
-    values: tuple[tuple[object, ...], ...]  # per column
-    matched: frozenset[tuple[object, ...]]  # partitions that hold matched old rows
-    rows_move: bool  # whether a matched row changes partition
-
-    def holds(self) -> Column:
-        def one(name: str, values: Sequence[object]) -> Column:
-            known = [v for v in values if v is not None]
-            test = column(name).isin(*known) if known else F.lit(False)
-            return (test | column(name).isNull()) if None in values else test
+def _values(partition: Iterable[object], schema: T.StructType, columns: Sequence[str]) -> list[str]:
+    """A partition's values as SQL literals of the columns' types."""
+    return [
+        f"CAST({'NULL' if v is None else text_literal(str(v))} AS {schema[c].dataType.simpleString()})"
+        for c, v in zip(columns, partition)
+    ]
+
+
+def _among(partitions: Collection[tuple], schema: T.StructType, columns: Sequence[str]) -> str:
+    """SQL text: a row's partition is one of these. Readable by a catalog column by
+    column, and exact for combinations of columns."""
+    if not partitions:
+        return "false"
+    rows = [_values(p, schema, columns) for p in partitions]
+    tests = []
+    for i, name in enumerate(map(quote, columns)):
+        known = sorted({row[i] for row, p in zip(rows, partitions) if p[i] is not None})
+        either = [f"{name} IN ({', '.join(known)})"] if known else []
+        either += [f"{name} IS NULL"] if any(p[i] is None for p in partitions) else []
+        tests.append("(" + " OR ".join(either) + ")")
+    if len(columns) > 1:
+        named = lambda values: "named_struct(" + ", ".join(f"'p{i}', {v}" for i, v in enumerate(values)) + ")"
+        tests.append(f"{named(map(quote, columns))} IN ({', '.join(map(named, rows))})")
+    return " AND ".join(tests)
 
-        return reduce(lambda a, b: a & b, map(one, self.columns, self.values))
 
-    def __contains__(self, partition: Sequence[object]) -> bool:
-        return all(v in values for v, values in zip(partition, self.values))
+@dataclass(frozen=True)
+class _Touched:
+    """The partitions to read, and those of them that hold matched old rows.
 
+    They are partitions of one table, which its catalog lists on the driver as well.
+    """
 
-def _few_rows(df: DataFrame) -> list[Row] | None:
-    """The distinct rows, or None when there are very many."""
-    found = df.distinct().limit(_MAX_TOUCHED + 1).collect()
-    return None if len(found) > _MAX_TOUCHED else found
+    partitions: frozenset[tuple[object, ...]]
+    matched: frozenset[tuple[object, ...]]
 
 
 def _mentions(expression: str, name: str) -> bool:
@@ -199,9 +261,21 @@ def _mentions(expression: str, name: str) -> bool:
     return word.replace("`", "``") in text
 
 
-def _stable(spec: TableSpec) -> bool:
-    """Whether derived values depend on the row alone."""
-    return not any(_mentions(e, f) for e in spec.derived.values() for f in _UNSTABLE)
+def _stable(rows: DataFrame, spec: TableSpec) -> bool:
+    """Whether derived values depend on the row alone: the analyzed expressions are
+    deterministic, and all they start from is columns and literals (so no clock, no user)."""
+    if not spec.derived:
+        return True
+    found = rows.selectExpr(*spec.derived.values())._jdf.queryExecution().analyzed().expressions()
+    for i in range(found.size()):
+        expression = found.apply(i)
+        if not expression.deterministic():
+            return False
+        leaves = expression.collectLeaves()
+        kinds = {leaves.apply(j).getClass().getSimpleName() for j in range(leaves.size())}
+        if kinds - {"AttributeReference", "Literal"}:
+            return False
+    return True
 
 
 def _follows_from_keys(columns: Sequence[str], spec: TableSpec) -> bool:
@@ -217,24 +291,13 @@ def _partition(spec: TableSpec) -> str:
     return f"struct({', '.join(map(quote, spec.partition_columns))})"
 
 
-def _find_touched(
-    target: DataFrame, new: DataFrame, spec: TableSpec, few: bool, most: int
-) -> _Touched | None:
-    """Which partitions the incoming rows touch; None when there are very many.
-
-    Many incoming rows that land in more than ``most`` partitions are not looked
-    up in the table at all."""
-    columns = spec.partition_columns
-    landing = add_derived(new, spec.derived).selectExpr(
-        f"{_partition(spec)} AS part_from", f"{_partition(spec)} AS part_to", "false AS matched"
-    )
+def _find_touched(target: DataFrame, new: DataFrame, spec: TableSpec, few: bool) -> _Touched:
+    """Which partitions the incoming rows touch: those they land in, and those their
+    matches are in and go to."""
+    landing = add_derived(new, spec.derived).selectExpr(f"{_partition(spec)} AS part", "false AS matched")
     if _follows_from_keys(new.columns, spec):
-        moves = landing
+        ends = landing
     else:
-        if not few:
-            spots = _few_rows(landing)
-            if spots is None or len(spots) > most:
-                return None
         # Of the table only the keys, the partition columns and what the derived
         # expressions read are scanned here.
         was = "__partition_before"
@@ -244,80 +307,42 @@ def _find_touched(
             spec.keys,
             was,
         )
-        matched = add_derived(paired, spec.derived).selectExpr(
-            f"{was} AS part_from", f"{_partition(spec)} AS part_to", "true AS matched"
+        matched = add_derived(paired, spec.derived).select(
+            F.expr(
+                f"inline(array(struct({was} AS part, true AS matched), "
+                f"struct({_partition(spec)} AS part, false AS matched)))"
+            )
         )
-        moves = matched.unionAll(landing)
-    found = _few_rows(moves)
-    if found is None:
-        return None
-    ends = [tuple(end) for row in found for end in (row["part_from"], row["part_to"])]
-    return _Touched(
-        columns,
-        tuple(tuple({end[i] for end in ends}) for i in range(len(columns))),
-        frozenset(tuple(row["part_from"]) for row in found if row["matched"]),
-        any(row["part_from"] != row["part_to"] for row in found),
-    )
-
+        ends = landing.unionAll(matched)
+    found = [(tuple(row["part"]), row["matched"]) for row in ends.distinct().collect()]
+    return _Touched(frozenset(p for p, _ in found), frozenset(p for p, matched in found if matched))
 
-def _merge_touched(
-    target: DataFrame, new: DataFrame, spec: TableSpec, few: bool, renames: bool
-) -> bool:
-    """Rewrite only the partitions the incoming rows touch; False if that is not the way.
 
-    A table that can be replaced by renaming is written once when rewritten as a
-    whole, and a stage twice: there half the partitions is where they are even."""
+def _merge_touched(target: DataFrame, new: DataFrame, spec: TableSpec, few: bool) -> bool:
+    """Rewrite only the partitions the incoming rows touch; False if the rows were not
+    the same as when they were looked at."""
     spark = target.sparkSession
-    most = _MAX_TOUCHED
-    if renames:
-        most = spark.sql(f"SHOW PARTITIONS {qualified(spark, spec.table)}").count() // 2
-    touched = _find_touched(target, new, spec, few, most)
-    if touched is None:
-        return False
-    if not any(touched.values):  # nothing came in
+    columns = spec.partition_columns
+    touched = _find_touched(target, new, spec, few)
+    if not touched.partitions:  # nothing came in
         return True
-    if touched.rows_move and len(touched.matched) > most:
-        return False
-
-    old = target.where(touched.holds()).drop(*spec.derived)
+    old = target.where(_among(touched.partitions, target.schema, columns)).drop(*spec.derived)
     merged = add_derived(_merged(old, new, spec, few), spec.derived)
-    if not touched.rows_move:
-        return _overwrite_in_place(merged, target, spec, few, touched)
-
     stage = stage_name(spark, spec.table)
-    drop_table(spark, stage)
-    _save_stage(_spread(merged, spec), spec, stage)
+    _save_stage(_spread(merged, spec, few), spec, stage)
     staged = spark.table(qualified(spark, stage))
-    present = _few_rows(pick(staged, spec.partition_columns))
-    if present is None or not all(row in touched for row in map(tuple, present)):
-        # The rows were not the same as when they were looked at.
-        drop_table(spark, stage)
-        return False
-    emptied = touched.matched - set(map(tuple, present))
-    if spec.path and any(_unwritable(target.schema, spec, p) for p in emptied):
-        drop_table(spark, stage)
+    present = {tuple(row) for row in pick(staged, columns).distinct().collect()}
+    if not present <= touched.partitions:
+        _drop_helper(spark, stage, spec.table)
         return False
-    _publish_stage(spark, spec, stage, _TOUCHED, [_partition_clause(spec, p) for p in emptied])
-    return True
-
-
-def _overwrite_in_place(
-    merged: DataFrame, target: DataFrame, spec: TableSpec, few: bool, touched: _Touched
-) -> bool:
-    """One dynamic overwrite. A row for a partition that was not read would replace
-    rows that are not in the result, so it fails the job before anything is
-    committed; then this returns False."""
-    first = spec.partition_columns[0]
-    guarded = F.when(touched.holds(), column(first)).otherwise(F.raise_error(F.lit(_LEFT)))
-    shaped = pick(merged.withColumn(first, guarded), target.columns)
-    # Streamed past a broadcast, the rows of a partition are still in the few
-    # tasks that read its files.
-    try:
-        _insert_dynamic(shaped if few else _spread(shaped, spec), spec.table)
-    except Exception as error:
-        if _LEFT in str(error):
-            return False
-        raise
+    emptied = touched.matched - present
+    if emptied:
+        rows = [
+            (_partition_clause(spec, p), _among([p], target.schema, columns)) for p in sorted(emptied, key=repr)
+        ]
+        frame = spark.createDataFrame(rows, "clause string, test string")
+        _save_helper(frame.coalesce(1), stage_name(spark, spec.table, "emptied"), spec.table)
+    _publish_stage(spark, spec, stage, _TOUCHED)
     return True
 
 
@@ -341,22 +366,23 @@ def _merge_whole(
 ) -> None:
     spark = old.sparkSession
     merged = add_derived(_merged(old, new, spec, few), spec.derived)
-    if not few or spec.partition_columns or spec.num_partitions:
-        merged = _spread(merged, spec)
+    merged = _spread(merged, spec, few)
     if _renames(info):
         successor = successor_name(spark, spec.table)
         _save_stage(merged, spec, successor)
+        _describe(spark, successor, info)
         set_properties(spark, successor, write.derived_properties(spec))
         _take_over(spark, successor, spec.table)
         return
     stage = stage_name(spark, spec.table)
     _save_stage(merged, spec, stage)
-    _publish_stage(spark, spec, stage, _WHOLE, [])
+    _describe(spark, stage, info)
+    _publish_stage(spark, spec, stage, _WHOLE)
 
 
-def _spread(df: DataFrame, spec: TableSpec) -> DataFrame:
+def _spread(df: DataFrame, spec: TableSpec, few: bool) -> DataFrame:
     """Spread over write tasks, unless the join has already put each bucket in one task."""
-    if not spec.partition_columns and set(spec.bucket_columns) == set(spec.keys):
+    if not few and not spec.partition_columns and set(spec.bucket_columns) == set(spec.keys):
         return df
     return lay_out(
         df, spec.partition_columns, spec.bucket_columns, spec.num_buckets, spec.num_partitions
@@ -365,12 +391,27 @@ def _spread(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 def _save_stage(merged: DataFrame, spec: TableSpec, table: str) -> None:
     shaped = partition_columns_last(merged, spec.partition_columns)
-    write.save(shaped, spec, table, "overwrite", None)
+    _save_helper(
+        shaped, table, spec.table, spec.file_format, spec.partition_columns, spec.bucket_columns, spec.num_buckets
+    )
+
+
+def _describe(spark: SparkSession, table: str, info: TableInfo) -> None:
+    """Give a table the properties and comments of another."""
+    own = ("tablesync.", "spark.sql.")
+    set_properties(spark, table, {k: v for k, v in info.properties.items() if not k.startswith(own)})
+    if info.comment:
+        spark.sql(f"COMMENT ON TABLE {qualified(spark, table)} IS {text_literal(info.comment)}")
+    for name, comment in info.column_comments.items():
+        spark.sql(
+            f"ALTER TABLE {qualified(spark, table)} CHANGE COLUMN {quote(name)} COMMENT {text_literal(comment)}"
+        )
 
 
 def _take_over(spark: SparkSession, successor: str, table: str) -> None:
     drop_table(spark, table)
     rename_table(spark, successor, table)
+    unset_properties(spark, table, [_OWNER])
 
 
 # --- publishing a stage -----------------------------------------------------
@@ -383,46 +424,41 @@ def _partition_clause(spec: TableSpec, partition: Iterable[object]) -> str:
     return ", ".join(f"{quote(c)} = {value(v)}" for c, v in zip(spec.partition_columns, partition))
 
 
-def _unwritable(schema: T.StructType, spec: TableSpec, partition: Iterable[object]) -> bool:
-    """Spark overwrites no single partition of which a value other than text is null."""
-    return any(
-        v is None and not isinstance(schema[c].dataType, T.StringType)
-        for c, v in zip(spec.partition_columns, partition)
-    )
-
-
-def _publish_stage(
-    spark: SparkSession, spec: TableSpec, stage: str, reach: str, emptied: Sequence[str]
-) -> None:
+def _publish_stage(spark: SparkSession, spec: TableSpec, stage: str, reach: str) -> None:
     """Mark the stage as complete, replace the target's rows by it, drop it.
 
     The mark holds all that ``recover`` needs to do the second step again.
     """
     marks = {_READY: reach} | ({_TARGET_PATH: spec.path} if spec.path else {})
-    marks |= {f"{_EMPTIED}{i}": clause for i, clause in enumerate(emptied)}
     set_properties(spark, stage, marks | write.derived_properties(spec))
     _replay(spark, spec.table, stage)
 
 
+def _remove_partitions(spark: SparkSession, table: str, emptied: str) -> None:
+    """Drop the listed partitions in one statement; of an external table, their files before."""
+    listed = spark.table(qualified(spark, emptied)).collect()
+    if table_info(spark, table).external:
+        # Dropping the partition of an external table leaves its files.
+        gone = spark.table(qualified(spark, table)).where(" OR ".join(f"({row['test']})" for row in listed))
+        folders = gone.select(F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1)).distinct().collect()
+        jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for (folder,) in folders:
+            path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+            path.getFileSystem(conf).delete(path, True)
+    clauses = ", ".join(f"PARTITION ({row['clause']})" for row in listed)
+    spark.sql(f"ALTER TABLE {qualified(spark, table)} DROP IF EXISTS {clauses}")
+    spark.catalog.refreshTable(qualified(spark, table))
+
+
 def _replay(spark: SparkSession, table: str, stage: str) -> None:
     info = table_info(spark, stage)
     rows = spark.table(qualified(spark, stage))
     if info.properties[_READY] == _TOUCHED:
-        columns = spark.table(qualified(spark, table)).columns
-        _insert_dynamic(pick(rows, columns), table)
-        body = [c for c in columns if c not in info.partition_by]
-        nothing = ", ".join(quote(c) for c in body)
-        name = qualified(spark, table)
-        for key, clause in info.properties.items():
-            if not key.startswith(_EMPTIED):
-                continue
-            if _TARGET_PATH in info.properties:
-                # Dropping the partition of an external table leaves its files.
-                spark.sql(
-                    f"INSERT OVERWRITE {name} PARTITION ({clause}) "
-                    f"SELECT {nothing} FROM {qualified(spark, stage)} WHERE false"
-                )
-            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({clause})")
+        _insert_dynamic(pick(rows, spark.table(qualified(spark, table)).columns), table)
+        emptied = stage_name(spark, table, "emptied")
+        if _owned(spark, emptied, table):
+            _remove_partitions(spark, table, emptied)
+            drop_table(spark, emptied)
     else:
         derived = info.properties.get(write.DERIVED_PROPERTY)
         spec = TableSpec(
@@ -434,6 +470,7 @@ def _replay(spark: SparkSession, table: str, stage: str) -> None:
             num_buckets=info.num_buckets,
         )
         write.save(rows, spec, table, "overwrite", spec.path)
+        _describe(spark, table, info)
         if derived:
             set_properties(spark, table, {write.DERIVED_PROPERTY: derived})
     drop_table(spark, stage)
@@ -446,14 +483,17 @@ def recover(spark: SparkSession, table: str) -> None:
     was not complete: it is dropped and the table is as before that merge.
     """
     successor, stage = successor_name(spark, table), stage_name(spark, table)
-    drop_table(spark, stage_name(spark, table, "incoming"))
-    if table_exists(spark, successor):
+    _drop_helper(spark, stage_name(spark, table, "incoming"), table)
+    if _owned(spark, successor, table):
         if table_exists(spark, table):
             drop_table(spark, successor)
         else:
             rename_table(spark, successor, table)
-    if table_exists(spark, stage):
+    if table_exists(spark, table):
+        finish_rename(spark, table)
+    if _owned(spark, stage, table):
         if _READY in table_info(spark, stage).properties:
             _replay(spark, table, stage)
         else:
             drop_table(spark, stage)
+    _drop_helper(spark, stage_name(spark, table, "emptied"), table)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import re
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +15,14 @@ from tablesync.catalog import (
     split_name,
     table_exists,
     table_info,
+    unset_properties,
+)
+from tablesync.functions.columns import (
+    add_derived,
+    blank_partitions_to_null,
+    nested_to_json,
+    partition_columns_last,
 )
-from tablesync.functions.columns import add_derived, nested_to_json, partition_columns_last
 from tablesync.operators.layout import lay_out, table_writer
 from tablesync.spec import DEFAULT_FORMAT, SpecError, TableSpec
 
@@ -40,6 +45,7 @@ def derived_properties(spec: TableSpec) -> dict[str, str]:
 
 def with_layout(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Add derived columns, move partition columns last, spread over tasks."""
+    df = blank_partitions_to_null(df, spec.partition_by)
     shaped = partition_columns_last(add_derived(df, spec.derived), spec.partition_columns)
     return lay_out(
         shaped,
@@ -77,9 +83,15 @@ def append(df: DataFrame, spec: TableSpec) -> None:
     if not table_exists(spark, spec.table):
         return overwrite(df, spec)
     rows, spec = resolve(df, spec)
-    spec = fit_to_table(spark, spec, table_info(spark, spec.table))
+    info = table_info(spark, spec.table)
+    spec = fit_to_table(spark, spec, info)
+    stored = json.loads(info.properties.get(DERIVED_PROPERTY) or "{}")
+    if stored and spec.derived and stored != dict(spec.derived):
+        raise SpecError(f"{spec.table} derives {stored}, the spec {dict(spec.derived)}")
     shaped = with_layout(rows, spec)
     check_columns(spark, shaped, spec.table)
+    if stored and not spec.derived:  # the rows bring values of their own: none can be trusted any more
+        unset_properties(spark, spec.table, [DERIVED_PROPERTY])
     save(shaped, spec, spec.table, "append", None)
 
 
@@ -112,7 +124,7 @@ def fit_to_table(spark: SparkSession, spec: TableSpec, info: TableInfo) -> Table
     agree("bucket count", spec.num_buckets if spec.bucket_columns else None, info.num_buckets)
     if spec.path and not info.external:
         raise SpecError(f"{spec.table} is managed, the spec asks for path {spec.path}")
-    if spec.path and not _same_path(spec.path, info.location):
+    if spec.path and not _same_path(spark, spec.path, info.location):
         raise SpecError(f"{spec.table} is at {info.location}, the spec asks for {spec.path}")
     named = {fold(c): c for c in info.partition_by}
     return replace(
@@ -126,10 +138,14 @@ def fit_to_table(spark: SparkSession, spec: TableSpec, info: TableInfo) -> Table
     )
 
 
-def _same_path(asked: str, actual: str) -> bool:
-    """The same path below the root, whatever scheme and host are written."""
+def _same_path(spark: SparkSession, asked: str, actual: str) -> bool:
+    """The same path on the same store; what a path leaves out is the default store's."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    files = jvm.org.apache.hadoop.fs.FileSystem
+    default, root = files.getDefaultUri(conf), jvm.org.apache.hadoop.fs.Path("/")
 
-    def bare(path: str) -> str:
-        return re.sub(r"^[\w+.-]+:(//[^/]*)?", "", path).rstrip("/")
+    def whole(path: str) -> tuple[str, str, str]:
+        uri = jvm.org.apache.hadoop.fs.Path(path).makeQualified(default, root).toUri()
+        return (uri.getScheme() or "").lower(), (uri.getAuthority() or "").lower(), uri.getPath().rstrip("/")
 
-    return bare(asked) == bare(actual)
+    return whole(asked) == whole(actual)

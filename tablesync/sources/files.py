@@ -96,5 +96,7 @@ def relocate_dataset(
     writer = pick(frame, [*body, *partitions]).write
     if partitions:
         writer = writer.partitionBy(*partitions)
+    # a session's dynamic mode would leave partitions of an earlier copy
+    writer = writer.option("partitionOverwriteMode", "static")
     writer.format(target_format or file_format).mode("overwrite").save(target)
     return partitions

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
@@ -130,13 +129,11 @@ class TableSpec:
         """Build a spec from text options with comma-separated lists.
 
         Derived partitions are written ``expression:alias``. Commas inside
-        parentheses and colons inside the expression belong to the expression.
+        parentheses or quotes and colons inside the expression belong to the expression.
         """
 
         def items(name: str) -> list[str]:
-            text = options.get(name) or ""
-            parts = re.split(r",(?![^(]*\))", text)
-            return [p.strip() for p in parts if p.strip()]
+            return [p.strip() for p in _split_list(options.get(name) or "") if p.strip()]
 
         def number(name: str) -> int | None:
             return int(options[name]) if options.get(name) else None
@@ -161,6 +158,24 @@ class TableSpec:
         )
 
 
+def _split_list(text: str) -> list[str]:
+    """The parts between commas that stand outside all parentheses and quotes."""
+    parts, depth, quoted, start = [], 0, "", 0
+    for i, char in enumerate(text):
+        if quoted:
+            quoted = "" if char == quoted else quoted
+        elif char in "'\"`":
+            quoted = char
+        elif char in "([":
+            depth += 1
+        elif char in ")]":
+            depth -= 1
+        elif char == "," and depth <= 0:
+            parts.append(text[start:i])
+            start = i + 1
+    return [*parts, text[start:]]
+
+
 def _one_of(name: str, value: object, allowed: Sequence[object]) -> None:
     if value not in allowed:
         raise SpecError(f"{name} must be one of {allowed}, got {value!r}")

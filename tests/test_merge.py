@@ -114,7 +114,7 @@ def leftovers(spark, db):
     shared = spark.catalog.databaseExists(merge_table.STAGE_SCHEMA)
     staged = spark.catalog.listTables(merge_table.STAGE_SCHEMA) if shared else []
     return [t.name for t in spark.catalog.listTables(db) if t.name != "t"] + [
-        t.name for t in staged if t.name.startswith(db)
+        t.name for t in staged if t.name.startswith(merge_table._helper(spark, f"{db}.t", ""))
     ]
 
 
@@ -205,13 +205,113 @@ def test_derived_value_outside_the_read_partitions(spark, db):
     assert got[2] == (2, "c", 50, "c50") and len(got) == 8
 
 
-def test_guard_stops_rows_that_left_the_read_partitions(spark, db):
+def test_rows_that_left_the_read_partitions_rewrite_everything(spark, db, monkeypatch):
     spec = TableSpec(f"{db}.t", keys=["id"], partition_by=["a"])
-    overwrite(frame(spark, [(1, "x", 1), (2, "y", 2)]), spec)
-    touched = merge_table._Touched(("a",), (("x",),), frozenset(), False)
-    moved = frame(spark, [(2, "y", 9)]).select("id", "b", "a")
-    assert not merge_table._overwrite_in_place(moved, spark.table(spec.table), spec, True, touched)
-    assert rows(spark.table(spec.table)) == [(1, 1, "x"), (2, 2, "y")]
+    overwrite(frame(spark, OLD), spec)
+    few = frozenset([("nowhere",)])
+    monkeypatch.setattr(merge_table, "_find_touched", lambda *_: merge_table._Touched(few, frozenset()))
+    merge(frame(spark, NEW), spec)
+    assert rows(spark.table(spec.table).select("id", "a", "b")) == expected(OLD, NEW)
+    assert leftovers(spark, db) == []
+
+
+def test_only_touched_combinations_are_read(spark, db):
+    spec = TableSpec(f"{db}.t", keys=["id"], partition_by=["a", "b"])
+    overwrite(frame(spark, [(i, f"p{i % 10}", i // 10) for i in range(100)]), spec)
+    files = lambda: {
+        (r[0], r[1]): r[2] for r in spark.table(spec.table).select("a", "b", "_metadata.file_path").distinct().collect()
+    }
+    before = files()
+    merge(frame(spark, [(1000 + i, f"p{i}", i) for i in range(5)]), spec)
+    after = files()
+    assert len(before) == 100
+    assert {p for p in before if before[p] != after[p]} == {(f"p{i}", i) for i in range(5)}
+
+
+@pytest.mark.parametrize("rewrite", ["touched", "all"])
+@pytest.mark.parametrize("options", [{"partition_by": ["a"]}, {"derived": {"d": "substr(a, 2, 3)"}}])
+def test_empty_text_and_table_properties(spark, db, rewrite, options):
+    spec = TableSpec(f"{db}.t", keys=["id"], rewrite=rewrite, **options)
+    overwrite(frame(spark, [(1, None, 1), (2, "p", 2), (5, "xyz", 5)]), spec)
+    spark.sql(f"ALTER TABLE {spec.table} SET TBLPROPERTIES ('team' = 'x')")
+    spark.sql(f"COMMENT ON TABLE {spec.table} IS 'ours'")
+    spark.sql(f"ALTER TABLE {spec.table} CHANGE COLUMN id COMMENT 'the key'")
+    merge(frame(spark, [(3, "", 3), (1, "", 10)]), spec)
+    blank = None if "partition_by" in options else ""
+    got = rows(spark.table(spec.table).select("id", "a", "b"))
+    assert got == sorted([(1, blank, 10), (2, "p", 2), (3, blank, 3), (5, "xyz", 5)], key=repr)
+    info = table_info(spark, spec.table)
+    assert info.properties["team"] == "x" and info.comment == "ours" and info.column_comments["id"] == "the key"
+
+
+@pytest.mark.parametrize("name", ["t__stage", "t__incoming", "t__merged"])
+def test_tables_of_others_stay(spark, db, name):
+    overwrite(frame(spark, OLD), TableSpec(f"{db}.{name}"))
+    spec = TableSpec(f"{db}.t", keys=["id"])
+    overwrite(frame(spark, OLD), spec)
+    merge(frame(spark, NEW), spec)
+    assert rows(spark.table(f"{db}.{name}")) == sorted(OLD, key=repr)
+    assert rows(spark.table(spec.table)) == expected(OLD, NEW)
+
+
+def test_a_foreign_table_in_the_way_is_kept(spark, db):
+    spec = TableSpec(f"{db}.t", keys=["id"])
+    overwrite(frame(spark, OLD), spec)
+    taken = merge_table.stage_name(spark, spec.table, "incoming")
+    overwrite(frame(spark, OLD), TableSpec(taken))
+    with pytest.raises(SpecError, match="in the way"):
+        merge(frame(spark, NEW), spec)
+    assert rows(spark.table(taken)) == sorted(OLD, key=repr)
+
+
+def test_helper_names_differ_for_like_names(spark, monkeypatch):
+    monkeypatch.setattr(merge_table, "shared_folder", lambda _: "/tmp/none")
+    monkeypatch.setattr(merge_table, "ensure_schema", lambda *_: None)
+    assert merge_table.stage_name(spark, "a.b__c") != merge_table.stage_name(spark, "a__b.c")
+
+
+def test_stop_between_rename_and_repair(spark, db, monkeypatch):
+    from tablesync import catalog
+
+    spec = TableSpec(f"{db}.t", keys=["id"], partition_by=["a"], rewrite="all")
+    overwrite(frame(spark, OLD), spec)
+    with monkeypatch.context() as patch:
+        patch.setattr(catalog, "repair_table", lambda *_: (_ for _ in ()).throw(RuntimeError("broken off")))
+        with pytest.raises(RuntimeError):
+            merge(frame(spark, NEW), spec)
+    assert "tablesync.unrepaired" in table_info(spark, spec.table).properties
+    merge_table.recover(spark, spec.table)
+    assert rows(spark.table(spec.table).select("id", "a", "b")) == expected(OLD, NEW)
+
+
+def test_partition_lost_in_mid_commit(spark, db, monkeypatch):
+    """A driver that dies within the overwrite leaves a partition's directory gone."""
+    import shutil
+    from urllib.parse import urlparse
+
+    spec = TableSpec(f"{db}.t", keys=["id"], partition_by=["a"])
+    overwrite(frame(spark, [(1, "p", 1), (2, "p", 2), (3, "q", 3)]), spec)
+
+    def dies(df, table):
+        shutil.rmtree(urlparse(table_info(spark, table).location).path + "/a=p")
+        raise RuntimeError("broken off")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(merge_table, "_insert_dynamic", dies)
+        with pytest.raises(RuntimeError):
+            merge(frame(spark, [(1, "p", 10)]), spec)
+    merge_table.recover(spark, spec.table)
+    assert rows(spark.table(spec.table).select("id", "a", "b")) == [(1, "p", 10), (2, "p", 2), (3, "q", 3)]
+    assert leftovers(spark, db) == []
+
+
+def test_append_with_another_derivation(spark, db):
+    from tablesync import append
+
+    spec = TableSpec(f"{db}.t", keys=["id"], derived={"d": "b div 10"})
+    overwrite(frame(spark, OLD), spec)
+    with pytest.raises(SpecError, match="derives"):
+        append(frame(spark, NEW), TableSpec(f"{db}.t", derived={"d": "b div 100"}))
 
 
 def test_which_partitions_follow_from_the_key():
@@ -220,8 +320,13 @@ def test_which_partitions_follow_from_the_key():
     assert follows(partition_by=["id"]) and follows(derived={"p": "id % 10"})
     assert not follows(partition_by=["day"]) and not follows(derived={"p": "year(DAY)"})
     assert not follows(derived={"p": "concat(id, `a.b`)"})
-    stable = lambda e: merge_table._stable(TableSpec("d.t", derived={"p": e}))
-    assert stable("year(day)") and not stable("CURRENT_DATE()") and not stable("id + rand()")
+
+
+def test_which_expressions_follow_from_the_row(spark):
+    df = spark.sql("select 1 as id, date'2020-01-01' as day")
+    stable = lambda e: merge_table._stable(df, TableSpec("d.t", derived={"p": e}))
+    assert stable("year(day)") and stable("concat('a', id)")
+    assert not any(map(stable, ["CURRENT_DATE()", "id + rand()", "unix_timestamp()", "current_user()", "uuid()"]))
 
 
 def test_changed_derivation_rewrites_everything(spark, db):

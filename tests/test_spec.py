@@ -76,3 +76,10 @@ def test_text_options():
         TableSpec.from_options({"table": "d.t", "derivedPartitionColumns": "year(d)"})
     with pytest.raises(SpecError, match="table is required"):
         TableSpec.from_options({})
+
+
+def test_options_with_calls_in_calls_and_quotes():
+    spec = TableSpec.from_options(
+        {"table": "d.t", "derivedPartitionColumns": "concat(a, upper(b)):x, date_format(d, 'a,b:c'):y, `odd,name`:z"}
+    )
+    assert spec.derived == {"x": "concat(a, upper(b))", "y": "date_format(d, 'a,b:c')", "z": "`odd,name`"}

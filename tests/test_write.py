@@ -172,3 +172,21 @@ def test_catalog_helpers(spark, db):
     assert spark.table(f"{db}.u").count() == 3
     catalog.set_properties(spark, f"{db}.u", {"a'b": "c\\d'e"})
     assert catalog.table_info(spark, f"{db}.u").properties["a'b"] == "c\\d'e"
+
+
+def test_paths_on_other_stores_differ(spark):
+    from tablesync.plans.write import _same_path
+
+    assert _same_path(spark, "/a/b/", "file:/a/b") and _same_path(spark, "file:///a/b", "file:/a/b")
+    assert not _same_path(spark, "s3a://one/x", "s3a://two/x")
+
+
+def test_few_files_per_bucket(spark, db):
+    from pyspark.sql import functions as F
+
+    df = spark.range(0, 6000, 1, 8).select("id", (F.col("id") % 3).cast("string").alias("p"))
+    for i, tasks in enumerate((None, 50)):
+        spec = TableSpec(f"{db}.t{i}", partition_by=["p"], bucket_by=["id"], num_buckets=16, num_partitions=tasks)
+        overwrite(df, spec)
+        files = spark.table(spec.table).select("_metadata.file_path").distinct().count()
+        assert files <= 48 + 4, files
