@@ -269,7 +269,8 @@ def remove_repeats(
         .join(repeated, ["edge", "edge_second"])
         .select("digest", "second", F.col("bit").alias("mask"))
     )
-    straight = paths.where("not branches").select("digest", "second", F.lit(-1).cast("long").alias("mask"))
+    # the condition on text_key always holds; with it both uses of `paths` read the same columns and share a shuffle
+    straight = paths.where("not branches and text_key is not null").select("digest", "second", F.lit(-1).cast("long").alias("mask"))
     verdicts = masks.unionByName(straight).groupBy("digest", "second").agg(F.bit_or("mask").alias("mask"))
 
     repeats = (
