@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tablesync.llm.common import distinct_words, settled, slices, split_words
+from tablesync.llm.common import KNOWN_WORDS, distinct_words, settled, slices, split_words
 
 LENGTH = 2048
 END_ID = 1
@@ -34,7 +34,7 @@ MIN_PIECE = 16
 MERGED = 256
 
 _SEQUENCES = 40  # bits of a sequence id below the task's number
-_KNOWN = 1_000_000
+_TOGETHER = 200  # words encoded as one text, and texts encoded in one call
 _ROWS = 1 << 15
 _FIELDS = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "open", "ids"]
 SCHEMA = (
@@ -46,7 +46,7 @@ class Encoder:
     """Ids of texts. Words apart by ASCII white space are encoded once each and remembered.
 
     The tokenizer must drop white space and never join what it separates, as a vocabulary with
-    word ends does.
+    word ends does. New words are encoded many at a time; offsets tell whose each id is.
     """
 
     def __init__(self, path: str):
@@ -54,27 +54,43 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, np.ndarray] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.ids, self.sizes, self.starts = np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _learn(self, words: list[str]) -> None:
+        ids, sizes = [self.ids], [self.sizes]
+        parts = [words[i : i + _TOGETHER] for i in range(0, len(words), _TOGETHER)]
+        for begin in range(0, len(parts), _TOGETHER):
+            group = parts[begin : begin + _TOGETHER]
+            coded = self.tokenizer.encode_batch([" ".join(part) for part in group], add_special_tokens=False)
+            for part, found in zip(group, coded):
+                length = np.fromiter(map(len, part), np.int64, len(part)) + 1
+                at = np.array([start for start, _ in found.offsets], np.int64)
+                owner = np.searchsorted(np.cumsum(length) - length, at, side="right") - 1
+                ids.append(np.array(found.ids, "<u4"))
+                sizes.append(np.bincount(owner, minlength=len(part)))
+        self.number.update(zip(words, range(len(self.number), len(self.number) + len(words))))
+        self.ids, self.sizes = np.concatenate(ids), np.concatenate(sizes)
+        self.starts = np.cumsum(self.sizes) - self.sizes
 
     def __call__(self, texts: pa.Array, end_id: int) -> Iterator[np.ndarray]:
         words, bounds = split_words(texts)
         distinct, at = distinct_words(words)
-        new = [w for w in distinct if w not in self.known]
-        if len(self.known) + len(new) > _KNOWN:
-            self.known, new = {}, distinct
-        for begin in range(0, len(new), 10_000):
-            part = new[begin : begin + 10_000]
-            for word, coded in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[word] = np.array(coded.ids, "<u4")
-        ids = [self.known[w] for w in distinct]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat, starts = np.concatenate([*ids, np.zeros(0, "<u4")]), np.cumsum(sizes) - sizes
+        new = [w for w in distinct if w not in self.number]
+        if len(self.number) + len(new) > KNOWN_WORDS:
+            self._forget()
+            new = distinct
+        if new:
+            self._learn(new)
+        at = np.array([self.number[w] for w in distinct], np.int64)[at]
         end = np.full(1, end_id, "<u4")
         for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-            word = at[a:b]
-            n = sizes[word]
-            place = np.arange(n.sum()) + np.repeat(starts[word] - (np.cumsum(n) - n), n)
-            yield np.concatenate((flat[place], end))
+            n = self.sizes[at[a:b]]
+            place = np.arange(n.sum()) + np.repeat(self.starts[at[a:b]] - (np.cumsum(n) - n), n)
+            yield np.concatenate((self.ids[place], end))
 
 
 class _Window:
