@@ -3,7 +3,7 @@
 A URL's tokens are its scheme, host labels, path segments, file ending and query names. Spark's
 FP-growth mines the token sets that are frequent among labelled URLs, with the label as one more
 token; sets that hold a label give rules "these tokens, so this label". Rules below a support or
-confidence are pruned, and so is a rule that a part of its tokens gives as surely. Rules are
+confidence are pruned, and so is a rule that is as sure without one of its tokens. Rules are
 matched by an inverted index: each is listed under its rarest token, a URL looks up its tokens,
 and a rule fires if all its tokens are there. A URL is blocked if a block rule fires.
 
@@ -28,6 +28,8 @@ from tablesync.llm.common import settled
 
 #: Share of the labelled URLs, and of those with a rule's tokens, from which a rule counts.
 SUPPORT, CONFIDENCE = 0.01, 0.9
+#: Labelled URLs that a rule must rest on, however few there are in all.
+LEAST_URLS = 20
 #: How much surer than the label's own share a rule must be.
 LIFT = 1.1
 
@@ -76,6 +78,7 @@ def mined(labelled: DataFrame, *, support: float = SUPPORT, confidence: float =
     """Rules (antecedent: tokens, label, confidence, anchor: the rarest token) from `labelled` (tokens, label)."""
     items = F.concat("tokens", F.array(F.concat(F.lit(_LABEL), "label")))
     rows = labelled.where("label is not null and size(tokens) > 0").select(items.alias("items"))
+    support = min(1.0, max(support, LEAST_URLS / max(rows.count(), 1)))
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(rows)
     sets = settled(model.freqItemsets.select(F.array_sort("items").alias("items"), "freq"))
     # a set with a label, joined with the same set without it
@@ -98,16 +101,14 @@ def mined(labelled: DataFrame, *, support: float = SUPPORT, confidence: float =
     )
     n = total.first()[0] or 0
     rules = rules.where(F.col("lift") * n >= LIFT)
-    # rules of which a part gives the same label as surely: counted by shared tokens
+    # rules that give the same label as surely without one of their tokens
     number = F.xxhash64("antecedent", "label")
-    listed = rules.select(number.alias("id"), "label", "confidence", F.size("antecedent").alias("n"), F.explode("antecedent").alias("token"))
-    parts_ = listed.select(F.col("id").alias("part"), "label", "token", F.col("confidence").alias("sure"), F.col("n").alias("of"))
+    shorter = F.transform("antecedent", lambda token: F.array_remove("antecedent", token))
     redundant = (
-        listed.join(parts_, ["label", "token"])
-        .where("part != id and of < n and sure >= confidence")
-        .groupBy("id", "part", "of")
-        .count()
-        .where("count = of")
+        rules.where("size(antecedent) > 1")
+        .select(number.alias("id"), "label", "confidence", F.explode(shorter).alias("antecedent"))
+        .join(rules.select("antecedent", "label", F.col("confidence").alias("sure")), ["antecedent", "label"])
+        .where("sure >= confidence")
         .select("id")
         .distinct()
     )
