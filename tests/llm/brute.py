@@ -7,6 +7,12 @@ from collections import Counter, defaultdict
 
 import xxhash
 
+#: Null and empty texts, blanks, ties, repeated rows, null and repeated ids, one very long word.
+ODD = [
+    (1, None), (2, ""), (3, " \t\n"), (None, "a b c"), (None, "a b c"), (4, "a b c"), (4, "d e f"),
+    (5, "w " * 300), (6, "x" * 20_000), (7, "É été \x0b ß\r\nx"), (7, "É été \x0b ß\r\nx"), (8, None),
+]
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
