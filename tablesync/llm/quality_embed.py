@@ -45,8 +45,13 @@ def features(word: str) -> np.ndarray:
     """The buckets of a word and of its character n-grams."""
     framed = f"<{word}>"
     found = [crc32(word.encode())]
-    for n in NGRAMS:
-        found += [crc32(framed[i : i + n].encode()) for i in range(len(framed) - n + 1)]
+    if word.isascii():  # characters are bytes
+        coded = framed.encode()
+        for n in NGRAMS:
+            found += [crc32(coded[i : i + n]) for i in range(len(coded) - n + 1)]
+    else:
+        for n in NGRAMS:
+            found += [crc32(framed[i : i + n].encode()) for i in range(len(framed) - n + 1)]
     return np.array(found, np.int64) & _MASK
 
 
