@@ -5,9 +5,9 @@ old value otherwise. Other rows of either side pass through. Null keys match
 nothing. Repeated keys multiply, as in any join.
 
 A full outer join sends every row of one key to one task and adaptive execution
-cannot split it, so two kinds of rows are kept out of it: rows with a null key
-(they go straight to the result, with no shuffle) and the rows of the few keys
-that hold a large share of a side (they are spread over many tasks).
+cannot split it. So rows with a null key are kept out of it (they go straight to
+the result, with no shuffle), and the rows of keys that have many are dealt over
+the cells of a grid: one part of the old rows and one of the incoming rows each.
 
 Incoming rows known to be few take another way: they are broadcast, the old side
 is only streamed past them and never shuffled, and skew does not matter.
@@ -15,55 +15,28 @@ is only streamed past them and never shuffled, and skew does not matter.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from tablesync.catalog import quote
 from tablesync.functions.columns import NESTED
 from tablesync.spec import SpecError
 
-# The sketch keeps this many candidate keys per task; a key with more than about
-# 3.5 / 16384 (0.02 %) of the rows is always among them.
-_TRACKED_KEYS = 10_000
-_MAX_HOT_KEYS = 1_000
-_SKETCH_GROUPS = 256
-_MAX_SPLITS = 10_000
-
-
-@dataclass(frozen=True)
-class KeyProfile:
-    """What one pass over the key columns of a side found."""
-
-    rows: int
-    null_rows: int
-    hot: dict[int, int]  # key hash -> rows
-
 
 @dataclass(frozen=True)
 class KeySkew:
-    """Which rows the full outer join shall not see."""
+    """What a merge is told of the keys of its two sides.
+
+    ``hot`` is what ``hot_keys`` found in the very rows that are merged, kept as a
+    table; ``broadcast_hot`` says that it was measured and is small.
+    """
 
     null_keys: bool = True
-    hot_old: tuple[int, ...] = ()
-    hot_new: tuple[int, ...] = ()
-    splits: int = 1
-
-    @classmethod
-    def of(cls, old: KeyProfile, new: KeyProfile, hot_key_rows: int) -> KeySkew:
-        """A key hot on both sides is spread on the side that has more of it."""
-        hot_old = {h for h, n in old.hot.items() if n >= new.hot.get(h, 0)}
-        hot_new = {h for h in new.hot if h not in hot_old}
-        most = max([*old.hot.values(), *new.hot.values()], default=0)
-        return cls(
-            null_keys=bool(old.null_rows or new.null_rows),
-            hot_old=tuple(sorted(hot_old)),
-            hot_new=tuple(sorted(hot_new)),
-            splits=min(_MAX_SPLITS, math.ceil(most / hot_key_rows) + 1),
-        )
+    hot: DataFrame | None = None
+    broadcast_hot: bool = False
 
 
 # Expressions over many columns are written as text: it takes one call to the JVM
@@ -74,68 +47,40 @@ def _any_null(names: Sequence[str]) -> str:
     return "(" + " OR ".join(f"{n} IS NULL" for n in names) + ")"
 
 
-def _key_hash(names: Sequence[str]) -> str:
-    return f"xxhash64({', '.join(names)})"
-
-
-def profile_keys(
-    old: DataFrame, new: DataFrame, keys: Sequence[str], hot_key_rows: int
-) -> tuple[KeyProfile, KeyProfile]:
-    """Count rows and null keys and find the keys with ``hot_key_rows`` rows or
-    more, per side.
+def hot_keys(
+    old: DataFrame,
+    new: DataFrame,
+    keys: Sequence[str],
+    hot_key_rows: int,
+    seen: Observation | None = None,
+) -> DataFrame:
+    """The keys that ``hot_key_rows`` rows or more of a side have, counted exactly.
 
-    Reads the key columns of all rows once, in one job. Each task folds its rows
-    into one sketch of bounded size; the sketches are combined in two steps, so
-    neither a task nor the driver ever holds more than a bounded number of them.
+    Columns: the key as h0, h1, ...; ``old_parts`` and ``new_parts``, how many parts of
+    about ``hot_key_rows`` rows each side's rows make, at least one; ``paired``, whether
+    both sides have the key. Reads the key columns of all rows once; tasks count before
+    they shuffle. There are at most as many hot keys as parts of the two sides. ``seen``
+    takes the number of rows with a null key as ``null_keys``.
     """
-
-    names = [quote(k) for k in keys]
-
-    def tagged(side: str, df: DataFrame) -> DataFrame:
-        return df.selectExpr(
-            f"'{side}' AS side",
-            f"{_any_null(names)} AS no_key",
-            f"{_key_hash(names)} AS key_hash",
-            f"pmod(spark_partition_id(), {_SKETCH_GROUPS}) AS sketch_group",
-        )
-
-    per_group = (
-        tagged("old", old)
-        .unionAll(tagged("new", new))
-        .groupBy("side", "sketch_group")
-        .agg(
-            F.count("*").alias("row_count"),
-            F.count_if("no_key").alias("null_rows"),
-            F.expr(
-                f"approx_top_k_accumulate(key_hash, {_TRACKED_KEYS}) FILTER (WHERE NOT no_key)"
-            ).alias("sketch"),
-        )
-    )
-    sides = (
-        per_group.groupBy("side")
-        .agg(
-            F.sum("row_count").alias("row_count"),
-            F.sum("null_rows").alias("null_rows"),
-            F.expr(f"approx_top_k_combine(sketch, {_TRACKED_KEYS})").alias("sketch"),
-        )
-        .select(
-            "side",
-            "row_count",
-            "null_rows",
-            F.expr(f"approx_top_k_estimate(sketch, {_MAX_HOT_KEYS})").alias("top"),
+    held = [f"h{i}" for i in range(len(keys))]
+
+    def tagged(df: DataFrame, incoming: str) -> DataFrame:
+        return df.selectExpr(*[f"{quote(k)} AS {h}" for k, h in zip(keys, held)], f"{incoming} AS incoming")
+
+    both = tagged(old, "false").unionAll(tagged(new, "true"))
+    if seen:
+        both = both.observe(seen, F.count_if(F.expr(_any_null(held))).alias("null_keys"))
+    return (
+        both.where(f"NOT {_any_null(held)}")
+        .groupBy(*held)
+        .agg(F.count_if(F.expr("NOT incoming")).alias("old_rows"), F.count_if("incoming").alias("new_rows"))
+        .where(f"greatest(old_rows, new_rows) >= {hot_key_rows}")
+        .selectExpr(
+            *held,
+            *[f"greatest(1, (CAST({s}_rows AS BIGINT) + {hot_key_rows - 1}) div {hot_key_rows}) AS {s}_parts" for s in ("old", "new")],
+            "old_rows > 0 AND new_rows > 0 AS paired",
         )
-        .collect()  # two rows at most
     )
-    found = {
-        s["side"]: KeyProfile(
-            s["row_count"],
-            s["null_rows"],
-            {t["item"]: t["count"] for t in s["top"] or [] if t["count"] >= hot_key_rows},
-        )
-        for s in sides
-    }
-    nothing = KeyProfile(0, 0, {})
-    return found.get("old", nothing), found.get("new", nothing)
 
 
 def check_unique(df: DataFrame, keys: Sequence[str], side: str) -> None:
@@ -191,21 +136,37 @@ class _Merge:
     def plain(self, df: DataFrame, prefix: str) -> DataFrame:
         return df.selectExpr(*[f"{prefix}{i} AS {c}" for i, c in enumerate(self.columns)])
 
-    def spread(self, big: DataFrame, small: DataFrame, b: str, s: str, splits: int) -> list[DataFrame]:
-        """Full outer join of the rows of a few keys of which ``big`` has many.
+    def dealt(self, side: DataFrame, prefix: str, skew: KeySkew) -> DataFrame:
+        """The rows of a side with the cell they meet the other side's rows in.
 
-        The big side is split by the task that reads it, which is stable when a
-        task is run again and also parts equal rows; the small side is copied
-        to every split. The small side's unmatched rows are told by the distinct
-        keys of the big side, at most one per hot key.
+        A row of a hot key is in the part of the task that reads it, which is stable
+        when a task is run again and also parts equal rows, and is copied to that
+        part's cell with each part of the other side. All other rows are in cell 0.
         """
-        left = big.selectExpr("*", f"pmod(spark_partition_id(), {splits}) AS split")
-        right = small.selectExpr("*", f"explode(sequence(0, {splits - 1})) AS copy")
-        on = self.on(b, s)
-        matched = left.join(right, F.expr(f"{on} AND split = copy"), "left_outer")
-        present = big.select(*self.names(b)).distinct()
-        unmatched = small.join(F.broadcast(present), F.expr(on), "left_anti")
-        return [self.picked(matched), self.plain(unmatched, s)]
+        hot = F.broadcast(skew.hot) if skew.broadcast_hot else skew.hot
+        on = " AND ".join(f"{name} = h{i}" for i, name in enumerate(self.names(prefix)))
+        own, across = ("old_parts", "new_parts") if prefix == "o" else ("new_parts", "old_parts")
+        part, others, width = f"pmod(task, coalesce({own}, 1))", f"coalesce({across}, 1)", "coalesce(new_parts, 1)"
+        if prefix == "o":
+            cells = f"sequence({part} * {width}, {part} * {width} + {others} - 1)"
+        else:
+            cells = f"sequence({part}, {part} + ({others} - 1) * {width}, {width})"
+        return (
+            side.selectExpr("*", "CAST(spark_partition_id() AS BIGINT) AS task")
+            .join(hot, F.expr(on), "left_outer")
+            .selectExpr(*side.columns, f"coalesce(paired, false) AS {prefix}_paired", f"explode({cells}) AS {prefix}_cell")
+        )
+
+    def outer(self, left: DataFrame, right: DataFrame, skew: KeySkew) -> DataFrame:
+        """Full outer join of rows without null keys."""
+        if skew.hot is None:
+            return self.picked(left.join(right, F.expr(self.on()), "full_outer"))
+        left, right = self.dealt(left, "o", skew), self.dealt(right, "n", skew)
+        joined = left.join(right, F.expr(f"{self.on()} AND o_cell = n_cell"), "full_outer")
+        # A key that both sides have has all its matches in cells with rows of both;
+        # what a cell leaves without a match there is a copy.
+        copy = "coalesce(o_paired, n_paired) AND (o_cell IS NULL OR n_cell IS NULL)"
+        return self.picked(joined.where(f"NOT ({copy})"))
 
 
 def _checked(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> _Merge:
@@ -250,8 +211,8 @@ def merge_frames(
 ) -> DataFrame:
     """Merge ``new`` into ``old``. Both have the same columns.
 
-    ``skew`` only moves rows between branches of the plan; the result is the
-    same for any value that does not deny null keys which are there.
+    Each side is read once, and once more for its null keys if there may be any.
+    ``skew`` does not change the result, as long as it tells the truth of these rows.
     """
     merge = _checked(old, new, keys)
     left, right = merge.side(old, "o"), merge.side(new, "n")
@@ -263,20 +224,4 @@ def merge_frames(
         left = left.where(f"NOT {_any_null(merge.names('o'))}")
         right = right.where(f"NOT {_any_null(merge.names('n'))}")
 
-    hot = (*skew.hot_old, *skew.hot_new)
-    if hot:
-
-        def having(side: DataFrame, prefix: str, hashes: Sequence[int], test: str = "IN") -> DataFrame:
-            listed = ", ".join(map(str, hashes))
-            return side.where(f"{_key_hash(merge.names(prefix))} {test} ({listed})")
-
-        if skew.hot_old:
-            big, small = having(left, "o", skew.hot_old), having(right, "n", skew.hot_old)
-            branches += merge.spread(big, small, "o", "n", skew.splits)
-        if skew.hot_new:
-            big, small = having(right, "n", skew.hot_new), having(left, "o", skew.hot_new)
-            branches += merge.spread(big, small, "n", "o", skew.splits)
-        left, right = having(left, "o", hot, "NOT IN"), having(right, "n", hot, "NOT IN")
-
-    merged = merge.picked(left.join(right, F.expr(merge.on()), "full_outer"))
-    return reduce(DataFrame.unionAll, branches, merged)
+    return reduce(DataFrame.unionAll, branches, merge.outer(left, right, skew))

@@ -53,10 +53,10 @@ from tablesync.operators.layout import FORMAT_OPTIONS, lay_out
 from tablesync.operators.merge import (
     KeySkew,
     check_unique,
+    hot_keys,
     merge_few,
     merge_frames,
     merge_matched,
-    profile_keys,
     row_bytes,
 )
 from tablesync.plans import write
@@ -186,6 +186,7 @@ def merge(df: DataFrame, spec: TableSpec) -> None:
     finally:
         if spec.stage_incoming:
             _drop_helper(spark, incoming, spec.table)
+        _drop_helper(spark, stage_name(spark, spec.table, "hot"), spec.table)
 
 
 def _take_in(new: DataFrame, spec: TableSpec, stage: str) -> tuple[DataFrame, bool]:
@@ -209,8 +210,21 @@ def _merged(old: DataFrame, new: DataFrame, spec: TableSpec, few: bool) -> DataF
         return merge_few(old, new, spec.keys)
     if spec.duplicate_keys == "error":  # then only null keys can be many
         return merge_frames(old, new, spec.keys)
-    profiles = profile_keys(old, new, spec.keys, spec.hot_key_rows)
-    return merge_frames(old, new, spec.keys, KeySkew.of(*profiles, spec.hot_key_rows))
+    return merge_frames(old, new, spec.keys, _skew(old, new, spec))
+
+
+def _skew(old: DataFrame, new: DataFrame, spec: TableSpec) -> KeySkew:
+    """Count the hot keys of both sides into a helper table."""
+    spark = old.sparkSession
+    helper, seen = stage_name(spark, spec.table, "hot"), Observation()
+    _save_helper(hot_keys(old, new, spec.keys, spec.hot_key_rows, seen), helper, spec.table)
+    hot = spark.table(qualified(spark, helper))
+    size = hot.agg(F.sum(row_bytes(hot.schema))).first()[0]
+    return KeySkew(
+        null_keys=seen.get["null_keys"] > 0,
+        hot=hot if size else None,
+        broadcast_hot=(size or 0) <= spec.broadcast_bytes,
+    )
 
 
 # --- touched partitions -----------------------------------------------------
@@ -483,7 +497,8 @@ def recover(spark: SparkSession, table: str) -> None:
     was not complete: it is dropped and the table is as before that merge.
     """
     successor, stage = successor_name(spark, table), stage_name(spark, table)
-    _drop_helper(spark, stage_name(spark, table, "incoming"), table)
+    for role in ("incoming", "hot"):
+        _drop_helper(spark, stage_name(spark, table, role), table)
     if _owned(spark, successor, table):
         if table_exists(spark, table):
             drop_table(spark, successor)

@@ -1,12 +1,13 @@
 import datetime as dt
+import re
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from tablesync import KeySkew, SpecError, TableSpec, merge, merge_frames, overwrite
 from tablesync.catalog import session_conf, table_info
-from tablesync.operators.merge import KeyProfile, merge_few, profile_keys
+from tablesync.operators.merge import hot_keys, merge_few
 from tablesync.plans import merge_table
 
 SCHEMA = "id int, a string, b int"
@@ -61,39 +62,55 @@ def test_same_result_however_keys_are_spread(spark):
     old = [(i % 7 if i % 3 else 0, f"o{i}", i) for i in range(60)] + [(None, "z", 1)] * 4
     new = [(i % 9 if i % 4 else 1, None if i % 2 else f"n{i}", i) for i in range(40)] + [(None, "y", 2)]
     left, right = frame(spark, old).repartition(5), frame(spark, new).repartition(3)
-    hashes = {
-        r[0]: r[1] for r in left.union(right).where("id is not null").select("id", F.xxhash64("id")).distinct().collect()
-    }
     plain = expected(old, new)
-    for skew in (
-        KeySkew(),
-        KeySkew(hot_old=(hashes[0],), splits=4),
-        KeySkew(hot_new=(hashes[1],), splits=3),
-        KeySkew(hot_old=(hashes[0], hashes[2]), hot_new=(hashes[1], hashes[8]), splits=5),
-        KeySkew(hot_old=(hashes[8],), hot_new=(hashes[0],), splits=2),
-    ):
-        assert rows(merge_frames(left, right, ["id"], skew)) == plain, skew
+    assert rows(merge_frames(left, right, ["id"])) == plain
+    for hot_key_rows in (1, 3, 8, 100):
+        hot = hot_keys(left, right, ["id"], hot_key_rows)
+        for few in (True, False):
+            skew = KeySkew(hot=hot, broadcast_hot=few)
+            assert rows(merge_frames(left, right, ["id"], skew)) == plain, (hot_key_rows, few)
     assert rows(merge_few(left, right, ["id"])) == plain
 
 
-def test_profile_finds_the_hot_key(spark):
+def test_hot_composite_keys(spark):
+    old = [(i % 2, "p", i) for i in range(20)] + [(0, None, 7), (None, "p", 8), (3, "q", 9)]
+    new = [(i % 3, "p", -i) for i in range(9)] + [(0, None, 1), (4, "r", 2)]
+    left, right = frame(spark, old).repartition(4), frame(spark, new).repartition(3)
+    skew = KeySkew(hot=hot_keys(left, right, ["id", "a"], 2))
+    assert rows(merge_frames(left, right, ["id", "a"], skew)) == expected(old, new, 2)
+
+
+def test_hot_keys_are_counted_exactly(spark):
     df = spark.range(0, 40_000, 1, 8).select(
         F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 11 == 0, F.lit(None)).otherwise(F.col("id") + 100).alias("id")
     )
-    few = df.where("id is null")
-    profile, nulls = profile_keys(df, few, ["id"], hot_key_rows=1000)
-    hot = df.where("id = 7").select(F.xxhash64("id")).first()[0]
-    assert list(profile.hot) == [hot]
-    assert profile.hot[hot] >= df.where("id = 7").count()
-    assert (profile.rows, profile.null_rows) == (40_000, few.count())
-    assert nulls.rows == nulls.null_rows == few.count() and nulls.hot == {}
-    empty = profile_keys(df.where("id < -5"), df.where("id < -5"), ["id"], 10)
-    assert empty == (KeyProfile(0, 0, {}), KeyProfile(0, 0, {}))
-
-
-def test_skew_is_assigned_to_the_larger_side(spark):
-    skew = KeySkew.of(KeyProfile(100, 0, {1: 50, 2: 10}), KeyProfile(100, 0, {2: 30, 3: 20}), 10)
-    assert (skew.hot_old, skew.hot_new, skew.null_keys, skew.splits) == ((1,), (2, 3), False, 6)
+    nulls, seen = df.where("id is null"), Observation()
+    found = hot_keys(df, nulls.union(spark.sql("select 7L")), ["id"], 1000, seen)
+    assert rows(found) == [(7, 14, 1, True)]  # 13334 rows and 1
+    assert seen.get["null_keys"] == 2 * nulls.count()
+    assert rows(hot_keys(df, nulls, ["id"], 13_334)) == [(7, 1, 1, False)]
+    assert rows(hot_keys(df, nulls, ["id"], 13_335)) == []
+    assert rows(hot_keys(nulls, df, ["id"], 10_000)) == [(7, 1, 2, False)]
+
+
+def test_no_number_of_hot_keys_is_too_large(spark):
+    df = spark.range(0, 12_000, 1, 8).selectExpr("CAST(id % 1500 AS INT) AS id", "'o' AS a", "1 AS b")
+    found = hot_keys(df, df, ["id"], 4)
+    assert found.count() == found.where("old_parts = 2 AND new_parts = 2 AND paired").count() == 1500
+    merged = merge_frames(df, df, ["id"], KeySkew(null_keys=False, hot=found))
+    assert merged.groupBy("id").count().where("count = 64").count() == 1500
+
+
+def test_each_side_is_scanned_twice_at_most(spark, db):
+    for name, data in (("old", OLD), ("new", NEW), ("hot", None)):
+        made = frame(spark, data) if data else hot_keys(spark.table(f"{db}.old"), spark.table(f"{db}.new"), ["id"], 1)
+        overwrite(made, TableSpec(f"{db}.{name}"))
+    old, new, hot = (spark.table(f"{db}.{name}") for name in ("old", "new", "hot"))
+    merged = merge_frames(old, new, ["id"], KeySkew(hot=hot, broadcast_hot=True))
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    for name in ("old", "new"):
+        assert len(re.findall(rf"Scan \w+ spark_catalog\.{db}\.{name}\b", plan)) == 2, plan
+    assert rows(merged) == expected(OLD, NEW)
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
@@ -501,10 +518,9 @@ def test_managed_table_where_renaming_moves_data(spark, db, monkeypatch):
 def test_rows_of_a_hot_key_are_in_many_tasks(spark):
     old = spark.range(0, 8000, 1, 8).selectExpr("if(id % 2 = 0, 1, cast(id as int)) AS id", "'o' AS a", "1 AS b")
     new = spark.range(3).selectExpr("cast(id as int) AS id", "'n' AS a", "cast(null as int) AS b")
-    hot = new.where("id = 1").select(F.xxhash64("id")).first()[0]
     settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
     with session_conf(spark, settings):
-        merged = merge_frames(old, new, ["id"], KeySkew(hot_old=(hot,), splits=6))
+        merged = merge_frames(old, new, ["id"], KeySkew(hot=hot_keys(old, new, ["id"], 500), broadcast_hot=True))
         where = merged.where("id = 1").groupBy(F.spark_partition_id()).count().collect()
         assert sum(r[1] for r in where) == 4001
         assert len(where) > 2 and max(r[1] for r in where) < 4000
