@@ -99,6 +99,15 @@ class Bench:
 
         return prepare
 
+    def merges_hot_third(self) -> Callable[[], None]:
+        """One key, 0, holds a third of the existing rows."""
+        key, kind = F.col("o_orderkey"), self.orders.schema["o_orderkey"].dataType
+        spec = self.spec(keys=["o_orderkey"], hot_key_rows=5000, **JOINED)
+        ts.overwrite(self.orders.withColumn("o_orderkey", F.when(key % 3 != 0, key).otherwise(0).cast(kind)), spec)
+        one = self.orders.orderBy("o_orderkey").limit(1).withColumn("o_orderkey", F.lit(0).cast(kind))
+        new = self.since(self.half).where("o_orderkey % 3 != 0").unionByName(self._changed(one))
+        return lambda: ts.merge(new, spec)
+
     def registers(self) -> Callable[[], None]:
         self.made += 1
         path, table = self.w.path(f"files{self.made}"), f"{self.w.db}.r{self.made}"
@@ -128,6 +137,7 @@ class Bench:
             "merge_half_of_keys_joined_bucketed": self.merges(
                 half, bucket_by=["o_orderkey"], num_buckets=8, **JOINED
             ),
+            "merge_hot_third_joined": self.merges_hot_third,
             "merge_half_of_keys_external": self.merges(half, external=True),
             "merge_all_keys_by_year": self.merges(
                 order_changes(self.orders), derived=ORDER_YEAR, **JOINED

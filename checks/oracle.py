@@ -161,6 +161,14 @@ ORACLE: dict[str, str] = {
         ("event_id",),
         EVENTS,
     ),
+    "merge_hot_on_both_sides": merged(
+        "SELECT event_id // 8 AS event_id, ts, user_id, event_type, value, props FROM events",
+        """SELECT event_id // 8 AS event_id, ts, user_id, event_type, props,
+                  CASE WHEN user_id % 2 = 0 THEN -value END AS value
+           FROM events""",
+        ("event_id",),
+        EVENTS,
+    ),
     "register_files": ALL_ORDERS,
     "register_partitioned": ORDERS_AND_YEAR,
     "discover_partitions": """

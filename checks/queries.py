@@ -393,6 +393,15 @@ def merge_hot_key(w: Workspace) -> DataFrame:
     return w.table()
 
 
+def merge_hot_on_both_sides(w: Workspace) -> DataFrame:
+    """Every key has more rows than `hot_key_rows` on both sides."""
+    events = w.read("events").withColumn("event_id", F.expr("event_id div 8"))
+    spec = w.spec(keys=["event_id"], hot_key_rows=3, **JOINED)
+    ts.overwrite(events, spec)
+    ts.merge(events.withColumn("value", F.when(F.col("user_id") % 2 == 0, -F.col("value"))), spec)
+    return w.table()
+
+
 # --- registration and catalog -----------------------------------------------------
 
 
@@ -529,6 +538,7 @@ QUERIES: dict[str, Query] = {
         merge_null_keys,
         merge_duplicate_keys,
         merge_hot_key,
+        merge_hot_on_both_sides,
         register_files,
         register_partitioned,
         discover_partitions,
