@@ -195,23 +195,20 @@ def _removals(window: int, anchor: int, keep_layout: bool) -> Callable[[Iterator
                 np.add.at(change, edge + window, -1)
                 gone = np.cumsum(change[:-1]) > 0
                 kept_before = np.concatenate(([0], np.cumsum(~gone)))
-                kept = paths.words.filter(pa.array(~gone)).to_pylist()
                 words = np.diff(paths.bounds)
                 ends = kept_before[paths.bounds]
-                joined = [" ".join(kept[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
                 n_removed = words - np.diff(ends)
-                text = part.column("text").to_pylist()
+                kept = pa.LargeListArray.from_arrays(pa.array(ends), paths.words.filter(pa.array(~gone)))
+                joined = pc.binary_join(kept, " ")
+                whole = pa.array(n_removed == 0) if keep_layout else pa.scalar(False)
                 yield pa.record_batch(
                     {
                         "doc_id": part.column("doc_id"),
                         "carried": part.column("carried"),
                         "n_words": pa.array(words),
                         "n_removed": pa.array(n_removed),
-                        "kept_text": pa.array(
-                            [t if keep_layout and not gone else j for t, j, gone in zip(text, joined, n_removed.tolist())],
-                            pa.string(),
-                        ),
-                        "kept_sha256": pa.array([hashlib.sha256(j.encode()).hexdigest() for j in joined]),
+                        "kept_text": pc.if_else(whole, part.column("text"), joined),
+                        "kept_sha256": pa.array([hashlib.sha256(j.as_buffer()).hexdigest() for j in joined]),
                     }
                 )
 
