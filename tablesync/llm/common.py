@@ -75,7 +75,7 @@ def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 def distinct_words(flat: pa.Array) -> tuple[list[str], np.ndarray]:
     """The distinct words of an array, and the number of the word at each place."""
     coded = flat.dictionary_encode()
-    return coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+    return coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy().astype(np.int64)
 
 
 def hash_words(words: list[str]) -> np.ndarray:
