@@ -15,7 +15,9 @@ at its own coordinates: a path counts there only if the text's own words have it
 Paths and edges are known by 128-bit digests of their words.
 
 Skew: paths are counted per task before the shuffle, so copies of one passage arrive as one
-row a task. An anchor found to branch within a task has its paths dealt by their digest and
+row a task. Their verdicts are written, and joined back by a join that adaptive execution
+splits where a path is hot. A text's list of repeats is a set of its paths, however often the
+row occurs. An anchor found to branch within a task has its paths dealt by their digest and
 leaves one mark at the anchor, so one that a third of all texts share is split as well.
 
 Nulls and empty texts have no words; texts shorter than `window` keep all of theirs. Repeated
@@ -33,7 +35,17 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tablesync.llm.common import Rolling, distinct_words, hash_words, mixed, signed, slices, sliding_least, split_words
+from tablesync.llm.common import (
+    Rolling,
+    distinct_words,
+    hash_words,
+    mixed,
+    settled,
+    signed,
+    slices,
+    sliding_least,
+    split_words,
+)
 
 WINDOW = 35
 ANCHOR = 8
@@ -269,12 +281,14 @@ def remove_repeats(
     # the condition on text_key always holds; with it both uses of `paths` read the same columns and share a shuffle
     straight = paths.where("not branches and text_key is not null").select("digest", "second", F.lit(-1).cast("long").alias("mask"))
     verdicts = masks.unionByName(straight).groupBy("digest", "second").agg(F.bit_or("mask").alias("mask"))
+    # written, as adaptive execution splits a hot path in a join only if both sides come from shuffles of its own
+    verdicts = settled(verdicts)
 
     repeats = (
         read.mapInArrow(_path_places(window, anchor), "text_key long, digest long, second long")
         .join(verdicts, ["digest", "second"])
         .groupBy("text_key")
-        .agg(F.collect_list(F.struct("digest", "second", "mask")).alias("repeats"))
+        .agg(F.collect_set(F.struct("digest", "second", "mask")).alias("repeats"))
     )
     kind = own.schema["carried"].dataType.simpleString()
     return own.join(repeats, "text_key", "left").mapInArrow(
