@@ -15,10 +15,10 @@ at its own coordinates: a path counts there only if the text's own words have it
 Paths and edges are known by 128-bit digests of their words.
 
 Skew: paths are counted per task before the shuffle, so copies of one passage arrive as one
-row a task. Their verdicts are written, and joined back by a join that adaptive execution
-splits where a path is hot. A text's list of repeats is a set of its paths, however often the
-row occurs. An anchor found to branch within a task has its paths dealt by their digest and
+row a task. An anchor found to branch within a task has its paths dealt by their digest and
 leaves one mark at the anchor, so one that a third of all texts share is split as well.
+Adaptive execution splits a hot path in the join that brings verdicts back. What a text is
+told to remove is a set of its paths, however often its row is repeated.
 
 Nulls and empty texts have no words; texts shorter than `window` keep all of theirs. Repeated
 rows are texts of their own, and so remove each other's words. Null and repeated ids are
@@ -40,7 +40,6 @@ from tablesync.llm.common import (
     distinct_words,
     hash_words,
     mixed,
-    settled,
     signed,
     slices,
     sliding_least,
@@ -135,9 +134,7 @@ def _path_places(window: int, anchor: int) -> Callable[[Iterator[pa.RecordBatch]
             for part in slices(batch):
                 paths = _Paths(part.column("text"), window, anchor)
                 keys = part.column("text_key").to_numpy()[paths.text]
-                yield pa.record_batch(
-                    {"text_key": pa.array(keys), "digest": signed(paths.digest), "second": signed(paths.second)}
-                )
+                yield pa.record_batch({"text_key": pa.array(keys), "digest": signed(paths.digest)})
 
     return run
 
@@ -154,12 +151,12 @@ def _found(paths: _Paths, row: np.ndarray, digest: np.ndarray, second: np.ndarra
     """Of the paths, those that a text's list has, and where the list has them."""
     if not len(row) or not len(paths.first):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    listed = mixed(digest.astype(np.int64).view(np.uint64) + mixed(row.astype(np.uint64)))
-    own = mixed(paths.digest + mixed(paths.text.astype(np.uint64)))
+    digest, second = (half.astype(np.int64).view(np.uint64) for half in (digest, second))
+    listed = mixed(digest + mixed(second + mixed(row.astype(np.uint64))))
+    own = mixed(paths.digest + mixed(paths.second + mixed(paths.text.astype(np.uint64))))
     order = np.argsort(listed)
     at = order[np.minimum(np.searchsorted(listed, own, sorter=order), len(order) - 1)]
-    same = (row[at] == paths.text) & (digest[at].astype(np.int64) == paths.digest.view(np.int64))
-    same &= second[at].astype(np.int64) == paths.second.view(np.int64)
+    same = (row[at] == paths.text) & (digest[at] == paths.digest) & (second[at] == paths.second)
     return np.flatnonzero(same), at[same]
 
 
@@ -281,12 +278,12 @@ def remove_repeats(
     # the condition on text_key always holds; with it both uses of `paths` read the same columns and share a shuffle
     straight = paths.where("not branches and text_key is not null").select("digest", "second", F.lit(-1).cast("long").alias("mask"))
     verdicts = masks.unionByName(straight).groupBy("digest", "second").agg(F.bit_or("mask").alias("mask"))
-    # written, as adaptive execution splits a hot path in a join only if both sides come from shuffles of its own
-    verdicts = settled(verdicts)
 
+    # By one half of the digest, `_found` compares both. So the verdicts, aggregated by both, are shuffled
+    # for this join, and adaptive execution can split a hot path, which it can't beside an aggregate.
     repeats = (
-        read.mapInArrow(_path_places(window, anchor), "text_key long, digest long, second long")
-        .join(verdicts, ["digest", "second"])
+        read.mapInArrow(_path_places(window, anchor), "text_key long, digest long")
+        .join(verdicts, "digest")
         .groupBy("text_key")
         .agg(F.collect_set(F.struct("digest", "second", "mask")).alias("repeats"))
     )
