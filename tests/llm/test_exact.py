@@ -62,6 +62,20 @@ def test_counts_in_a_task_are_cut_into_parts(texts, monkeypatch):
     assert removed(texts(rows, 2)) == brute.repeats(rows, 35)
 
 
+def test_paths_that_share_half_a_digest_are_told_apart():
+    import pyarrow as pa
+
+    paths = substring_dedup._Paths(pa.array(["a b c d e f", "g h", None, "a b c d e f"]), 3, 2)
+    own = np.flatnonzero(paths.text == 3)
+    digest, second = paths.digest[own].view(np.int64), paths.second[own].view(np.int64)
+    row = np.full(2 * len(own), 3)
+    lists = np.concatenate((digest, digest)), np.concatenate((second + 1, second))
+    found, at = substring_dedup._found(paths, row, *lists)
+    assert found.tolist() == own.tolist() and (at >= len(own)).all()
+    found, _ = substring_dedup._found(paths, row[: len(own)], digest, second + 1)
+    assert not len(found)
+
+
 def test_near_duplicates_in_documents(spark, sf_dir):
     docs, rows = documents(spark, sf_dir)
     got = {r.doc_id: (r.fingerprint, r.component_id) for r in simhash.near_duplicates(docs).collect()}
