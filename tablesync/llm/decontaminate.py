@@ -4,10 +4,11 @@ Tokens are the letters and digits of words apart by white space, without case. A
 takes some of the tokens in a span and ignores the others, so texts that differ at an ignored
 place still hash alike. The hashes of the benchmark's spans are joined with those at every
 place of every document; each hit names a diagonal, on which the item and the document are
-compared token by token. A stretch with the best score (a match +1, a substitution -2) counts
-if it has `MIN_STRETCH` matches, and stretches of several diagonals add up, so that an
-insertion or deletion doesn't hide a leak. A document leaks an item if at least half of the
-item's tokens are found (between `MIN_TOKENS` and `ENOUGH_TOKENS` of them).
+compared token by token. There every maximal stretch (a match +1, a substitution -2; no part
+of it and none around it scores better) counts if it has `MIN_STRETCH` matches. Stretches add
+up, of one diagonal and of several, so that neither a replaced block nor an insertion or
+deletion hides a leak. A document leaks an item if at least half of the item's tokens are
+found (between `MIN_TOKENS` and `ENOUGH_TOKENS` of them).
 
 The benchmark is the query side. It is split into blocks of about `BLOCK_BYTES` of text, and
 one block after the other is broadcast and joined against all documents, whatever the number
@@ -48,6 +49,27 @@ def _seeds(tokens: np.ndarray, mask: str, number: int) -> np.ndarray:
     return mixed(total)
 
 
+def _stretches(same: np.ndarray) -> list[tuple[int, int]]:
+    """(start, stop) of all maximal stretches of a diagonal with `MIN_STRETCH` matches, by Ruzzo and Tompa's one pass."""
+    matches = np.concatenate(([0], np.cumsum(same)))
+    if matches[-1] < MIN_STRETCH:
+        return []
+    turns = np.flatnonzero(np.diff(np.concatenate(([False], same, [False]))))
+    score = 3 * matches[turns] - 2 * turns  # before and after each run of matches
+    kept: list[tuple] = []  # start, stop, score before, score after, the last kept one with a lower score before
+    for start, stop, before, after in zip(turns[::2].tolist(), turns[1::2].tolist(), score[::2].tolist(), score[1::2].tolist()):
+        while True:
+            lower = len(kept) - 1
+            while lower >= 0 and kept[lower][2] >= before:
+                lower = kept[lower][4]
+            if lower < 0 or kept[lower][3] >= after:
+                break
+            start, before = kept[lower][0], kept[lower][2]
+            del kept[lower:]
+        kept.append((start, stop, before, after, lower))
+    return [(start, stop) for start, stop, *_ in kept if matches[stop] - matches[start] >= MIN_STRETCH]
+
+
 @dataclass(frozen=True)
 class Index:
     """The spans of a block of benchmark items, by hash."""
@@ -111,13 +133,10 @@ class Index:
             for diagonal in rows[:, 2].tolist():
                 low, high = max(0, begin - diagonal), min(len(own), end - diagonal)
                 same = own[low:high] == tokens[diagonal + low : diagonal + high]
-                score = np.concatenate(([0], np.cumsum(np.where(same, 1, -2))))
-                stop = int(np.argmax(score[1:] - np.minimum.accumulate(score)[:-1]))
-                start = int(np.argmin(score[: stop + 1]))
-                if same[start : stop + 1].sum() >= MIN_STRETCH:
-                    covered[low + start : low + stop + 1] |= same[start : stop + 1]
+                for start, stop in _stretches(same):
+                    covered[low + start : low + stop] |= same[start:stop]
                     first = min(first, diagonal + low + start)
-                    last = max(last, diagonal + low + stop)
+                    last = max(last, diagonal + low + stop - 1)
             matched = int(covered.sum())
             if matched >= max(MIN_TOKENS, min(len(own) / 2, ENOUGH_TOKENS)):
                 yield text, item, matched, first, last

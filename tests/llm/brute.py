@@ -75,5 +75,18 @@ def base_rules(text):
     return sum(map(len, w)), len(w), n_symbols, len(lines) - len(set(lines)), len(again), failed
 
 
+def stretches(same, least):
+    """(start, stop) of the best stretches (a match +1, else -2): the shortest best, then those left and right of it."""
+    sums = [0]
+    for x in same:
+        sums.append(sums[-1] + (1 if x else -2))
+    pairs = ((i, j) for i in range(len(same)) for j in range(i + 1, len(same) + 1))
+    i, j = max(pairs, key=lambda p: (sums[p[1]] - sums[p[0]], p[0] - p[1]), default=(0, 0))
+    if sums[j] <= sums[i]:
+        return []
+    own = [(i, j)] if sum(same[i:j]) >= least else []
+    return stretches(same[:i], least) + own + [(a + j, b + j) for a, b in stretches(same[j:], least)]
+
+
 def crc(text):
     return zlib.crc32((text or "").encode())

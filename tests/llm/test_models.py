@@ -2,6 +2,9 @@
 
 import random
 
+import brute
+import numpy as np
+import pytest
 from brute import ODD
 from pyspark.sql import functions as F
 
@@ -83,6 +86,26 @@ def test_leaks_in_documents(spark, sf_dir):
     assert want <= got
 
 
+def test_stretches_against_plain_ones():
+    dice = random.Random(7)
+    for _ in range(400):
+        share = dice.choice([0.5, 0.7, 0.9])
+        same = [x for _ in range(dice.choice([1, 4, 12])) for x in [dice.random() < share] * dice.choice([1, 2, 5, 9])][:45]
+        assert decontaminate._stretches(np.array(same)) == brute.stretches(same, decontaminate.MIN_STRETCH)
+
+
+@pytest.mark.parametrize("left, replaced, right", [(20, 10, 20), (10, 6, 14), (24, 12, 24)])
+def test_a_replaced_block_hides_no_leak(spark, texts, left, replaced, right):
+    item = [f"t{i}" for i in range(left + replaced + right)]
+    changed = [f"zq{i}" if left <= i < left + replaced else w for i, w in enumerate(item)]
+    same = [a == b for a, b in zip(item, changed)]
+    benchmark = spark.createDataFrame([(5, " ".join(item))], "item_id long, text string")
+    got = decontaminate.leaks(texts([(1, "lorem " * 9 + " ".join(changed) + " ipsum" * 9)]), benchmark).collect()
+    found = brute.stretches(same, decontaminate.MIN_STRETCH)
+    assert found == [(0, left), (left + replaced, len(item))]
+    assert [tuple(r) for r in got] == [(1, 5, left + right, 9, 8 + len(item))]
+
+
 def test_licenses(spark, texts):
     dice, rows, want = random.Random(1), [], set()
     for i, (name, wordings) in enumerate(license_scan.TEMPLATES.items()):
