@@ -25,6 +25,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from tablesync.llm.common import mixed, slices, tokens_of
 
@@ -35,7 +36,7 @@ ENOUGH_TOKENS = 25
 BLOCK_BYTES = 32 << 20
 
 _TABLE_BITS = 22
-SCHEMA = "doc_id long, item_id long, matched int, first_word long, last_word long"
+SCHEMA = "item_id long, matched int, first_word long, last_word long"
 
 
 def _seeds(tokens: np.ndarray, mask: str, number: int) -> np.ndarray:
@@ -150,19 +151,25 @@ def _leaks(index):
                 tokens, bounds, word = tokens_of(part.column("text"), known)
                 ids = part.column("doc_id")
                 rows = [
-                    (ids[text].as_py(), index.value.item_ids[item], matched, int(word[first]), int(word[last]))
+                    (text, index.value.item_ids[item], matched, int(word[first]), int(word[last]))
                     for text, item, matched, first, last in index.value.leaks(tokens, bounds)
                 ]
-                columns = list(zip(*rows)) or [[]] * 5
-                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+                texts, *columns = list(zip(*rows)) or [[]] * 5
+                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64()]
                 names = ["doc_id", "item_id", "matched", "first_word", "last_word"]
-                yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+                found = [pa.array(c, k) for c, k in zip(columns, kinds)]
+                yield pa.record_batch([ids.take(pa.array(texts, pa.int64())), *found], names)
 
     return run
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_id, matched, first_word, last_word): one row per leaking document and leaked item."""
+    """(doc_id, item_id, matched, first_word, last_word): one row per leaking document and leaked item.
+
+    `doc_id` can be of any type that can be grouped by.
+    """
+    read = docs.select("doc_id", "text")
+    schema = StructType([read.schema["doc_id"], *StructType.fromDDL(SCHEMA)])
     context = docs.sparkSession.sparkContext
     items = benchmark.select("item_id", "text").where("text is not null")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -171,7 +178,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for block in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         index = context.broadcast(Index.of([tuple(row) for row in part.collect()]))
-        rows = docs.select("doc_id", "text").mapInArrow(_leaks(index), SCHEMA)
+        rows = read.mapInArrow(_leaks(index), schema)
         found = rows if found is None else found.union(rows)
     return found.groupBy("doc_id", "item_id").agg(
         F.max("matched").alias("matched"), F.min("first_word").alias("first_word"), F.max("last_word").alias("last_word")
@@ -179,6 +186,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of `docs` that leak no item."""
-    found = leaks(docs, benchmark).select("doc_id").distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["doc_id"]), "left_anti")
+    """The rows of `docs` that leak no item; of rows that share an id, those whose own text leaks none."""
+    key = F.struct("doc_id", F.xxhash64("text").alias("text"))
+    found = leaks(docs.select(key.alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("__key"))
+    return docs.join(found.distinct(), key.eqNullSafe(F.col("__key")), "left_anti")

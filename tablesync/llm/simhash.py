@@ -14,6 +14,10 @@ group of its own, so that every two of them still meet.
 Nulls and texts without words have fingerprint zero and are linked like any other. Repeated
 rows and equal texts share a fingerprint and a component. A null id never is a component's
 id, unless all ids of the component are null. Other columns are ignored.
+
+Of each component `one_of_each` keeps the row with the least id (nulls last), text digest and
+other columns. Rows are found again by id and digest, as ids may be null or repeated; each task
+sends one row of each such pair at most.
 """
 
 from __future__ import annotations
@@ -23,7 +27,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tablesync.llm.common import settled, signed
 from tablesync.llm.components import components
@@ -66,8 +71,9 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, print: the 64 bits as a signed long), one row per row of `docs`."""
-    return docs.select("doc_id", "text").mapInArrow(_fingerprints, "doc_id long, print long")
+    """(doc_id, of any type; print: the 64 bits as a signed long), one row per row of `docs`."""
+    read = docs.select("doc_id", "text")
+    return read.mapInArrow(_fingerprints, StructType([read.schema["doc_id"], StructField("print", LongType())]))
 
 
 def _keys() -> Column:
@@ -171,13 +177,18 @@ def links(prints: DataFrame) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per row of `docs` (doc_id, text): doc_id, fingerprint, component_id."""
-    marked = settled(fingerprints(docs))
+def _least(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(print, doc_id, root) of the fingerprints of `marked`, and (root, component_id: the least id) of components."""
     prints = settled(marked.groupBy("print").agg(F.min("doc_id").alias("doc_id")))
     roots = components(links(prints.select("print"))).withColumnRenamed("node", "print")
     rooted = prints.join(roots, "print", "left").withColumn("root", F.coalesce("root", "print"))
-    least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return rooted, rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """One row per row of `docs` (doc_id, text): doc_id, fingerprint, component_id."""
+    marked = settled(fingerprints(docs))
+    rooted, least = _least(marked)
     labels = rooted.join(least, "root").select("print", "component_id")
     return marked.join(labels, "print").select(
         "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id"
@@ -185,8 +196,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of `docs`, with one of each component: the least id, and of repeated rows the first."""
-    kept = near_duplicates(docs.select("doc_id", "text")).where("doc_id <=> component_id").select("doc_id").distinct()
-    first = Window.partitionBy("doc_id").orderBy(*[F.col(f"`{c}`") for c in docs.columns if c != "doc_id"])
-    ranked = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
-    return ranked.withColumn("__first", F.row_number().over(first)).where("__first = 1").drop("__first")
+    """One row of `docs` for each component: the one with the least id (nulls last), text digest and other columns."""
+    digest = F.sha2(F.col("text").cast("binary"), 256)
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", digest.alias("digest"))
+    _, least = _least(fingerprints(docs.select(key.alias("doc_id"), "text")))
+    columns = [c for c in docs.columns if c not in ("doc_id", "text")] + ["text"]
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)])
+    rows = docs.select(key.alias("key"), row.alias("row")).groupBy("key").agg(F.min("row").alias("row"))
+    kept = rows.join(least.select(F.col("component_id").alias("key")), "key", "left_semi")
+    found = {c: F.col(f"row.c{i}") for i, c in enumerate(columns)} | {"doc_id": F.col("key.doc_id")}
+    return kept.select(*[found[c].alias(c) for c in docs.columns])

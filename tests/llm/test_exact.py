@@ -1,5 +1,6 @@
 """Operators whose results are fixed, against plain versions of them."""
 
+import hashlib
 import random
 import zlib
 from collections import defaultdict
@@ -94,6 +95,35 @@ def test_near_duplicates_of_odd_texts(texts):
     assert simhash.near_duplicates(texts(ODD).limit(0)).count() == 0
 
 
+def test_one_row_of_each_component_is_kept(spark):
+    """Null and repeated ids name no row; which row is kept doesn't hang on them alone."""
+    dice = random.Random(8)
+    unlike = [" ".join(f"{dice.getrandbits(32):x}" for _ in range(40)) for _ in range(16)]
+    rows = [(None, t, "x", 1) for t in unlike[:8]] + [(3, t, "x", 1) for t in unlike[8:11]]
+    rows += [(i, t, "x", 1) for i, t in enumerate(unlike[11:], 20)]
+    rows += [(None, unlike[0], "x", 1)] * 3 + [(None, unlike[1], "w", 2), (3, unlike[8], "w", 2), (9, unlike[2], "y", 1)]
+    rows += [(None, unlike[12], "a", 0), (4, unlike[13], "a", 0), (None, None, "b", 0), (None, "", "a", 0), (50, " ", "c", 0)]
+    of = brute.linked(list(enumerate(r[1] for r in rows)))
+    groups = defaultdict(list)
+    for i, row in enumerate(rows):
+        groups[of[i][1]].append(row)
+
+    def rank(row):
+        doc_id, text, *rest = row
+        return doc_id is None, doc_id or 0, text is not None, hashlib.sha256((text or "").encode()).hexdigest(), *rest
+
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `a.b` string, n int").repartition(3)
+    kept = simhash.one_of_each(docs)
+    assert kept.columns == docs.columns and len(groups) == 17
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted((min(g, key=rank) for g in groups.values()), key=str)
+
+
+def test_one_of_each_of_odd_texts(texts):
+    parts = brute.linked(list(enumerate(t for _, t in ODD)))
+    kept = [(r.doc_id, r.text) for r in simhash.one_of_each(texts(ODD)).collect()]
+    assert len({parts[ODD.index(row)][1] for row in kept}) == len(kept) == len({c for _, c in parts.values()})
+
+
 @pytest.mark.parametrize("block", [2048, 40])
 def test_links_keep_components(spark, monkeypatch, block):
     monkeypatch.setattr(simhash, "BLOCK", block)

@@ -106,6 +106,14 @@ def test_a_replaced_block_hides_no_leak(spark, texts, left, replaced, right):
     assert [tuple(r) for r in got] == [(1, 5, left + right, 9, 8 + len(item))]
 
 
+def test_a_leak_removes_no_other_row_of_its_id(spark, texts):
+    item = " ".join(f"t{i}" for i in range(30))
+    clean = [(None, "one clean text"), (None, "another"), (None, None), (7, "a clean text of a repeated id"), (8, "")]
+    rows = [*clean, (None, f"a {item} b"), (None, f"a {item} b"), (7, item), (9, item)]
+    kept = decontaminate.without_leaks(texts(rows), spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(clean, key=str)
+
+
 def test_licenses(spark, texts):
     dice, rows, want = random.Random(1), [], set()
     for i, (name, wordings) in enumerate(license_scan.TEMPLATES.items()):
