@@ -1,7 +1,9 @@
 """License scans: MinHash bands over overlapping text windows, verified by shingle containment.
 
-Texts and templates are shingles of `SHINGLE` tokens (letters and digits of words, without
-case). For each template length there are windows of that many tokens (rounded up by at most a
+Texts and templates are tokens (letters and digits of words, without case). A template of
+fewer than `PASSAGE` tokens is a one-line notice, whose every word may name another license, so
+it must be found word for word. Longer ones are passages, of shingles of `SHINGLE` tokens: from
+that length on, a share `CONTAINED` of them bears one changed word. For each passage length there are windows of that many tokens (rounded up by at most a
 half) at every place of every text. A band is one hash function: window and template collide
 if their least values under it agree. A window that holds a share `CONTAINED` of a template's
 shingles has at least a known Jaccard similarity j with it, so the number of bands is set to
@@ -10,11 +12,11 @@ counts if the window truly holds that share of the template's shingles.
 
 Templates are the query side and are broadcast, in blocks of `BLOCK` templates each, one after
 the other against all texts; texts aren't shuffled. Each document returns its best window per
-template, and of templates whose windows overlap the one that is contained best, so near
-variants of one license give one row.
+template, and of templates whose windows overlap the one of which most tokens are found, so
+near variants of one license give one row.
 
-Null, empty and short texts hold no template. Templates of fewer than `SHINGLE` tokens are
-refused. Repeated rows and ids are each scanned; a pair of id and license is returned once.
+Null and empty texts hold no template. Templates without a token are refused. The templates are
+those of `license_texts`; a license that they don't word isn't found. Repeated rows and ids are each scanned; a pair of id and license is returned once.
 Other columns are ignored.
 """
 
@@ -29,50 +31,39 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tablesync.llm.common import mixed, sliding_least, slices, tokens_of
+from tablesync.llm.license_texts import TEMPLATES
 
-SHINGLE = 5
+SHINGLE = 3
+#: Tokens from which on a template is a passage: of its shingles, one changed word leaves `CONTAINED`.
+PASSAGE = 17
 CONTAINED = 0.8
 #: Chance that a window which holds a template becomes a candidate, at least.
 FOUND = 0.999
-BLOCK = 1000
+#: Templates of one pass over the texts; all that are given here fit in one, so that overlaps are settled between them.
+BLOCK = 4000
 SCHEMA = "doc_id long, license string, containment double, first_word long, last_word long"
 
-# The wording by which texts state well-known licenses.
-TEMPLATES = {
-    "MIT": (
-        "Released under the MIT License.",
-        "Licensed under the MIT License.",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-        "associated documentation files, to deal in the Software without restriction",
-    ),
-    "Apache-2.0": (
-        "Licensed under the Apache License, Version 2.0.",
-        "Unless required by applicable law or agreed to in writing, software distributed under the License is "
-        "distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
-    ),
-    "GPL-3.0": ("This work is licensed under the GNU General Public License, version 3.",),
-    "GPL-2.0": ("This work is licensed under the GNU General Public License, version 2.",),
-    "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.",),
-    "CC-BY-4.0": ("Licensed under CC BY 4.0.",),
-    "BSD-3-Clause": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
-        "that the following conditions are met",
-    ),
-}
-
-
-def _shingles(tokens: np.ndarray) -> np.ndarray:
-    n = max(len(tokens) - SHINGLE + 1, 0)
+
+def _shingles(tokens: np.ndarray, size: int = SHINGLE) -> np.ndarray:
+    n = max(len(tokens) - size + 1, 0)
     total = np.zeros(n, np.uint64)
-    for place in range(SHINGLE):
+    for place in range(size):
         total = total * np.uint64(0x9E3779B97F4A7C15) + tokens[place : place + n]
     return mixed(total)
 
 
+def _among(values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Where `values` are among the few `wanted`, by their upper bits first."""
+    present = np.zeros(1 << 16, bool)
+    present[wanted >> np.uint64(48)] = True
+    at = np.flatnonzero(present[values >> np.uint64(48)])
+    return at[np.isin(values[at], wanted)]
+
+
 @dataclass(frozen=True)
 class _Template:
     license: str
-    shingles: np.ndarray  # sorted, distinct
+    shingles: np.ndarray  # sorted, distinct; none of a notice
 
 
 @dataclass(frozen=True)
@@ -83,15 +74,20 @@ class Scanner:
     bands: int
     factors: np.ndarray
     by_length: dict[int, list[int]]
+    notices: dict[int, tuple[np.ndarray, np.ndarray]]  # by tokens: sorted hashes of all of them, templates
     all_shingles: np.ndarray
 
     @classmethod
     def of(cls, named: list[tuple[str, str]]) -> Scanner:
-        templates, by_length, least = [], {}, 1.0
+        templates, by_length, notices, least = [], {}, {}, 1.0
         for name, text in named:
             tokens, _, _ = tokens_of(pa.array([text]), {})
-            if len(tokens) < SHINGLE:
-                raise ValueError(f"a template of {name} has fewer than {SHINGLE} tokens")
+            if not len(tokens):
+                raise ValueError(f"a template of {name} has no token")
+            if len(tokens) < PASSAGE:
+                templates.append(_Template(name, np.zeros(0, np.uint64)))
+                notices.setdefault(len(tokens), {})[_shingles(tokens, len(tokens))[0]] = len(templates) - 1
+                continue
             own = np.unique(_shingles(tokens))
             length = SHINGLE
             while length < len(tokens):
@@ -102,29 +98,47 @@ class Scanner:
             least = min(least, held / (length - SHINGLE + 1 + len(own) - held))
         bands = max(1, ceil(log(1 - FOUND) / log(1 - least))) if least < 1 else 1
         factors = mixed(np.arange(1, bands + 1, dtype=np.uint64)) | np.uint64(1)
-        return cls(templates, bands, factors, by_length, np.unique(np.concatenate([t.shingles for t in templates])))
+        lines = {n: tuple(map(np.array, zip(*sorted(of.items())))) for n, of in notices.items()}
+        known = np.unique(np.concatenate([t.shingles for t in templates]))
+        return cls(templates, bands, factors, by_length, lines, known)
 
     def _hashed(self, shingles: np.ndarray, band: int) -> np.ndarray:
         product = shingles * self.factors[band]
         return product ^ (product >> np.uint64(32))
 
-    def candidates(self, shingles: np.ndarray, last: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
-        """(template, window's shingles, places) that collide in a band; `last`: the last shingle of each place's text."""
-        hashed = [self._hashed(shingles, band) for band in range(self.bands)]
+    def candidates(self, shingles: np.ndarray, places: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+        """(template, window's shingles, places) that collide in a band; `places`: where known shingles are."""
+        known = shingles[places]
         for length, members in self.by_length.items():
             width = length - SHINGLE + 1
-            found: dict[int, list[np.ndarray]] = {t: [] for t in members}
-            for band in range(self.bands):
-                if len(shingles):
-                    # a window may run over the end of all texts, not over its own text's in what is verified
-                    padded = np.concatenate((hashed[band], np.full(width - 1, np.iinfo(np.uint64).max)))
-                    windows = sliding_least(padded, width)
-                    for t in members:
-                        wanted = self._hashed(self.templates[t].shingles, band).min()
-                        found[t].append(np.flatnonzero(windows == wanted))
             for t in members:
-                if found[t]:
-                    yield t, width, np.unique(np.concatenate(found[t]))
+                found = []
+                for band in range(self.bands):
+                    own = self._hashed(self.templates[t].shingles, band)
+                    # a window can only have this least value around a place of the shingle that gives it
+                    for place in places[known == self.templates[t].shingles[own.argmin()]].tolist():
+                        low = max(0, place - width + 1)
+                        around = self._hashed(shingles[low : place + width], band)
+                        # a window may run over the end of all texts, not over its own text's in what is verified
+                        padded = np.concatenate((around, np.full(place + width - low - len(around), np.iinfo(np.uint64).max)))
+                        found.append(low + np.flatnonzero(sliding_least(padded, width) == own.min()))
+                if found:
+                    yield t, width, np.unique(np.concatenate(found))
+
+    def lines(self, tokens: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, float, int, int, int]]:
+        """(text, template, containment, tokens found, first token, last token) of all notices."""
+        text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+        total = np.zeros(len(tokens), np.uint64)
+        for size in range(1, min(PASSAGE, len(tokens) + 1)):
+            total = total[: len(tokens) - size + 1] * np.uint64(0x9E3779B97F4A7C15) + tokens[size - 1 :]
+            if size not in self.notices:
+                continue
+            hashes, templates = self.notices[size]
+            runs = mixed(total)
+            at = _among(runs, hashes)
+            at = at[at + size <= bounds[1:][text[at]]]
+            for place, t in zip(at.tolist(), templates[np.searchsorted(hashes, runs[at])].tolist()):
+                yield int(text[place]), t, 1.0, size, place, place + size - 1
 
     def hits(self, tokens: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, float, int, int]]:
         """(text, template, containment, first token, last token)."""
@@ -132,9 +146,12 @@ class Scanner:
         shingles = _shingles(tokens)
         text = text[: len(shingles)]
         last = bounds[1:][text] - SHINGLE  # the last whole shingle of the place's text
-        known = np.isin(shingles, self.all_shingles) & (np.arange(len(shingles)) <= last)
+        at = _among(shingles, self.all_shingles)
+        at = at[at <= last[at]]
+        known = np.zeros(len(shingles), bool)
+        known[at] = True
         best: dict[tuple[int, int], tuple] = {}
-        for t, width, places in self.candidates(shingles, last):
+        for t, width, places in self.candidates(shingles, at):
             own = self.templates[t].shingles
             for place in places[places <= last[places]].tolist() if len(places) else []:
                 stop = min(place + width, int(last[place]) + 1)
@@ -143,11 +160,12 @@ class Scanner:
                 share = len(np.unique(shingles[inside])) / len(own)
                 if share >= CONTAINED:
                     key = (int(text[place]), t)
-                    hit = (share, len(own), int(inside[0]), int(inside[-1]) + SHINGLE - 1)
+                    hit = (share, round(share * len(own)) + SHINGLE - 1, int(inside[0]), int(inside[-1]) + SHINGLE - 1)
                     if key not in best or (hit[0], -hit[2]) > (best[key][0], -best[key][2]):
                         best[key] = hit
+        found = [(doc, t, *hit) for (doc, t), hit in best.items()] + list(self.lines(tokens, bounds))
         kept: dict[int, list[tuple]] = {}
-        for (doc, t), (share, size, first, end) in sorted(best.items(), key=lambda x: (x[0][0], -x[1][0], -x[1][1], x[0][1])):
+        for doc, t, share, _, first, end in sorted(found, key=lambda x: (x[0], -x[3], -x[2], x[4], x[1])):
             rows = kept.setdefault(doc, [])
             if all(end < a or b < first for _, _, _, a, b in rows):
                 rows.append((doc, t, share, first, end))

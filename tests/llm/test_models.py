@@ -132,6 +132,36 @@ def test_licenses(spark, texts):
     assert license_scan.licenses(texts(ODD)).count() == 0
 
 
+def test_licenses_in_usual_words(texts):
+    bsd = license_scan.TEMPLATES["BSD-3-Clause"]
+    changed = bsd[0].split()
+    changed[8] = "changed"
+    two = license_scan.TEMPLATES["BSD-2-Clause"][1].replace("COPYRIGHT HOLDER OR", "REGENTS OR")
+    rows = {
+        "Distributed under the MIT License": ["MIT"],
+        "Licensed under Apache License 2.0": ["Apache-2.0"],
+        " ".join(changed): ["BSD-3-Clause"],
+        two: ["BSD-2-Clause"],
+        license_scan.TEMPLATES["BSD-3-Clause"][1]: ["BSD-3-Clause"],
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+        "option) any later version.": ["GPL-3.0"],
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your "
+        "option) any later version.": ["LGPL-2.1"],
+        "You may copy it under the terms of the GNU Affero General Public License v3.": ["AGPL-3.0"],
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.": ["MPL-2.0"],
+        "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies.": ["ISC"],
+        "All text is available under CC BY-SA 4.0 unless noted.": ["CC-BY-SA-4.0"],
+        "Code under the MIT License, text under CC BY 4.0": ["CC-BY-4.0", "MIT"],
+        "The MIT press printed it under the license of the city.": [],
+    }
+    got = license_scan.licenses(texts([(i, f"a b c {text} d e f") for i, text in enumerate(rows)])).collect()
+    for i, want in enumerate(rows.values()):
+        assert sorted(r.license for r in got if r.doc_id == i) == want, i
+
+
 def test_fixed_url_rules(spark):
     rules = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("com", "/de/", "block")]
     urls = [
