@@ -40,6 +40,12 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder of intermediate rows, in whatever store it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def settled(frame: DataFrame) -> DataFrame:
     """`frame`, written once to the shared folder, so that what follows doesn't compute it again."""
     shared_folder(frame.sparkSession)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tablesync.llm import (
     decontaminate,
     license_scan,
+    line_dedup,
     packing,
     quality_embed,
     quality_rules,
@@ -102,6 +103,12 @@ def rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(table(spark, sf_dir, "documents"))
 
 
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.deduped(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", "kept_sha256"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": substrings,
     "op2_url_filter": urls,
@@ -113,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_near_dedup": near_duplicates,
     "op9_quality_classifier": quality,
     "op10_quality_rules": rules,
+    "op11_line_dedup": lines,
 }
 
 ORACLE = {
@@ -140,4 +148,27 @@ ORACLE = {
                sha256(coalesce(kept_text, '')) as kept_sha256
         from texts left join kept using (row)
     """,
+    "op11_line_dedup": r"""
+        with texts as (
+            select row_number() over () as row, doc_id, string_split(coalesce(text, ''), chr(10)) as lines
+            from documents
+        ),
+        placed as (select row, unnest(lines) as line, generate_subscripts(lines, 1) as i from texts),
+        keyed as (
+            select row, i, line, translate(
+                trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+            from placed
+        ),
+        common as (select key from keyed where length(key) >= 1 group by key having count(distinct row) >= 10),
+        kept as (
+            select row, count(*) as n, string_agg(line, chr(10) order by i) as kept_text
+            from keyed anti join common using (key)
+            group by row
+        )
+        select doc_id, cast(len(lines) as bigint) as n_lines,
+               cast(len(lines) - coalesce(n, 0) as bigint) as n_dropped,
+               sha256(coalesce(kept_text, '')) as kept_sha256
+        from texts left join kept using (row)
+    """,
 }
