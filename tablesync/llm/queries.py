@@ -13,6 +13,7 @@ from tablesync.llm import (
     license_scan,
     line_dedup,
     packing,
+    prefix_trie,
     quality_embed,
     quality_rules,
     sharding,
@@ -109,6 +110,10 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": substrings,
     "op2_url_filter": urls,
@@ -121,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_classifier": quality,
     "op10_quality_rules": rules,
     "op11_line_dedup": lines,
+    "op12_prefix_trie": conversation_trie,
 }
 
 ORACLE = {
@@ -171,4 +177,65 @@ ORACLE = {
                sha256(coalesce(kept_text, '')) as kept_sha256
         from texts left join kept using (row)
     """,
+    "op12_prefix_trie": r"""
+        with turns as (
+            select conv_id as conv, role, text,
+                   row_number() over (partition by conv_id order by turn nulls first, role, text) as pos
+            from (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text
+                  from conversations where conv_id is not null)
+        ),
+        sizes as (select conv, count(*) as n from turns group by conv),
+        crcs as (
+            select conv, conv - conv % 100 as base,
+                   xor(list_reduce(
+                       list_transform(string_split(cast(conv as varchar), ''), lambda c: cast(ascii(c) as bigint)),
+                       lambda crc, b: list_reduce(
+                           [0, 1, 2, 3, 4, 5, 6, 7]::bigint[],
+                           lambda x, k: case when x % 2 = 1 then xor(x // 2, 3988292384) else x // 2 end,
+                           xor(crc, b)),
+                       4294967295), 4294967295) % 6 as head
+            from sizes
+        ),
+        convs as (
+            select crcs.conv, base, head, least(head, coalesce(b.n, 0)) as taken
+            from crcs left join sizes as b on b.conv = base
+        ),
+        paths as (
+            select c.conv, pos as depth, role, text from convs as c join turns as t on t.conv = c.base and pos <= head
+            union all
+            select c.conv, taken + pos - head, role, text from convs as c join turns as t on t.conv = c.conv and pos > head
+        ),
+        prefixes as (
+            select conv, depth, length(text) as chars,
+                   list([role, text]) over (partition by conv order by depth) as prefix
+            from paths
+            union all
+            select conv, 0, 0, [] from convs
+        ),
+        placed as (
+            select conv, depth, chars, min(conv) over (partition by depth, prefix) as node,
+                   max(depth) over (partition by conv) = depth as is_end
+            from prefixes
+        ),
+        nodes as (
+            select node, depth, count(*) as n_convs, any_value(chars) as chars,
+                   sha256(coalesce(string_agg(cast(conv as varchar), ',' order by conv) filter (is_end), '')) as ends_sha256
+            from placed group by node, depth
+        ),
+        linked as (
+            select n.*, p.node as parent from nodes as n left join placed as p on p.conv = n.node and p.depth = n.depth - 1
+        ),
+        children as (select parent as node, depth - 1 as depth, count(*) as n from linked where depth > 0 group by all),
+        totals as (
+            select a.node, a.depth, count(*) filter (c.n is null) as n_leaves,
+                   sum((n.n_convs - 1) * n.chars) as saved_tokens
+            from nodes as n
+            join placed as a on a.conv = n.node and a.depth <= n.depth
+            left join children as c on c.node = n.node and c.depth = n.depth
+            group by a.node, a.depth
+        )
+        select l.node as conv_id, cast(depth as bigint) as depth, parent as parent_conv_id, n_convs,
+               coalesce(c.n, 0) as n_children, n_leaves, cast(saved_tokens as bigint) as saved_tokens, ends_sha256
+        from linked as l join totals using (node, depth) left join children as c using (node, depth)
+    """,
 }
