@@ -19,12 +19,14 @@ from tablesync.llm import (
     sharding,
     simhash,
     substring_dedup,
+    tokenizer_align,
     toxicity,
     url_rules,
 )
 from tablesync.llm.common import shared_folder, table
 
 TOKENIZER = "word_bpe_49k.json"
+ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 SHARDS = 24
 URL_RULES = [
     ("org", "/", "allow"),
@@ -114,6 +116,11 @@ def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(table(spark, sf_dir, "conversations"))
 
 
+def tokenizer_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return tokenizer_align.scored(tokenizer_align.alignments(docs, *map(public_tokenizers.path, ALIGNED)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": substrings,
     "op2_url_filter": urls,
@@ -127,6 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_rules": rules,
     "op11_line_dedup": lines,
     "op12_prefix_trie": conversation_trie,
+    "op13_tokenizer_align": tokenizer_links,
 }
 
 ORACLE = {
