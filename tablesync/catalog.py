@@ -130,3 +130,25 @@ def session_conf(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[N
                 spark.conf.unset(key)
             else:
                 spark.conf.set(key, value)
+
+
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
+
+def session_with(spark: SparkSession, settings: Mapping[str, str]) -> SparkSession:
+    """A session with this one's settings, but for those given.
+
+    It shares the catalog and the context; nobody else sees what is set in it, so writes of
+    other threads are not disturbed. Temporary views are not shared.
+    """
+    other = spark.newSession()
+    for row in spark.sql("SET").collect():
+        if row["key"].startswith("spark.sql.") and spark.conf.isModifiable(row["key"]):
+            other.conf.set(row["key"], row["value"])
+    for key, value in settings.items():
+        other.conf.set(key, value)
+    return other
+
+
+def overwrites_statically(spark: SparkSession) -> bool:
+    return spark.conf.get(OVERWRITE_MODE).lower() == "static"

@@ -15,7 +15,7 @@ is only streamed past them and never shuffled, and skew does not matter.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -47,12 +47,61 @@ def _any_null(names: Sequence[str]) -> str:
     return "(" + " OR ".join(f"{n} IS NULL" for n in names) + ")"
 
 
+#: Cells of the sketch that a first look for hot keys counts rows in.
+SKETCH_CELLS = 1 << 14
+
+
+def _tagged(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """The keys of both sides' rows as h0, h1, ..., and which side they are from."""
+    held = [f"h{i}" for i in range(len(keys))]
+
+    def side(df: DataFrame, incoming: str) -> DataFrame:
+        return df.selectExpr(*[f"{quote(k)} AS {h}" for k, h in zip(keys, held)], f"{incoming} AS incoming")
+
+    return side(old, "false").unionAll(side(new, "true")), held
+
+
+def _counted(rows: DataFrame, by: Sequence[str], least: int) -> DataFrame:
+    sides = [F.count_if(F.expr("NOT incoming")).alias("old_rows"), F.count_if("incoming").alias("new_rows")]
+    return rows.groupBy(*by).agg(*sides).withColumn("hot", F.expr(f"greatest(old_rows, new_rows) >= {least}"))
+
+
+def count_hot_keys(
+    old: DataFrame, new: DataFrame, keys: Sequence[str], hot_key_rows: int, seen: Observation
+) -> DataFrame | None:
+    """``hot_keys`` for sides that may have none: None if a count-min sketch shows that.
+
+    The sketch has one row of cells, kept as rows: each key's rows are counted in the cell of
+    its hash, so a cell never has fewer than any of its keys. Tasks count before they shuffle,
+    at most a row a cell; no key is shuffled. Only keys of hot cells are then counted exactly.
+    Where rows are too many for the cells, a second look takes as many as they need.
+    """
+    cells = SKETCH_CELLS
+    while True:
+        both, held = _tagged(old, new, keys)
+        both = both.observe(seen, F.count_if(F.expr(_any_null(held))).alias("null_keys"))
+        cell = f"pmod(xxhash64({', '.join(held)}), {cells}) AS cell"
+        sketch = _counted(both.where(f"NOT {_any_null(held)}").selectExpr(cell, "incoming"), ["cell"], hot_key_rows)
+        found = sketch.agg(F.count_if("hot").alias("hot"), F.sum(F.expr("old_rows + new_rows")).alias("rows")).first()
+        if not found["hot"]:
+            return None
+        wanted = 8 * found["rows"] // hot_key_rows
+        if found["hot"] * 8 <= cells or cells >= wanted:
+            break
+        cells, seen = 1 << wanted.bit_length(), Observation()
+    suspects = _counted(
+        _tagged(old, new, keys)[0].where(f"NOT {_any_null(held)}").selectExpr(cell, "incoming"), ["cell"], hot_key_rows
+    ).where("hot").select("cell")
+    return hot_keys(old, new, keys, hot_key_rows, suspects=(cell, suspects))
+
+
 def hot_keys(
     old: DataFrame,
     new: DataFrame,
     keys: Sequence[str],
     hot_key_rows: int,
     seen: Observation | None = None,
+    suspects: tuple[str, DataFrame] | None = None,
 ) -> DataFrame:
     """The keys that ``hot_key_rows`` rows or more of a side have, counted exactly.
 
@@ -60,21 +109,19 @@ def hot_keys(
     about ``hot_key_rows`` rows each side's rows make, at least one; ``paired``, whether
     both sides have the key. Reads the key columns of all rows once; tasks count before
     they shuffle. There are at most as many hot keys as parts of the two sides. ``seen``
-    takes the number of rows with a null key as ``null_keys``.
+    takes the number of rows with a null key as ``null_keys``. ``suspects``, an expression
+    and its values, tells which keys can be hot; others are not counted.
     """
-    held = [f"h{i}" for i in range(len(keys))]
-
-    def tagged(df: DataFrame, incoming: str) -> DataFrame:
-        return df.selectExpr(*[f"{quote(k)} AS {h}" for k, h in zip(keys, held)], f"{incoming} AS incoming")
-
-    both = tagged(old, "false").unionAll(tagged(new, "true"))
+    both, held = _tagged(old, new, keys)
     if seen:
         both = both.observe(seen, F.count_if(F.expr(_any_null(held))).alias("null_keys"))
+    both = both.where(f"NOT {_any_null(held)}")
+    if suspects:
+        cell, values = suspects
+        both = both.selectExpr("*", cell).join(values, "cell", "left_semi").select(*held, "incoming")
     return (
-        both.where(f"NOT {_any_null(held)}")
-        .groupBy(*held)
-        .agg(F.count_if(F.expr("NOT incoming")).alias("old_rows"), F.count_if("incoming").alias("new_rows"))
-        .where(f"greatest(old_rows, new_rows) >= {hot_key_rows}")
+        _counted(both, held, hot_key_rows)
+        .where("hot")
         .selectExpr(
             *held,
             *[f"greatest(1, (CAST({s}_rows AS BIGINT) + {hot_key_rows - 1}) div {hot_key_rows}) AS {s}_parts" for s in ("old", "new")],
@@ -207,12 +254,17 @@ def merge_matched(old: DataFrame, new: DataFrame, keys: Sequence[str], carried:
 
 
 def merge_frames(
-    old: DataFrame, new: DataFrame, keys: Sequence[str], skew: KeySkew = KeySkew()
+    old: DataFrame,
+    new: DataFrame,
+    keys: Sequence[str],
+    skew: KeySkew = KeySkew(),
+    apart: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Merge ``new`` into ``old``. Both have the same columns.
 
     Each side is read once, and once more for its null keys if there may be any.
     ``skew`` does not change the result, as long as it tells the truth of these rows.
+    ``apart`` is applied to the rows with a null key, which the join has not moved.
     """
     merge = _checked(old, new, keys)
     left, right = merge.side(old, "o"), merge.side(new, "n")
@@ -224,4 +276,6 @@ def merge_frames(
         left = left.where(f"NOT {_any_null(merge.names('o'))}")
         right = right.where(f"NOT {_any_null(merge.names('n'))}")
 
+    if branches and apart:
+        branches = [apart(reduce(DataFrame.unionAll, branches))]
     return reduce(DataFrame.unionAll, branches, merge.outer(left, right, skew))

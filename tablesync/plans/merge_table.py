@@ -20,12 +20,14 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Collection, Iterable, Sequence
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tablesync.catalog import (
+    OVERWRITE_MODE,
     TableInfo,
     drop_table,
     ensure_schema,
@@ -33,7 +35,7 @@ from tablesync.catalog import (
     qualified,
     quote,
     rename_table,
-    session_conf,
+    session_with,
     set_properties,
     shared_folder,
     split_name,
@@ -53,7 +55,7 @@ from tablesync.operators.layout import FORMAT_OPTIONS, lay_out
 from tablesync.operators.merge import (
     KeySkew,
     check_unique,
-    hot_keys,
+    count_hot_keys,
     merge_few,
     merge_frames,
     merge_matched,
@@ -66,7 +68,12 @@ STAGE_SCHEMA = "tablesync_stage"
 _READY = "tablesync.stage.ready"
 _TARGET_PATH = "tablesync.stage.path"
 _OWNER = "tablesync.owner"
+#: Begins the names of helper columns that stand beside a table's own.
+_T = "__tablesync_"
 _WHOLE, _TOUCHED = "whole", "touched"
+#: Threads that remove folders; partitions dropped by one statement.
+_THREADS = 16
+_DROPPED_AT_ONCE = 100
 
 # File systems on which renaming a directory moves no data.
 _CHEAP_RENAME = ("file", "hdfs", "viewfs", "abfs", "abfss")
@@ -135,12 +142,8 @@ def _save_helper(
         f"CLUSTERED BY {listed(bucket_by)} INTO {num_buckets} BUCKETS" if bucket_by else "",
         f"TBLPROPERTIES ({text_literal(_OWNER)} = {text_literal(_full_name(spark, table))})",
     ]
-    view = f"tablesync_{hashlib.sha1(helper.encode()).hexdigest()[:16]}"
-    spark.createDataFrame([], df.schema).createOrReplaceTempView(view)
-    try:
-        spark.sql(f"CREATE TABLE {qualified(spark, helper)} {' '.join(clauses)} AS SELECT * FROM {view}")
-    finally:
-        spark.catalog.dropTempView(view)
+    columns = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema])
+    spark.sql(f"CREATE TABLE {qualified(spark, helper)} ({columns.toDDL()}) {' '.join(clauses)}")
     spec = TableSpec(
         helper, file_format=file_format, partition_by=partition_by, bucket_by=bucket_by, num_buckets=num_buckets
     )
@@ -186,7 +189,8 @@ def merge(df: DataFrame, spec: TableSpec) -> None:
     finally:
         if spec.stage_incoming:
             _drop_helper(spark, incoming, spec.table)
-        _drop_helper(spark, stage_name(spark, spec.table, "hot"), spec.table)
+        for role in ("hot", "touched"):
+            _drop_helper(spark, stage_name(spark, spec.table, role), spec.table)
 
 
 def _take_in(new: DataFrame, spec: TableSpec, stage: str) -> tuple[DataFrame, bool]:
@@ -204,25 +208,43 @@ def _take_in(new: DataFrame, spec: TableSpec, stage: str) -> tuple[DataFrame, bo
     return new, (measured or 0) <= spec.broadcast_bytes
 
 
+def _aligned(spec: TableSpec, few: bool) -> bool:
+    """Whether a join on the keys puts each bucket of the table in one task."""
+    return not few and not spec.partition_columns and set(spec.bucket_columns) == set(spec.keys) != set()
+
+
 def _merged(old: DataFrame, new: DataFrame, spec: TableSpec, few: bool) -> DataFrame:
-    """The merge of two frames, planned for their size and the keys they hold."""
+    """The merge of two frames, planned for their size and the keys they hold, and spread
+    over write tasks."""
+
+    def spread(rows: DataFrame) -> DataFrame:
+        return lay_out(rows, spec.partition_columns, spec.bucket_columns, spec.num_buckets, spec.num_partitions)
+
     if few:
-        return merge_few(old, new, spec.keys)
-    if spec.duplicate_keys == "error":  # then only null keys can be many
-        return merge_frames(old, new, spec.keys)
-    return merge_frames(old, new, spec.keys, _skew(old, new, spec))
+        return spread(add_derived(merge_few(old, new, spec.keys), spec.derived))
+    # With unique keys only null keys can be many.
+    skew = KeySkew() if spec.duplicate_keys == "error" else _skew(old, new, spec)
+    if _aligned(spec, few) and skew.hot is None:
+        # Joined rows stay in their bucket's task; those with a null key are brought there.
+        return merge_frames(old, new, spec.keys, skew, apart=spread)
+    return spread(add_derived(merge_frames(old, new, spec.keys, skew), spec.derived))
 
 
 def _skew(old: DataFrame, new: DataFrame, spec: TableSpec) -> KeySkew:
-    """Count the hot keys of both sides into a helper table."""
+    """Look for hot keys on both sides; those that there are go to a helper table."""
     spark = old.sparkSession
-    helper, seen = stage_name(spark, spec.table, "hot"), Observation()
-    _save_helper(hot_keys(old, new, spec.keys, spec.hot_key_rows, seen), helper, spec.table)
-    hot = spark.table(qualified(spark, helper))
-    size = hot.agg(F.sum(row_bytes(hot.schema))).first()[0]
+    seen = Observation()
+    hot = count_hot_keys(old, new, spec.keys, spec.hot_key_rows, seen)
+    null_keys = seen.get["null_keys"] > 0
+    if hot is None:
+        return KeySkew(null_keys=null_keys)
+    helper, written = stage_name(spark, spec.table, "hot"), Observation()
+    size = F.sum(row_bytes(hot.schema)).alias("bytes")
+    _save_helper(hot.observe(written, size), helper, spec.table)
+    size = written.get["bytes"]
     return KeySkew(
-        null_keys=seen.get["null_keys"] > 0,
-        hot=hot if size else None,
+        null_keys=null_keys,
+        hot=spark.table(qualified(spark, helper)) if size else None,
         broadcast_hot=(size or 0) <= spec.broadcast_bytes,
     )
 
@@ -230,41 +252,32 @@ def _skew(old: DataFrame, new: DataFrame, spec: TableSpec) -> KeySkew:
 # --- touched partitions -----------------------------------------------------
 
 
-def _values(partition: Iterable[object], schema: T.StructType, columns: Sequence[str]) -> list[str]:
-    """A partition's values as SQL literals of the columns' types."""
-    return [
-        f"CAST({'NULL' if v is None else text_literal(str(v))} AS {schema[c].dataType.simpleString()})"
-        for c, v in zip(columns, partition)
-    ]
+@dataclass(frozen=True)
+class _Touched:
+    """The partitions to read, as a helper table, and whether it may be broadcast.
 
+    Its columns, all named by `_T`, are 0, 1, ... of the partition columns' own types,
+    `matched` (the partition holds matched old rows), `code`, a hash of the partition's
+    values, and `chosen`, always 1 (only a filtered table prunes partitions).
+    """
 
-def _among(partitions: Collection[tuple], schema: T.StructType, columns: Sequence[str]) -> str:
-    """SQL text: a row's partition is one of these. Readable by a catalog column by
-    column, and exact for combinations of columns."""
-    if not partitions:
-        return "false"
-    rows = [_values(p, schema, columns) for p in partitions]
-    tests = []
-    for i, name in enumerate(map(quote, columns)):
-        known = sorted({row[i] for row, p in zip(rows, partitions) if p[i] is not None})
-        either = [f"{name} IN ({', '.join(known)})"] if known else []
-        either += [f"{name} IS NULL"] if any(p[i] is None for p in partitions) else []
-        tests.append("(" + " OR ".join(either) + ")")
-    if len(columns) > 1:
-        named = lambda values: "named_struct(" + ", ".join(f"'p{i}', {v}" for i, v in enumerate(values)) + ")"
-        tests.append(f"{named(map(quote, columns))} IN ({', '.join(map(named, rows))})")
-    return " AND ".join(tests)
+    partitions: DataFrame
+    few: bool
 
+    def only(self, rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+        """The rows that lie in these partitions. No value passes through text.
 
-@dataclass(frozen=True)
-class _Touched:
-    """The partitions to read, and those of them that hold matched old rows.
+        The hash makes one equality of all columns, null or not; Spark turns it into a
+        partition filter at run time (dynamic pruning), where the table may be broadcast.
+        """
+        wanted = self.partitions.where(f"{_T}code IS NOT NULL AND {_T}chosen = 1")
+        same = [F.expr(f"{_code(columns)} = {_T}code")]
+        same += [F.col(quote(c)).eqNullSafe(F.col(f"{_T}{i}")) for i, c in enumerate(columns)]
+        return rows.join(F.broadcast(wanted) if self.few else wanted, same, "left_semi")
 
-    They are partitions of one table, which its catalog lists on the driver as well.
-    """
 
-    partitions: frozenset[tuple[object, ...]]
-    matched: frozenset[tuple[object, ...]]
+def _code(columns: Sequence[str]) -> str:
+    return f"xxhash64({', '.join(map(quote, columns))})"
 
 
 def _mentions(expression: str, name: str) -> bool:
@@ -301,14 +314,13 @@ def _follows_from_keys(columns: Sequence[str], spec: TableSpec) -> bool:
     )
 
 
-def _partition(spec: TableSpec) -> str:
-    return f"struct({', '.join(map(quote, spec.partition_columns))})"
-
-
-def _find_touched(target: DataFrame, new: DataFrame, spec: TableSpec, few: bool) -> _Touched:
+def _find_touched(target: DataFrame, new: DataFrame, spec: TableSpec, few: bool) -> _Touched | None:
     """Which partitions the incoming rows touch: those they land in, and those their
-    matches are in and go to."""
-    landing = add_derived(new, spec.derived).selectExpr(f"{_partition(spec)} AS part", "false AS matched")
+    matches are in and go to. None if there are none."""
+    columns = spec.partition_columns
+    own = ", ".join(f"'{_T}{i}', {quote(c)}" for i, c in enumerate(columns))
+    partition = f"named_struct({own})"
+    landing = add_derived(new, spec.derived).selectExpr(f"{partition} AS part", f"false AS {_T}matched")
     if _follows_from_keys(new.columns, spec):
         ends = landing
     else:
@@ -316,20 +328,29 @@ def _find_touched(target: DataFrame, new: DataFrame, spec: TableSpec, few: bool)
         # expressions read are scanned here.
         was = "__partition_before"
         paired = merge_matched(
-            target.selectExpr(*map(quote, new.columns), f"{_partition(spec)} AS {was}"),
+            target.selectExpr(*map(quote, new.columns), f"{partition} AS {was}"),
             F.broadcast(new) if few else new,
             spec.keys,
             was,
         )
         matched = add_derived(paired, spec.derived).select(
             F.expr(
-                f"inline(array(struct({was} AS part, true AS matched), "
-                f"struct({_partition(spec)} AS part, false AS matched)))"
+                f"inline(array(struct({was} AS part, true AS {_T}matched), "
+                f"struct({partition} AS part, false AS {_T}matched)))"
             )
         )
         ends = landing.unionAll(matched)
-    found = [(tuple(row["part"]), row["matched"]) for row in ends.distinct().collect()]
-    return _Touched(frozenset(p for p, _ in found), frozenset(p for p, matched in found if matched))
+    held = [f"{_T}{i}" for i in range(len(columns))]
+    found = ends.select("part.*", f"{_T}matched").groupBy(*held).agg(F.bool_or(f"{_T}matched").alias(f"{_T}matched"))
+    found = found.selectExpr("*", f"{_code(held)} AS {_T}code", f"1 AS {_T}chosen")
+    seen = Observation()
+    measured = found.observe(seen, F.sum(row_bytes(found.schema)).alias("bytes"))
+    spark = target.sparkSession
+    helper = stage_name(spark, spec.table, "touched")
+    # parquet keeps a timestamp as the instant that it is
+    _save_helper(measured, helper, spec.table, "parquet")
+    size = seen.get["bytes"]
+    return _Touched(spark.table(qualified(spark, helper)), size <= spec.broadcast_bytes) if size else None
 
 
 def _merge_touched(target: DataFrame, new: DataFrame, spec: TableSpec, few: bool) -> bool:
@@ -338,32 +359,33 @@ def _merge_touched(target: DataFrame, new: DataFrame, spec: TableSpec, few: bool
     spark = target.sparkSession
     columns = spec.partition_columns
     touched = _find_touched(target, new, spec, few)
-    if not touched.partitions:  # nothing came in
+    if touched is None:  # nothing came in
         return True
-    old = target.where(_among(touched.partitions, target.schema, columns)).drop(*spec.derived)
-    merged = add_derived(_merged(old, new, spec, few), spec.derived)
+    old = touched.only(target, columns).drop(*spec.derived)
     stage = stage_name(spark, spec.table)
-    _save_stage(_spread(merged, spec, few), spec, stage)
-    staged = spark.table(qualified(spark, stage))
-    present = {tuple(row) for row in pick(staged, columns).distinct().collect()}
-    if not present <= touched.partitions:
+    _save_stage(_merged(old, new, spec, few), spec, stage)
+    present = pick(spark.table(qualified(spark, stage)), columns).distinct().selectExpr("*", f"true AS {_T}present")
+    same = [F.col(quote(c)).eqNullSafe(F.col(f"{_T}{i}")) for i, c in enumerate(columns)]
+    both = touched.partitions.join(present, same, "full")
+    emptied = both.where(f"{_T}matched AND {_T}present IS NULL").select(touched.partitions.columns)
+    outside, left = both.agg(
+        F.count_if(F.col(f"{_T}matched").isNull()), F.count_if(F.expr(f"{_T}matched AND {_T}present IS NULL"))
+    ).first()
+    if outside:
         _drop_helper(spark, stage, spec.table)
         return False
-    emptied = touched.matched - present
-    if emptied:
-        rows = [
-            (_partition_clause(spec, p), _among([p], target.schema, columns)) for p in sorted(emptied, key=repr)
-        ]
-        frame = spark.createDataFrame(rows, "clause string, test string")
-        _save_helper(frame.coalesce(1), stage_name(spark, spec.table, "emptied"), spec.table)
+    if left:
+        _save_helper(emptied, stage_name(spark, spec.table, "emptied"), spec.table, "parquet")
     _publish_stage(spark, spec, stage, _TOUCHED)
     return True
 
 
-def _insert_dynamic(df: DataFrame, table: str) -> None:
-    spark = df.sparkSession
-    with session_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
-        df.write.mode("overwrite").insertInto(qualified(spark, table))
+def _insert_dynamic(spark: SparkSession, rows: str, table: str) -> None:
+    """Replace the partitions that the rows of one table have in another one."""
+    other = session_with(spark, {OVERWRITE_MODE: "dynamic"})
+    source, target = other.table(qualified(spark, rows)), qualified(spark, table)
+    pick(source, other.table(target).columns).write.mode("overwrite").insertInto(target)
+    spark.catalog.refreshTable(target)
 
 
 # --- whole table ------------------------------------------------------------
@@ -379,8 +401,7 @@ def _merge_whole(
     old: DataFrame, new: DataFrame, spec: TableSpec, few: bool, info: TableInfo
 ) -> None:
     spark = old.sparkSession
-    merged = add_derived(_merged(old, new, spec, few), spec.derived)
-    merged = _spread(merged, spec, few)
+    merged = _merged(old, new, spec, few)
     if _renames(info):
         successor = successor_name(spark, spec.table)
         _save_stage(merged, spec, successor)
@@ -394,15 +415,6 @@ def _merge_whole(
     _publish_stage(spark, spec, stage, _WHOLE)
 
 
-def _spread(df: DataFrame, spec: TableSpec, few: bool) -> DataFrame:
-    """Spread over write tasks, unless the join has already put each bucket in one task."""
-    if not few and not spec.partition_columns and set(spec.bucket_columns) == set(spec.keys):
-        return df
-    return lay_out(
-        df, spec.partition_columns, spec.bucket_columns, spec.num_buckets, spec.num_partitions
-    )
-
-
 def _save_stage(merged: DataFrame, spec: TableSpec, table: str) -> None:
     shaped = partition_columns_last(merged, spec.partition_columns)
     _save_helper(
@@ -431,13 +443,6 @@ def _take_over(spark: SparkSession, successor: str, table: str) -> None:
 # --- publishing a stage -----------------------------------------------------
 
 
-def _partition_clause(spec: TableSpec, partition: Iterable[object]) -> str:
-    def value(v: object) -> str:
-        return "NULL" if v is None else text_literal(str(v))
-
-    return ", ".join(f"{quote(c)} = {value(v)}" for c, v in zip(spec.partition_columns, partition))
-
-
 def _publish_stage(spark: SparkSession, spec: TableSpec, stage: str, reach: str) -> None:
     """Mark the stage as complete, replace the target's rows by it, drop it.
 
@@ -449,26 +454,45 @@ def _publish_stage(spark: SparkSession, spec: TableSpec, stage: str, reach: str)
 
 
 def _remove_partitions(spark: SparkSession, table: str, emptied: str) -> None:
-    """Drop the listed partitions in one statement; of an external table, their files before."""
-    listed = spark.table(qualified(spark, emptied)).collect()
-    if table_info(spark, table).external:
+    """Drop the partitions listed in a helper table; of an external table, their files before."""
+    info, name = table_info(spark, table), qualified(spark, table)
+    gone = _Touched(spark.table(qualified(spark, emptied)), few=False)
+    if info.external:
         # Dropping the partition of an external table leaves its files.
-        gone = spark.table(qualified(spark, table)).where(" OR ".join(f"({row['test']})" for row in listed))
-        folders = gone.select(F.regexp_extract("_metadata.file_path", "^(.*)/[^/]*$", 1)).distinct().collect()
+        files = gone.only(spark.table(name).select("*", "_metadata.file_path"), info.partition_by)
+        folders = files.select(F.regexp_extract("file_path", "^(.*)/[^/]*$", 1)).distinct().collect()
         jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-        for (folder,) in folders:
+
+        def remove(folder: str) -> None:
             path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
             path.getFileSystem(conf).delete(path, True)
-    clauses = ", ".join(f"PARTITION ({row['clause']})" for row in listed)
-    spark.sql(f"ALTER TABLE {qualified(spark, table)} DROP IF EXISTS {clauses}")
-    spark.catalog.refreshTable(qualified(spark, table))
+
+        with ThreadPoolExecutor(_THREADS) as pool:
+            list(pool.map(remove, (folder for (folder,) in folders)))
+    # The catalog's own names of the partitions, typed as it types them when they are read.
+    schema = spark.table(name).schema
+    value = "url_decode(replace(substring_index(part, '=', -1), '+', '%2B'))"
+    values = f"transform(split(partition, '/'), part -> nullif({value}, '__HIVE_DEFAULT_PARTITION__'))"
+    listed = spark.sql(f"SHOW PARTITIONS {name}").selectExpr(f"{values} AS raw")
+    typed = listed.selectExpr(
+        "raw", *[f"CAST(raw[{i}] AS {schema[c].dataType.simpleString()}) AS {quote(c)}" for i, c in enumerate(info.partition_by)]
+    )
+    rows = gone.only(typed, info.partition_by).select("raw").collect()
+    for i in range(0, len(rows), _DROPPED_AT_ONCE):
+        clauses = ", ".join(f"PARTITION ({_partition_clause(info, row['raw'])})" for row in rows[i : i + _DROPPED_AT_ONCE])
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {clauses}")
+    spark.catalog.refreshTable(name)
+
+
+def _partition_clause(info: TableInfo, raw: Sequence[str | None]) -> str:
+    values = ("NULL" if v is None else text_literal(v) for v in raw)
+    return ", ".join(f"{quote(c)} = {v}" for c, v in zip(info.partition_by, values))
 
 
 def _replay(spark: SparkSession, table: str, stage: str) -> None:
     info = table_info(spark, stage)
-    rows = spark.table(qualified(spark, stage))
     if info.properties[_READY] == _TOUCHED:
-        _insert_dynamic(pick(rows, spark.table(qualified(spark, table)).columns), table)
+        _insert_dynamic(spark, stage, table)
         emptied = stage_name(spark, table, "emptied")
         if _owned(spark, emptied, table):
             _remove_partitions(spark, table, emptied)
@@ -483,7 +507,7 @@ def _replay(spark: SparkSession, table: str, stage: str) -> None:
             bucket_by=info.bucket_by,
             num_buckets=info.num_buckets,
         )
-        write.save(rows, spec, table, "overwrite", spec.path)
+        write.save(spark.table(qualified(spark, stage)), spec, table, "overwrite", spec.path)
         _describe(spark, table, info)
         if derived:
             set_properties(spark, table, {write.DERIVED_PROPERTY: derived})
@@ -497,7 +521,7 @@ def recover(spark: SparkSession, table: str) -> None:
     was not complete: it is dropped and the table is as before that merge.
     """
     successor, stage = successor_name(spark, table), stage_name(spark, table)
-    for role in ("incoming", "hot"):
+    for role in ("incoming", "hot", "touched"):
         _drop_helper(spark, stage_name(spark, table, role), table)
     if _owned(spark, successor, table):
         if table_exists(spark, table):

@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tablesync.catalog import (
+    OVERWRITE_MODE,
     TableInfo,
     ensure_schema,
+    overwrites_statically,
     qualified,
+    session_with,
     set_properties,
     split_name,
     table_exists,
@@ -57,15 +61,34 @@ def with_layout(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def save(df: DataFrame, spec: TableSpec, table: str, mode: str, path: str | None) -> None:
-    table_writer(
-        df,
-        spec.file_format or DEFAULT_FORMAT,
-        mode,
-        path,
-        spec.partition_columns,
-        spec.bucket_columns,
-        spec.num_buckets,
-    ).saveAsTable(qualified(df.sparkSession, table))
+    """Write rows to a table. An overwrite replaces all partitions, whatever the session says.
+
+    (Spark keeps an option of the writer with the table, where it would bind later inserts, and
+    the session is not ours to change; so a dynamic session's rows are written from another.)
+    """
+    spark = df.sparkSession
+
+    def write(rows: DataFrame) -> None:
+        table_writer(
+            rows,
+            spec.file_format or DEFAULT_FORMAT,
+            mode,
+            path,
+            spec.partition_columns,
+            spec.bucket_columns,
+            spec.num_buckets,
+        ).saveAsTable(qualified(spark, table))
+
+    if mode != "overwrite" or not spec.partition_columns or overwrites_statically(spark):
+        return write(df)
+    view = f"tablesync_{uuid.uuid4().hex}"
+    df.createGlobalTempView(view)
+    try:
+        shared = spark.conf.get("spark.sql.globalTempDatabase")
+        write(session_with(spark, {OVERWRITE_MODE: "static"}).table(f"{shared}.{view}"))
+    finally:
+        spark.catalog.dropGlobalTempView(view)
+    spark.catalog.refreshTable(qualified(spark, table))  # this session may remember the old files
 
 
 def overwrite(df: DataFrame, spec: TableSpec) -> None:

@@ -7,10 +7,12 @@ from pyspark.sql import Observation, functions as F
 
 from tablesync import KeySkew, SpecError, TableSpec, merge, merge_frames, overwrite
 from tablesync.catalog import session_conf, table_info
+from tablesync.operators import merge as merge_operator
 from tablesync.operators.merge import hot_keys, merge_few
 from tablesync.plans import merge_table
 
 SCHEMA = "id int, a string, b int"
+T = merge_table._T
 
 
 def rows(df):
@@ -93,6 +95,19 @@ def test_hot_keys_are_counted_exactly(spark):
     assert rows(hot_keys(nulls, df, ["id"], 10_000)) == [(7, 1, 2, False)]
 
 
+def test_the_sketch_finds_the_hot_keys_that_there_are(spark, monkeypatch):
+    monkeypatch.setattr(merge_operator, "SKETCH_CELLS", 4)
+    df = spark.range(20_000).selectExpr("IF(id % 4 = 0, 7, id) AS id", "id % 3 AS g")
+    few = spark.range(300).selectExpr("IF(id % 3 = 0, NULL, id) AS id", "id % 3 AS g")
+    for keys, least in ((["id"], 100), (["id", "g"], 1000), (["id"], 1), (["id"], 6000)):
+        seen = Observation()
+        found = merge_operator.count_hot_keys(df, few, keys, least, seen)
+        want = rows(hot_keys(df, few, keys, least))
+        assert (rows(found) if found is not None else []) == want
+        assert seen.get["null_keys"] == 100
+    assert merge_operator.count_hot_keys(df, few, ["id"], 6000, Observation()) is None
+
+
 def test_no_number_of_hot_keys_is_too_large(spark):
     df = spark.range(0, 12_000, 1, 8).selectExpr("CAST(id % 1500 AS INT) AS id", "'o' AS a", "1 AS b")
     found = hot_keys(df, df, ["id"], 4)
@@ -225,13 +240,88 @@ def test_derived_value_outside_the_read_partitions(spark, db):
 def test_rows_that_left_the_read_partitions_rewrite_everything(spark, db, monkeypatch):
     spec = TableSpec(f"{db}.t", keys=["id"], partition_by=["a"])
     overwrite(frame(spark, OLD), spec)
-    few = frozenset([("nowhere",)])
-    monkeypatch.setattr(merge_table, "_find_touched", lambda *_: merge_table._Touched(few, frozenset()))
+    nowhere = spark.sql(f"SELECT 'nowhere' AS {T}0, false AS {T}matched, xxhash64('nowhere') AS {T}code, 1 AS {T}chosen")
+    monkeypatch.setattr(merge_table, "_find_touched", lambda *_: merge_table._Touched(nowhere, True))
     merge(frame(spark, NEW), spec)
     assert rows(spark.table(spec.table).select("id", "a", "b")) == expected(OLD, NEW)
     assert leftovers(spark, db) == []
 
 
+STAMPS = ["2024-03-10 01:30:00", "2024-03-10 03:30:00", "2024-11-03 01:30:00", "1900-01-01 00:00:00.000001"]
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Kolkata"])
+@pytest.mark.parametrize("external", [False, True])
+def test_timestamp_partitions_keep_all_rows(spark, db, tmp_path, zone, external):
+    """The zone of the session is not that of the process."""
+    path = str(tmp_path / "x") if external else None
+    spec = TableSpec(f"{db}.t", keys=["id"], partition_by=["h", "n", "x"], path=path)
+    rows_of = lambda stamps: spark.createDataFrame(
+        [(i, s, n, x, "old") for i, (s, n, x) in enumerate(stamps)], "id int, s string, n string, x double, v string"
+    ).selectExpr("id", "v", "CAST(s AS TIMESTAMP) AS h", "CAST(n AS TIMESTAMP_NTZ) AS n", "x")
+    stamps = [(s, n, x) for s in [*STAMPS, None] for n in [STAMPS[0], None] for x in (0.5, float("nan"), None)] * 2
+    zone_before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        overwrite(rows_of(stamps), spec)
+        merge(rows_of(stamps).where("id < 20").withColumn("v", F.lit("new")), spec)
+        got = rows(spark.table(spec.table).selectExpr("id", "v"))
+        assert got == sorted(((i, "new" if i < 20 else "old") for i in range(len(stamps))), key=repr)
+        # rows 0 and 30 share a partition and leave it
+        moved = spark.table(spec.table).where("id in (0, 30)").withColumn("x", F.lit(9.0))
+        merge(moved, spec)
+        found = spark.table(spec.table)
+        assert found.count() == len(stamps) and found.where("x = 9").count() == 2
+        assert spark.sql(f"SHOW PARTITIONS {spec.table}").count() == 30
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone_before)
+    assert leftovers(spark, db) == []
+
+
+def test_many_touched_partitions_take_no_text(spark, db):
+    columns = ["a", "b"]
+    wanted = spark.range(100_000).selectExpr(f"id % 1000 AS {T}0", f"CAST(id div 1000 AS STRING) AS {T}1")
+    wanted = wanted.selectExpr("*", f"true AS {T}matched", f"{merge_table._code([T + '0', T + '1'])} AS {T}code", f"1 AS {T}chosen")
+    wanted.write.saveAsTable(f"{db}.wanted")
+    spec = TableSpec(f"{db}.t", partition_by=columns)
+    df = spark.range(40).selectExpr("id", "id % 2000 AS a", "IF(id = 7, NULL, '0') AS b")
+    overwrite(df, spec)
+    touched = merge_table._Touched(spark.table(f"{db}.wanted"), True)
+    found = touched.only(spark.table(spec.table), columns)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan and len(plan) < 10_000
+    assert found.count() == 39
+
+
+@pytest.mark.parametrize("external", [False, True])
+def test_merge_that_rewrites_all_in_a_dynamic_session(spark, db, tmp_path, external):
+    path = str(tmp_path / "x") if external else None
+    spec = TableSpec(f"{db}.t", keys=["id"], partition_by=["a"], rewrite="all", path=path)
+    overwrite(frame(spark, OLD), spec)
+    with session_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+        merge(frame(spark, NEW), spec)
+    assert rows(spark.table(spec.table).select("id", "a", "b")) == expected(OLD, NEW)
+    assert leftovers(spark, db) == []
+
+
+@pytest.mark.parametrize("hot", [True, False])
+def test_bucket_files_stay_few_with_hot_and_null_keys(spark, db, hot):
+    key = "IF(id % 3 = 0, 0, id)" if hot else "IF(id % 3 = 0, NULL, id)"
+    old = spark.range(0, 6000, 1, 6).selectExpr(f"{key} AS id", "id AS v")
+    spec = TableSpec(
+        f"{db}.t", keys=["id"], bucket_by=["id"], num_buckets=8, broadcast_bytes=0, hot_key_rows=500, path=None
+    )
+    settings = {
+        "spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    with session_conf(spark, settings):
+        overwrite(old, spec)
+        merge(spark.range(3000, 9000).selectExpr(f"IF(id % 3 = 0, -id, id) AS id", "-id AS v"), spec)
+    files = spark.table(spec.table).select("_metadata.file_path").distinct().count()
+    assert files <= 24, files
+
+
 def test_only_touched_combinations_are_read(spark, db):
     spec = TableSpec(f"{db}.t", keys=["id"], partition_by=["a", "b"])
     overwrite(frame(spark, [(i, f"p{i % 10}", i // 10) for i in range(100)]), spec)
@@ -309,7 +399,7 @@ def test_partition_lost_in_mid_commit(spark, db, monkeypatch):
     spec = TableSpec(f"{db}.t", keys=["id"], partition_by=["a"])
     overwrite(frame(spark, [(1, "p", 1), (2, "p", 2), (3, "q", 3)]), spec)
 
-    def dies(df, table):
+    def dies(spark, stage, table):
         shutil.rmtree(urlparse(table_info(spark, table).location).path + "/a=p")
         raise RuntimeError("broken off")
 

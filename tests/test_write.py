@@ -1,4 +1,5 @@
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 import pytest
@@ -69,14 +70,39 @@ def test_overwrite_replaces_columns_and_layout(spark, db):
     assert (info.partition_by, info.file_format) == ((), "parquet")
 
 
-def test_static_overwrite_even_in_a_dynamic_session(spark, db):
-    spec = TableSpec(f"{db}.t", partition_by=["country"])
+@pytest.mark.parametrize("external", [False, True])
+def test_static_overwrite_even_in_a_dynamic_session(spark, db, tmp_path, external):
+    spec = TableSpec(f"{db}.t", partition_by=["country"], path=str(tmp_path / "x") if external else None)
     overwrite(frame(spark), spec)
     with catalog.session_conf(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
         overwrite(frame(spark, ROWS[:1]), spec)
+        assert spark.table(spec.table).count() == 1
+        # and later inserts are the session's again
+        spark.table(spec.table).selectExpr("*").where("false").write.mode("overwrite").insertInto(spec.table)
     assert spark.table(spec.table).count() == 1
 
 
+def test_two_threads_with_different_overwrite_modes(spark, db, tmp_path):
+    """Merges replace partitions while overwrites in the same session replace whole tables."""
+    old = spark.range(60).selectExpr("id", "CAST(id % 6 AS STRING) AS p", "'old' AS v")
+    merged = TableSpec(f"{db}.m", mode="merge", keys=["id"], partition_by=["p"])
+    overwrite(old, merged)
+
+    def merges(_):
+        sync(spark.range(3).selectExpr("id", "CAST(id % 6 AS STRING) AS p", "'new' AS v"), merged)
+        return spark.table(merged.table).count()
+
+    def overwrites(i):
+        spec = TableSpec(f"{db}.o{i}", partition_by=["p"], path=str(tmp_path / f"o{i}"))
+        overwrite(old, spec)
+        overwrite(old.where("p = '1'"), spec)
+        return spark.table(spec.table).count()
+
+    with ThreadPoolExecutor(2) as pool:
+        first, second = pool.submit(lambda: [merges(i) for i in range(3)]), pool.submit(lambda: [overwrites(i) for i in range(3)])
+        assert (first.result(), second.result()) == ([60] * 3, [10] * 3)
+
+
 def test_sync_modes_and_missing_schema(spark, db):
     name = f"{db}_made.t"
     sync(frame(spark), TableSpec(name))
