@@ -40,6 +40,10 @@ def merged(old: str, new: str, keys: tuple[str, ...], columns: tuple[str, ...])
 
 MERGED_ORDERS = merged("SELECT * FROM orders", ORDER_CHANGES, ("o_orderkey",), ORDERS)
 ORDERS_AND_YEAR = f"SELECT *, {YEAR} FROM orders"
+HOURS = """
+    SELECT event_id, CASE WHEN event_type = 'purchase' THEN -value ELSE value END AS value,
+           date_trunc('hour', ts) AS hour
+    FROM events"""
 ALL_ORDERS = "SELECT * FROM orders"
 
 ORACLE: dict[str, str] = {
@@ -87,6 +91,7 @@ ORACLE: dict[str, str] = {
     "overwrite_managed_partitioned": ORDERS_AND_YEAR,
     "overwrite_external": ALL_ORDERS,
     "overwrite_external_partitioned": ORDERS_AND_YEAR,
+    "overwrite_external_in_dynamic_session": ORDERS_AND_YEAR,
     "append_missing_table": "SELECT * FROM customer",
     "append_existing": """
         SELECT * FROM customer
@@ -103,6 +108,15 @@ ORACLE: dict[str, str] = {
     "merge_managed_partitioned": f"SELECT *, {YEAR} FROM ({MERGED_ORDERS})",
     "merge_external": MERGED_ORDERS,
     "merge_external_partitioned": MERGED_ORDERS,
+    "merge_rewriting_all_in_dynamic_session": MERGED_ORDERS,
+    "merge_timestamp_partition": HOURS,
+    "merge_timestamp_partition_external": HOURS,
+    "merge_emptied_partitions": """
+        SELECT * REPLACE (CASE WHEN event_type = 'click' THEN 'view' ELSE event_type END AS event_type),
+               strftime(ts, '%Y-%m-%d') AS day, CAST(0 AS BIGINT) AS days_left
+        FROM events""",
+    "write_csv_in_files_of_bounded_size": """
+        SELECT *, (SELECT sum(strlen(text)) FROM documents) > 256 * 1024 AS in_several_files FROM documents""",
     "merge_bucketed": MERGED_ORDERS,
     "merge_broadcast": MERGED_ORDERS,
     "merge_broadcast_partitioned": f"SELECT *, {YEAR} FROM ({MERGED_ORDERS})",

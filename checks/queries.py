@@ -208,6 +208,14 @@ def overwrite_external_partitioned(w: Workspace) -> DataFrame:
     return _overwritten(w, external=True, by_year=True)
 
 
+DYNAMIC = {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
+
+
+def overwrite_external_in_dynamic_session(w: Workspace) -> DataFrame:
+    with catalog.session_conf(w.spark, DYNAMIC):
+        return _overwritten(w, external=True, by_year=True)
+
+
 def append_missing_table(w: Workspace) -> DataFrame:
     ts.append(w.read("customer"), w.spec())
     return w.table()
@@ -268,6 +276,49 @@ def merge_external_partitioned(w: Workspace) -> DataFrame:
     return _merged_orders(w, external=True, partition_by=["o_orderstatus"], **JOINED)
 
 
+def merge_rewriting_all_in_dynamic_session(w: Workspace) -> DataFrame:
+    """Changed statuses move rows to other partitions; none may stay in the old one."""
+    with catalog.session_conf(w.spark, DYNAMIC):
+        return _merged_orders(w, external=True, partition_by=["o_orderstatus"], rewrite="all", **JOINED)
+
+
+def _merged_hours(w: Workspace, external: bool) -> DataFrame:
+    """Events by the hour, a timestamp; purchases are changed, in a zone that is not the process's."""
+    rows = w.read("events").select("event_id", "value", "ts")
+    with catalog.session_conf(w.spark, {"spark.sql.session.timeZone": "Asia/Kolkata"}):
+        hour = F.date_trunc("hour", F.col("ts").cast("timestamp"))
+        spec = w.spec(keys=["event_id"], partition_by=["hour"], external=external)
+        ts.overwrite(rows.select("event_id", "value", hour.alias("hour")), spec)
+        changed = w.read("events").where("event_type = 'purchase'").withColumn("value", -F.col("value"))
+        ts.merge(changed.select("event_id", "value", hour.alias("hour")), spec)
+    return w.table().select("event_id", "value", F.col("hour").cast("timestamp_ntz").alias("hour"))
+
+
+def merge_timestamp_partition(w: Workspace) -> DataFrame:
+    return _merged_hours(w, external=False)
+
+
+def merge_timestamp_partition_external(w: Workspace) -> DataFrame:
+    return _merged_hours(w, external=True)
+
+
+def merge_emptied_partitions(w: Workspace) -> DataFrame:
+    """All events of one type move to the partition of another, hour by hour; theirs are emptied."""
+    rows = w.read("events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    spec = w.spec(keys=["event_id"], partition_by=["event_type", "day"], external=True)
+    ts.overwrite(rows, spec)
+    ts.merge(rows.where("event_type = 'click'").withColumn("event_type", F.lit("view")), spec)
+    days = w.spark.sql(f"SHOW PARTITIONS {spec.table}").where("partition LIKE 'event_type=click/%'").count()
+    return w.table().withColumn("days_left", F.lit(days).cast("long"))
+
+
+def write_csv_in_files_of_bounded_size(w: Workspace) -> DataFrame:
+    """All documents as csv, and in how many files they are, at a target of 256 KiB a file."""
+    ts.overwrite(w.read("documents"), w.spec(file_format="csv", file_bytes=256 * 1024))
+    files = w.table().select("_metadata.file_path").distinct().count()
+    return w.table().withColumn("in_several_files", F.lit(files > 1))
+
+
 def merge_bucketed(w: Workspace) -> DataFrame:
     return _merged_orders(w, bucket_by=["o_orderkey"], num_buckets=8, **JOINED)
 
@@ -509,6 +560,7 @@ QUERIES: dict[str, Query] = {
         write_formats,
         write_formats_events,
         write_formats_documents,
+        write_csv_in_files_of_bounded_size,
         write_bucketed,
         write_bucketed_partitioned,
         write_repartitioned,
@@ -516,6 +568,7 @@ QUERIES: dict[str, Query] = {
         overwrite_managed_partitioned,
         overwrite_external,
         overwrite_external_partitioned,
+        overwrite_external_in_dynamic_session,
         append_missing_table,
         append_existing,
         append_partitioned,
@@ -524,6 +577,10 @@ QUERIES: dict[str, Query] = {
         merge_managed_partitioned,
         merge_external,
         merge_external_partitioned,
+        merge_rewriting_all_in_dynamic_session,
+        merge_timestamp_partition,
+        merge_timestamp_partition_external,
+        merge_emptied_partitions,
         merge_bucketed,
         merge_broadcast,
         merge_broadcast_partitioned,

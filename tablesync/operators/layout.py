@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, DataFrameWriter, functions as F
 
 from tablesync.catalog import quote
+from tablesync.functions.columns import row_bytes
 
 # How text formats keep microseconds, line breaks, blanks and empty text.
 _TEXT_OPTIONS = {
@@ -21,11 +22,12 @@ FORMAT_OPTIONS = {
         "multiLine": "true",
         "escape": '"',
         "nullValue": "\u0000",
-        "emptyValue": "",
         "ignoreLeadingWhiteSpace": "false",
         "ignoreTrailingWhiteSpace": "false",
     },
 }
+# Formats whose files one task must read from end to end (csv with line breaks in values).
+UNSPLITTABLE = ("csv",)
 _BUCKET = "__tablesync_bucket"
 
 
@@ -67,6 +69,20 @@ def _split_count(df: DataFrame) -> int:
     return max(1, df.sparkSession.sparkContext.defaultParallelism)
 
 
+def rows_per_file(file_format: str | None, file_bytes: int, *frames: DataFrame) -> int | None:
+    """Rows that fill a file of about ``file_bytes``, for a format whose files cannot be split.
+
+    Their size is measured on all rows of the frames, which is one more pass over them.
+    """
+    if file_format not in UNSPLITTABLE:
+        return None
+    size, count = 0, 0
+    for df in frames:
+        found = df.agg(F.sum(row_bytes(df.schema)).alias("size"), F.count("*").alias("count")).first()
+        size, count = size + (found["size"] or 0), count + found["count"]
+    return max(1, file_bytes * count // size) if size else None
+
+
 def table_writer(
     df: DataFrame,
     file_format: str,
@@ -75,10 +91,13 @@ def table_writer(
     partition_by: Sequence[str] = (),
     bucket_by: Sequence[str] = (),
     num_buckets: int | None = None,
+    rows_per_file: int | None = None,
 ) -> DataFrameWriter:
     writer = df.write.format(file_format).mode(mode).options(**FORMAT_OPTIONS.get(file_format, {}))
     if path:
         writer = writer.option("path", path)
+    if rows_per_file:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if bucket_by:

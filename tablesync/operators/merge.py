@@ -19,10 +19,9 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from tablesync.catalog import quote
-from tablesync.functions.columns import NESTED
 from tablesync.spec import SpecError
 
 
@@ -145,20 +144,6 @@ def check_unique(df: DataFrame, keys: Sequence[str], side: str) -> None:
         raise SpecError(f"{side} rows repeat the merge key {shown} ({repeated['row_count']} rows)")
 
 
-def row_bytes(schema: T.StructType) -> Column:
-    """About how much memory a row takes: text by its length, the rest by word."""
-    widths = [str(16 + 8 * len(schema))]
-    for field in schema:
-        name = quote(field.name)
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            widths.append(f"coalesce(octet_length({name}), 0)")
-        elif isinstance(field.dataType, NESTED):
-            widths.append(f"coalesce(octet_length(to_json({name})), 0)")
-        elif isinstance(field.dataType, T.DecimalType):
-            widths.append("16")
-    return F.expr(f"CAST({' + '.join(widths)} AS BIGINT)")
-
-
 class _Merge:
     """Names both sides apart by position, so that any column name is safe."""
 

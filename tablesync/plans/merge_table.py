@@ -50,8 +50,9 @@ from tablesync.functions.columns import (
     conform,
     partition_columns_last,
     pick,
+    row_bytes,
 )
-from tablesync.operators.layout import FORMAT_OPTIONS, lay_out
+from tablesync.operators.layout import FORMAT_OPTIONS, lay_out, rows_per_file
 from tablesync.operators.merge import (
     KeySkew,
     check_unique,
@@ -59,7 +60,6 @@ from tablesync.operators.merge import (
     merge_few,
     merge_frames,
     merge_matched,
-    row_bytes,
 )
 from tablesync.plans import write
 from tablesync.spec import SpecError, TableSpec
@@ -122,6 +122,7 @@ def _save_helper(
     partition_by: Sequence[str] = (),
     bucket_by: Sequence[str] = (),
     num_buckets: int | None = None,
+    file_rows: int | None = None,
 ) -> None:
     """Write rows to a new helper table, which names its owner from the start."""
     spark = df.sparkSession
@@ -147,7 +148,7 @@ def _save_helper(
     spec = TableSpec(
         helper, file_format=file_format, partition_by=partition_by, bucket_by=bucket_by, num_buckets=num_buckets
     )
-    write.save(df, spec, helper, "append", None)
+    write.save(df, spec, helper, "append", None, file_rows)
 
 
 def merge(df: DataFrame, spec: TableSpec) -> None:
@@ -404,7 +405,7 @@ def _merge_whole(
     merged = _merged(old, new, spec, few)
     if _renames(info):
         successor = successor_name(spark, spec.table)
-        _save_stage(merged, spec, successor)
+        _save_stage(merged, spec, successor, rows_per_file(spec.file_format, spec.file_bytes, old, new))
         _describe(spark, successor, info)
         set_properties(spark, successor, write.derived_properties(spec))
         _take_over(spark, successor, spec.table)
@@ -415,10 +416,17 @@ def _merge_whole(
     _publish_stage(spark, spec, stage, _WHOLE)
 
 
-def _save_stage(merged: DataFrame, spec: TableSpec, table: str) -> None:
+def _save_stage(merged: DataFrame, spec: TableSpec, table: str, file_rows: int | None = None) -> None:
     shaped = partition_columns_last(merged, spec.partition_columns)
     _save_helper(
-        shaped, table, spec.table, spec.file_format, spec.partition_columns, spec.bucket_columns, spec.num_buckets
+        shaped,
+        table,
+        spec.table,
+        spec.file_format,
+        spec.partition_columns,
+        spec.bucket_columns,
+        spec.num_buckets,
+        file_rows,
     )
 
 
@@ -507,7 +515,8 @@ def _replay(spark: SparkSession, table: str, stage: str) -> None:
             bucket_by=info.bucket_by,
             num_buckets=info.num_buckets,
         )
-        write.save(spark.table(qualified(spark, stage)), spec, table, "overwrite", spec.path)
+        rows = spark.table(qualified(spark, stage))
+        write.save(rows, spec, table, "overwrite", spec.path, rows_per_file(spec.file_format, spec.file_bytes, rows))
         _describe(spark, table, info)
         if derived:
             set_properties(spark, table, {write.DERIVED_PROPERTY: derived})

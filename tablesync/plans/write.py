@@ -27,7 +27,7 @@ from tablesync.functions.columns import (
     nested_to_json,
     partition_columns_last,
 )
-from tablesync.operators.layout import lay_out, table_writer
+from tablesync.operators.layout import lay_out, rows_per_file, table_writer
 from tablesync.spec import DEFAULT_FORMAT, SpecError, TableSpec
 
 DERIVED_PROPERTY = "tablesync.derived"
@@ -60,7 +60,9 @@ def with_layout(df: DataFrame, spec: TableSpec) -> DataFrame:
     )
 
 
-def save(df: DataFrame, spec: TableSpec, table: str, mode: str, path: str | None) -> None:
+def save(
+    df: DataFrame, spec: TableSpec, table: str, mode: str, path: str | None, file_rows: int | None = None
+) -> None:
     """Write rows to a table. An overwrite replaces all partitions, whatever the session says.
 
     (Spark keeps an option of the writer with the table, where it would bind later inserts, and
@@ -77,6 +79,7 @@ def save(df: DataFrame, spec: TableSpec, table: str, mode: str, path: str | None
             spec.partition_columns,
             spec.bucket_columns,
             spec.num_buckets,
+            file_rows,
         ).saveAsTable(qualified(spark, table))
 
     if mode != "overwrite" or not spec.partition_columns or overwrites_statically(spark):
@@ -96,7 +99,8 @@ def overwrite(df: DataFrame, spec: TableSpec) -> None:
     spark = df.sparkSession
     rows, spec = resolve(df, spec)
     ensure_schema(spark, split_name(spark, spec.table)[0])
-    save(with_layout(rows, spec), spec, spec.table, "overwrite", spec.path)
+    file_rows = rows_per_file(spec.file_format, spec.file_bytes, rows)
+    save(with_layout(rows, spec), spec, spec.table, "overwrite", spec.path, file_rows)
     set_properties(spark, spec.table, derived_properties(spec))
 
 
@@ -115,7 +119,7 @@ def append(df: DataFrame, spec: TableSpec) -> None:
     check_columns(spark, shaped, spec.table)
     if stored and not spec.derived:  # the rows bring values of their own: none can be trusted any more
         unset_properties(spark, spec.table, [DERIVED_PROPERTY])
-    save(shaped, spec, spec.table, "append", None)
+    save(shaped, spec, spec.table, "append", None, rows_per_file(spec.file_format, spec.file_bytes, rows))
 
 
 def check_columns(spark: SparkSession, df: DataFrame, table: str) -> None:

@@ -42,6 +42,7 @@ class TableSpec:
     writes the incoming rows once before the several passes over them (turn it
     off only for a frame that is cheap and gives the same rows each time);
     incoming rows of up to ``broadcast_bytes`` in all are broadcast;
+    ``file_bytes`` is about how large a csv file gets, which one task must read.
     ``hot_key_rows`` is the row count from which one key is spread over tasks.
     """
 
@@ -61,6 +62,7 @@ class TableSpec:
     stage_incoming: bool = True
     broadcast_bytes: int = 64 * 1024 * 1024
     hot_key_rows: int = 1_000_000
+    file_bytes: int = 128 * 1024 * 1024
 
     def __post_init__(self) -> None:
         for name in ("partition_by", "bucket_by", "keys"):
@@ -84,7 +86,7 @@ class TableSpec:
         _one_of("rewrite", self.rewrite, ("touched", "all"))
         if bool(self.bucket_by) != (self.num_buckets is not None):
             raise SpecError("give both bucket_by and num_buckets, or neither")
-        for name in ("num_buckets", "num_partitions", "hot_key_rows"):
+        for name in ("num_buckets", "num_partitions", "hot_key_rows", "file_bytes"):
             value = getattr(self, name)
             if value is not None and value < 1:
                 raise SpecError(f"{name} must be at least 1, got {value}")

@@ -216,3 +216,15 @@ def test_few_files_per_bucket(spark, db):
         overwrite(df, spec)
         files = spark.table(spec.table).select("_metadata.file_path").distinct().count()
         assert files <= 48 + 4, files
+
+
+def test_csv_files_have_about_the_target_size(spark, db):
+    rows_ = spark.range(0, 2000, 1, 1).selectExpr("id", "repeat('line\n', CAST(id % 50 AS INT)) AS text")
+    spec = TableSpec(f"{db}.t", mode="merge", keys=["id"], file_format="csv", file_bytes=40_000)
+    overwrite(rows_, spec)
+    for _ in range(2):
+        found = spark.table(spec.table)
+        sizes = [r[0] for r in found.select("_metadata.file_path", "_metadata.file_size").distinct().select("file_size").collect()]
+        assert len(sizes) >= 5 and max(sizes) < 80_000, sizes
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, rows_.collect()))
+        sync(rows_.where("id < 10"), spec)
