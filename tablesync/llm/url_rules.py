@@ -14,7 +14,7 @@ All work is DataFrame functions and Spark's own FP-growth. URLs are matched once
 token set, so a host with a third of all rows is a few rows there. Null URLs and URLs without
 "://" have an empty host and path and no tokens; they are allowed. Repeated rows are judged
 each. Without labelled URLs nothing is mined and everything else is allowed. Other columns are
-kept by `judged`.
+kept by `judged`; one that is named like a result gives way to it.
 """
 
 from __future__ import annotations
@@ -24,15 +24,18 @@ from functools import reduce
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tablesync.catalog import quote
 from tablesync.llm.common import settled
 
 #: Share of the labelled URLs, and of those with a rule's tokens, from which a rule counts.
-SUPPORT, CONFIDENCE = 0.01, 0.9
-#: Labelled URLs that a rule must rest on, however few there are in all.
-LEAST_URLS = 20
+#: Both are shares, so a table and its copies give the same rules.
+SUPPORT, CONFIDENCE = 0.05, 0.9
+#: Different labelled URLs that a rule must rest on.
+LEAST_URLS = 3
 #: How much surer than the label's own share a rule must be.
 LIFT = 1.1
 
+RESULTS = ("host", "path", "rule", "verdict", "mined")
 _LABEL = "="
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -78,14 +81,13 @@ def mined(labelled: DataFrame, *, support: float = SUPPORT, confidence: float =
     """Rules (antecedent: tokens, label, confidence, anchor: the rarest token) from `labelled` (tokens, label)."""
     items = F.concat("tokens", F.array(F.concat(F.lit(_LABEL), "label")))
     rows = labelled.where("label is not null and size(tokens) > 0").select(items.alias("items"))
-    support = min(1.0, max(support, LEAST_URLS / max(rows.count(), 1)))
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(rows)
     sets = settled(model.freqItemsets.select(F.array_sort("items").alias("items"), "freq"))
     # a set with a label, joined with the same set without it
     label = F.filter("items", lambda x: x.startswith(_LABEL))
     rest = F.filter("items", lambda x: ~x.startswith(_LABEL))
     with_label = sets.where(F.size(label) == 1).select(
-        F.substring(label[0], len(_LABEL) + 1, 1000).alias("label"), rest.alias("antecedent"), F.col("freq").alias("both")
+        F.substr(label[0], F.lit(len(_LABEL) + 1)).alias("label"), rest.alias("antecedent"), F.col("freq").alias("both")
     )
     alone = sets.where(F.size(label) == 0).select(F.col("items").alias("antecedent"), "freq")
     shares = with_label.where("size(antecedent) = 0").select("label", F.col("both").alias("label_freq"))
@@ -94,7 +96,7 @@ def mined(labelled: DataFrame, *, support: float = SUPPORT, confidence: float =
         with_label.where("size(antecedent) > 0")
         .join(alone, "antecedent")
         .withColumn("confidence", F.col("both") / F.col("freq"))
-        .where(F.col("confidence") >= confidence)
+        .where((F.col("confidence") >= confidence) & (F.col("both") >= LEAST_URLS))
         .join(shares, "label")
         .withColumn("lift", F.col("confidence") / F.col("label_freq"))
         .select("antecedent", "label", "confidence", "freq", "lift")
@@ -136,10 +138,13 @@ def judged(
 ) -> DataFrame:
     """The rows of `pages` (url) with host, path, rule, verdict and mined: whether a mined rule blocks the URL.
 
-    The URLs that a fixed rule judges are the labelled ones.
+    The URLs that a fixed rule judges are the labelled ones, each counted once.
     """
-    rows = pages.withColumns(parts()).withColumns(fixed(rules)).withColumn("tokens", tokens())
+    others = [F.col(f"page.{quote(c)}") for c in pages.columns if c.lower() not in RESULTS]
+    rows = pages.select(F.struct(*[F.col(quote(c)) for c in pages.columns]).alias("page"), "url").withColumns(parts())
+    rows = rows.withColumns(fixed(rules)).withColumn("tokens", tokens())
     labelled = rows.where("rule is not null").select("tokens", F.col("rule_verdict").alias("label"))
+    labelled = labelled.distinct()  # a URL says no more if it is there more often
     found = mined(labelled, support=support, confidence=confidence)
     blocked = fired(rows.where("rule is null"), found, "block").withColumn("mined", F.lit(True))
     verdict = F.coalesce("rule_verdict", F.when(F.col("mined"), "block").otherwise("allow"))
@@ -147,5 +152,5 @@ def judged(
         rows.join(blocked, "tokens", "left")
         .withColumn("mined", F.coalesce("mined", F.lit(False)) & F.col("rule").isNull())
         .withColumn("verdict", verdict)
-        .drop("tokens", "rule_verdict")
+        .select(*others, *RESULTS)
     )
