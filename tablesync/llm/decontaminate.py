@@ -8,12 +8,13 @@ compared token by token. There every maximal stretch (a match +1, a substitution
 of it and none around it scores better) counts if it has `MIN_STRETCH` matches. Stretches add
 up, of one diagonal and of several, so that neither a replaced block nor an insertion or
 deletion hides a leak. A document leaks an item if at least half of the item's tokens are
-found (between `MIN_TOKENS` and `ENOUGH_TOKENS` of them).
+found (between `MIN_TOKENS` and `ENOUGH_TOKENS` of them), or if `RUN` of them stand in a row.
+An item of fewer than `MIN_TOKENS` tokens leaks where all of them stand in a row.
 
 The benchmark is the query side. It is split into blocks of about `BLOCK_BYTES` of text, and
-one block after the other is broadcast and joined against all documents, whatever the number
-of blocks; documents aren't shuffled. Nulls and empty texts have no tokens. Items with fewer than
-`MIN_TOKENS` tokens can't be told from chance and match nothing. Repeated rows and repeated
+one block after the other is read, broadcast, joined against all documents and let go, whatever
+the number of blocks; documents aren't shuffled. Nulls and empty texts have no tokens. Items of
+fewer tokens than the shortest mask spans can't be told from chance and match nothing. Repeated rows and repeated
 ids are each compared; a pair of ids is returned once. Other columns are ignored.
 """
 
@@ -27,12 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from tablesync.llm.common import mixed, slices, tokens_of
+from tablesync.llm.common import mixed, settled, slices, tokens_of
 
 MASKS = ("111111", "11101011", "1100110011", "11010010101")
 MIN_STRETCH = 8
 MIN_TOKENS = 10
 ENOUGH_TOKENS = 25
+RUN = 13
 BLOCK_BYTES = 32 << 20
 
 _TABLE_BITS = 22
@@ -71,6 +73,11 @@ def _stretches(same: np.ndarray) -> list[tuple[int, int]]:
     return [(start, stop) for start, stop, *_ in kept if matches[stop] - matches[start] >= MIN_STRETCH]
 
 
+def _longest_run(same: np.ndarray) -> int:
+    turns = np.flatnonzero(np.diff(np.concatenate(([False], same, [False]))))
+    return int((turns[1::2] - turns[::2]).max(initial=0))
+
+
 @dataclass(frozen=True)
 class Index:
     """The spans of a block of benchmark items, by hash."""
@@ -93,7 +100,7 @@ class Index:
             found = _seeds(tokens, mask, number)
             at = np.arange(len(found))
             own = owner[: len(found)]
-            whole = (at + len(mask) <= bounds[1:][own]) & (sizes[own] >= MIN_TOKENS)
+            whole = at + len(mask) <= bounds[1:][own]
             hashes.append(found[whole])
             item.append(own[whole])
             place.append((at - bounds[:-1][own])[whole])
@@ -130,16 +137,22 @@ class Index:
             own = self.tokens[self.bounds[item] : self.bounds[item + 1]]
             begin, end = int(bounds[text]), int(bounds[text + 1])
             covered = np.zeros(len(own), bool)
-            first, last = end, begin
+            first, last, run = end, begin, 0
             for diagonal in rows[:, 2].tolist():
                 low, high = max(0, begin - diagonal), min(len(own), end - diagonal)
                 same = own[low:high] == tokens[diagonal + low : diagonal + high]
-                for start, stop in _stretches(same):
+                run = max(run, _longest_run(same))
+                if len(own) < MIN_TOKENS:
+                    stretches = [(0, len(own))] if run == len(own) else []
+                else:
+                    stretches = _stretches(same)
+                for start, stop in stretches:
                     covered[low + start : low + stop] |= same[start:stop]
                     first = min(first, diagonal + low + start)
                     last = max(last, diagonal + low + stop - 1)
             matched = int(covered.sum())
-            if matched >= max(MIN_TOKENS, min(len(own) / 2, ENOUGH_TOKENS)):
+            least = max(MIN_TOKENS, min(len(own) / 2, ENOUGH_TOKENS))
+            if matched >= min(len(own), least) or run >= RUN:
                 yield text, item, matched, first, last
 
 
@@ -178,7 +191,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for block in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         index = context.broadcast(Index.of([tuple(row) for row in part.collect()]))
-        rows = read.mapInArrow(_leaks(index), schema)
+        rows = settled(read.mapInArrow(_leaks(index), schema))
+        index.unpersist()
         found = rows if found is None else found.union(rows)
     return found.groupBy("doc_id", "item_id").agg(
         F.max("matched").alias("matched"), F.min("first_word").alias("first_word"), F.max("last_word").alias("last_word")
