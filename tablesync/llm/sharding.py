@@ -1,7 +1,8 @@
 """Sharding by fixed virtual slots and a versioned slot-to-shard map.
 
 A record's slot is a hash of its id and text, so it never changes, and slots are thousands
-of small, even parts. Bytes and rows are summed per slot; the map gives each slot a shard,
+of small, even parts. Rows that repeat both are numbered, and the number of the second and
+later ones goes into their hash: no group of copies, and no repeated row, fills a slot. Bytes and rows are summed per slot; the map gives each slot a shard,
 the largest slots first, each to the shard with the fewest bytes. Maps are stored as
 `version=N` folders of one table and never overwritten. A rebalance edits the newest one:
 slots leave shards that hold more than their share (or that are gone) and nothing else moves.
@@ -10,7 +11,6 @@ Only the map, `n_slots` rows, is handled by the driver and broadcast. Positions
 a slot's first position plus a record's rank in its slot, so no task sorts a whole shard.
 
 Null texts have no bytes; null and repeated ids are allowed, since the text is hashed as well.
-Rows that repeat id and text share a slot; apart from that, no group of copies shares one.
 An empty table gives an empty result and a map of empty slots. Other columns are ignored.
 """
 
@@ -21,6 +21,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from tablesync.llm.common import settled
+
 SLOTS = 8192
 #: Bytes that a record takes besides its text.
 RECORD_BYTES = 8
@@ -35,14 +37,33 @@ class Slot:
 
 
 def sized(docs: DataFrame, n_slots: int = SLOTS) -> DataFrame:
-    """doc_id, size, text_crc32 and virtual_slot of each row of `docs` (doc_id, text)."""
+    """doc_id, size, text_crc32 and virtual_slot of each row of `docs` (doc_id, text); written once."""
     text = F.coalesce("text", F.lit(""))
-    return docs.select(
-        "doc_id",
-        (F.octet_length(text) + RECORD_BYTES).cast("long").alias("size"),
-        F.crc32(text).alias("text_crc32"),
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_slots)).cast("int").alias("virtual_slot"),
+    rows = settled(
+        docs.select(
+            "doc_id",
+            (F.octet_length(text) + RECORD_BYTES).cast("long").alias("size"),
+            F.crc32(text).alias("text_crc32"),
+            F.xxhash64("doc_id", "text").alias("h1"),
+            F.xxhash64(F.lit(1), "doc_id", "text").alias("h2"),
+            F.spark_partition_id().alias("task"),
+        )
     )
+    # How often a task has a row, summed there first: few rows, however often a row repeats.
+    key = ["h1", "h2"]
+    counts = rows.groupBy(*key, "task").agg(F.count("*").alias("n"))
+    before = Window.partitionBy(*key).orderBy("task")
+    placed = counts.select(
+        *key, "task", (F.sum("n").over(before) - F.col("n")).alias("first"), F.sum("n").over(Window.partitionBy(*key)).alias("all")
+    ).where("all > 1")
+    # Only repeated rows are numbered; those of one task are in one group, which is no larger than the task.
+    repeated = rows.join(placed, [*key, "task"], "left")
+    own = F.row_number().over(Window.partitionBy(*key, "task").orderBy("size"))
+    again = repeated.where("all is not null").withColumn("number", F.col("first") + own - 1)
+    once = repeated.where("all is null").withColumn("number", F.lit(0).cast("long"))
+    hashed = F.when(F.col("number") == 0, F.col("h1")).otherwise(F.xxhash64("h1", "h2", "number"))
+    slot = F.pmod(hashed, F.lit(n_slots)).cast("int").alias("virtual_slot")
+    return settled(again.unionByName(once).select("doc_id", "size", "text_crc32", slot))
 
 
 def measured(records: DataFrame, n_slots: int = SLOTS) -> dict[int, tuple[int, int]]:
