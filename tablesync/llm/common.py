@@ -52,6 +52,24 @@ def settled(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def sampled_texts(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
+    """(doc_id, label, text) of at most `sample` labels (doc_id, label 0 or 1): the least by a hash of the id.
+
+    Of rows that share an id, the one whose text has the least hash counts, so that there are
+    at most `sample` rows, however often a labelled id repeats; tasks pick theirs before they shuffle.
+    """
+    chosen = (
+        labels.where("doc_id is not null and label in (0, 1)")
+        .select("doc_id", F.col("label").cast("int").alias("label"))
+        .distinct()
+        .orderBy(F.xxhash64("doc_id"), "doc_id", "label")
+        .limit(sample)
+    )
+    joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # `sample` rows are broadcast
+    least = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least")
+    return joined.groupBy("doc_id", "label").agg(least).select("doc_id", "label", "least.text")
+
+
 def words_of(text: str) -> Column:
     """SQL array of the words `[^\\x20\\x09-\\x0D]+` of a column; null and blank texts have none."""
     return F.expr(f"filter(split(coalesce({text}, ''), '[ \\\\t-\\\\r]+'), w -> w != '')")

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tablesync.llm.common import distinct_words, known_values, slices, split_words
+from tablesync.llm.common import distinct_words, known_values, sampled_texts, slices, split_words
 
 BUCKET_BITS = 18
 DIMENSIONS = 10
@@ -123,17 +123,10 @@ def _train(documents: list[tuple[np.ndarray, np.ndarray, int]]) -> Model:
 
 def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Model:
     """Learn from `labels` (doc_id, label 0 or 1) of `docs` (doc_id, text)."""
-    chosen = (
-        labels.where("doc_id is not null and label in (0, 1)")
-        .select("doc_id", F.col("label").cast("int").alias("label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "label")
-        .limit(sample)
-    )
+    kind = docs.schema["doc_id"].dataType.simpleString()
     rows = (
-        docs.select("doc_id", "text")
-        .join(F.broadcast(chosen), "doc_id")  # `sample` rows at most
-        .select("doc_id", "label", "text")
-        .mapInArrow(_counted, "doc_id long, label int, buckets array<int>, counts array<int>")
+        sampled_texts(docs, labels, sample)
+        .mapInArrow(_counted, f"doc_id {kind}, label int, buckets array<int>, counts array<int>")
         .toArrow()
         .sort_by([("doc_id", "ascending"), ("label", "ascending")])
     )
@@ -173,7 +166,9 @@ def _scores(model):
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, score) of each row of `docs` (doc_id, text)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.select("doc_id", "text").mapInArrow(_scores(shared), "doc_id long, score double")
+    return docs.select("doc_id", "text").mapInArrow(
+        _scores(shared), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double"
+    )
 
 
 def fold(doc_id: str = "doc_id") -> Column:

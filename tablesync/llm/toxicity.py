@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tablesync.llm.common import distinct_words, known_values, slices, split_words, token_hash
+from tablesync.llm.common import distinct_words, known_values, sampled_texts, slices, split_words, token_hash
 
 BUCKET_BITS = 18
 GRADES = 3
@@ -150,17 +150,10 @@ def fitted(grade: np.ndarray, row: np.ndarray, bucket: np.ndarray, n: np.ndarray
 
 def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Model:
     """Learn from `labels` (doc_id, label 0 or 1) of `docs` (doc_id, text)."""
-    chosen = (
-        labels.where("doc_id is not null and label in (0, 1)")
-        .select("doc_id", F.col("label").cast("int").alias("label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "label")
-        .limit(sample)
-    )
+    kind = docs.schema["doc_id"].dataType.simpleString()
     rows = (
-        docs.select("doc_id", "text")
-        .join(F.broadcast(chosen), "doc_id")  # `sample` rows at most
-        .select("doc_id", "label", "text")
-        .mapInArrow(_features, "doc_id long, label int, buckets array<int>, counts array<int>")
+        sampled_texts(docs, labels, sample)
+        .mapInArrow(_features, f"doc_id {kind}, label int, buckets array<int>, counts array<int>")
         .toArrow()
         .sort_by([("doc_id", "ascending"), ("label", "ascending")])
         .combine_chunks()
@@ -202,5 +195,5 @@ def severities(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, expected_severity, p_toxic, grade and toxic of each row of `docs` (doc_id, text)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     return docs.select("doc_id", "text").mapInArrow(
-        _severities(shared), "doc_id long, expected_severity double, p_toxic double, grade int, toxic boolean"
+        _severities(shared), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, expected_severity double, p_toxic double, grade int, toxic boolean"
     )
