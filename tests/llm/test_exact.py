@@ -219,6 +219,24 @@ def test_shards(spark, sf_dir, texts, tmp_path):
     assert max(held.values()) < 1.2 * sum(held.values()) / 24
 
 
+@pytest.mark.parametrize("parts", [1, 7])
+def test_sizes_stay_even_with_a_third_of_all_rows_equal(texts, parts):
+    rows = [(i, f"text {i} " * (i % 9)) for i in range(6000)] + [(5, "same text " * 9)] * 3000 + [(None, None)] * 900
+    records = sharding.sized(texts(rows, parts))
+    entries = sharding.new_map(sharding.measured(records), 24)
+    got, held, places = sharding.assigned(records, entries).collect(), defaultdict(int), defaultdict(list)
+    for r in got:
+        held[r.shard] += r["size"]
+        places[r.shard].append(r.slot)
+    assert len(got) == len(rows) and all(sorted(p) == list(range(len(p))) for p in places.values())
+    assert max(held.values()) < 1.02 * sum(held.values()) / 24
+    assert max(e.rows for e in entries) < 20
+    # the first of equal rows, and rows that don't repeat, keep their slot
+    slots = {(r.doc_id, r.virtual_slot) for r in got}
+    alone = sharding.sized(texts(rows[:6001], 2)).collect()
+    assert {(r.doc_id, r.virtual_slot) for r in alone} <= slots
+
+
 def test_a_rebalance_moves_few_slots(spark, tmp_path):
     slots = {i: (100 + i % 7, 1) for i in range(1000)}
     old = sharding.new_map(slots, 10)
