@@ -49,6 +49,8 @@ CHUNK = 1 << 15
 FAN = 16
 #: Segments that a task remembers.
 KNOWN = 300_000
+#: Segments encoded as one text, and texts encoded in one call.
+TOGETHER = 100
 BROADCAST_BYTES = 64 << 20
 _PAIR_BYTES = 64  # of a pair's counts in memory, with what a hash table takes
 _ROWS = 40  # bits of a row's number below its task's
@@ -116,43 +118,61 @@ class Fragment:
         return Fragment(cut=True) * self if self.ok and self.cut else Fragment(ok=False)
 
 
-def aligned(ids_a, ids_b, size_a, size_b, low: int = 0, high: int | None = None) -> Fragment:
-    """The fragment of the tokens that end after byte `low`, up to byte `high`."""
-    out, a, b = Fragment(), [], []
-    j, at_a, at_b = 0, 0, 0
-    closed, last = [], len(ids_b)
-    for x in ids_a:
-        at_a += size_a[x]
-        if high is not None and at_a > high:
-            break
-        if at_a > low:
-            a.append(x)
-        while j < last and at_b + size_b[ids_b[j]] <= at_a:
-            at_b += size_b[ids_b[j]]
-            if at_b > low:
-                b.append(ids_b[j])
-            j += 1
-        if at_a == at_b and at_a > low:
-            out.n_a, out.n_b = out.n_a + len(a), out.n_b + len(b)
-            if out.cut:
-                closed.append(_group(a, b))
-                link = _pair(a[-1], b[-1])
-                out.pairs[link] = out.pairs.get(link, 0) + 1
-            else:
-                out.cut, out.head_a, out.head_b = True, a, b
-            a, b = [], []
-    while j < last and (high is None or at_b + size_b[ids_b[j]] <= high):
-        at_b += size_b[ids_b[j]]
-        if at_b > low:
-            b.append(ids_b[j])
-        j += 1
-    out.n_a, out.n_b, out.n_groups = out.n_a + len(a), out.n_b + len(b), len(closed)
-    out.groups = b";".join(closed)
-    if out.cut:
-        out.tail_a, out.tail_b = a, b
-    else:
-        out.head_a, out.head_b = a, b
-    return out
+def _before(counts: np.ndarray) -> np.ndarray:
+    return np.cumsum(counts) - counts
+
+
+class Pairing:
+    """Two vocabularies: the bytes of their tokens, and how their ids are written in groups."""
+
+    def __init__(self, size_a: list[int], size_b: list[int]):
+        self.size_a, self.size_b = np.array(size_a, np.int64), np.array(size_b, np.int64)
+        within, last = (("%d,", "%d,"), ("%d|", "%d;"))
+        counts = (len(size_a), len(size_b))
+        # ids of A, the last of a group; then those of B
+        self.kinds = np.cumsum([0, counts[0], counts[0], counts[1]])
+        self.shown = [(form[i] % x).encode() for i in (0, 1) for form in (within, last) for x in range(counts[i])]
+        self.widths = np.fromiter(map(len, self.shown), np.int64, len(self.shown))
+
+    def cuts(self, ids_a: np.ndarray, ids_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Where tokens of A and of B end, and the numbers of those that end together."""
+        ends_a, ends_b = np.cumsum(self.size_a[ids_a]), np.cumsum(self.size_b[ids_b])
+        at = np.searchsorted(ends_b, ends_a)
+        same = np.flatnonzero(ends_a == np.append(ends_b, -1)[at])
+        return ends_a, ends_b, same, at[same]
+
+    def written(self, ids_a: np.ndarray, ids_b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The text of closed groups, each with ; behind it, and where each ends. Cuts are from the first id on."""
+        n_a, n_b = np.diff(cut_a, prepend=-1), np.diff(cut_b, prepend=-1)
+        codes = np.empty(len(ids_a) + len(ids_b), np.int64)
+        place_a = np.arange(len(ids_a)) + np.repeat(_before(n_b), n_a)
+        place_b = np.arange(len(ids_b)) + np.repeat(np.cumsum(n_a), n_b)
+        codes[place_a], codes[place_b] = ids_a, ids_b + self.kinds[2]
+        codes[place_a[cut_a]] += self.kinds[1]
+        codes[place_b[cut_b]] += self.kinds[3] - self.kinds[2]
+        ends = np.cumsum(self.widths[codes])[place_b[cut_b]]
+        return b"".join(map(self.shown.__getitem__, codes.tolist())), ends
+
+    def fragment(self, ids_a: list[int], ids_b: list[int], low: int = 0, high: int | None = None) -> Fragment:
+        """The fragment of the tokens that end after byte `low`, up to byte `high`."""
+        a, b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
+        ends_a, ends_b, cut_a, cut_b = self.cuts(a, b)
+        high = max([0, *ends_a[-1:].tolist(), *ends_b[-1:].tolist()]) if high is None else high
+        (from_a, to_a), (from_b, to_b) = (np.searchsorted(e, [low, high], side="right") for e in (ends_a, ends_b))
+        inner = (cut_a >= from_a) & (cut_a < to_a)
+        a, b, cut_a, cut_b = a[from_a:to_a], b[from_b:to_b], cut_a[inner] - from_a, cut_b[inner] - from_b
+        out = Fragment(cut=len(cut_a) > 0, n_a=len(a), n_b=len(b))
+        if not out.cut:
+            out.head_a, out.head_b = a.tolist(), b.tolist()
+            return out
+        (x, y), (i, j) = (cut_a[0] + 1, cut_a[-1] + 1), (cut_b[0] + 1, cut_b[-1] + 1)
+        out.head_a, out.tail_a = a[:x].tolist(), a[y:].tolist()
+        out.head_b, out.tail_b = b[:i].tolist(), b[j:].tolist()
+        out.n_groups = len(cut_a) - 1
+        out.groups = self.written(a[x:y], b[i:j], cut_a[1:] - x, cut_b[1:] - i)[0][:-1]
+        links, times = np.unique(a[cut_a[1:]] << 32 | b[cut_b[1:]], return_counts=True)
+        out.pairs = dict(zip(links.tolist(), times.tolist()))
+        return out
 
 
 def _byte_of() -> dict[str, int]:
@@ -185,7 +205,7 @@ class Tokenizers:
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_MARK, " ").encode()
             for i, p in enumerate(pieces)
         ]
-        self.size_a, self.size_b = [*map(len, self.bytes_a)], [*map(len, self.bytes_b)]
+        self.pairing = Pairing([*map(len, self.bytes_a)], [*map(len, self.bytes_b)])
         self._forget()
 
     def encoded(self, texts: list[str]) -> Iterator[tuple[list[int], list[int], bool]]:
@@ -194,37 +214,78 @@ class Tokenizers:
         coded = self.a.encode_batch_fast(spaced, add_special_tokens=False)
         for text, a, b in zip(spaced, coded, self.b.encode(texts, num_threads=1)):
             raw, a = text.encode(), a.ids
-            same = b"".join([self.bytes_a[i] for i in a]) == raw and b"".join([self.bytes_b[i] for i in b]) == raw
-            yield a, b, same
+            yield a, b, self._bytes(a, b) == (raw, raw)
+
+    def _bytes(self, a: list[int], b: list[int]) -> tuple[bytes, bytes]:
+        return b"".join(map(self.bytes_a.__getitem__, a)), b"".join(map(self.bytes_b.__getitem__, b))
 
     def fragment(self, text: str, low: int, high: int) -> Fragment:
         ((a, b, same),) = self.encoded([text])
-        return aligned(a, b, self.size_a, self.size_b, low, high) if same else Fragment(ok=False)
+        return self.pairing.fragment(a, b, low, high) if same else Fragment(ok=False)
 
     def _forget(self) -> None:
+        """Of each segment by number: is it ok, ids of A and of B, groups, where its links begin."""
         self.number: dict[str, int] = {}
         self.groups: list[bytes] = []
-        self.facts: list[tuple[int, int, int, bool]] = []
-        self.links: list[int] = []
-        self.index: dict[int, int] = {}  # of the pairs seen
+        self.ok, self.n_a, self.n_b, self.n_groups = np.zeros(0, bool), *[np.zeros(0, np.int64)] * 3
+        self.links = np.zeros(0, np.int64)
+        self.starts = np.zeros(0, np.int64)
 
     def learn(self, segments: set[str]) -> None:
         new = [s for s in segments if s not in self.number]
         if len(self.number) + len(new) > KNOWN and self.number:
             self._forget()
             new = list(segments)
-        for begin in range(0, len(new), 10_000):
-            some = new[begin : begin + 10_000]
-            for text, (a, b, same) in zip(some, self.encoded(some)):
-                found = aligned(a, b, self.size_a, self.size_b).whole() if same else Fragment(ok=False)
-                self.number[text] = len(self.groups)
-                self.groups.append(found.groups)
-                links = [p for p, n in found.pairs.items() for _ in range(n)]
-                self.facts.append((found.n_a, found.n_b, found.n_groups, found.ok))
-                self.links += [self.index.setdefault(p, len(self.index)) for p in links]
-        # one link a group
-        self.n_a, self.n_b, self.n_groups, self.ok = (np.array(x) for x in zip(*self.facts))
-        self.starts = np.cumsum(self.n_groups) - self.n_groups
+        if not new:
+            return
+        # Segments without white space at their ends are encoded many at a time, side by side.
+        new.sort(key=lambda s: s == "" or s[0].isspace() or s[-1].isspace())
+        loose = next((i for i, s in enumerate(new) if s == "" or s[0].isspace() or s[-1].isspace()), len(new))
+        groups = [new[i : min(i + TOGETHER, loose)] for i in range(0, loose, TOGETHER)]
+        ids_a, ids_b, good = [], [], []
+        for group, (a, b, same) in zip(groups, self._many([" ".join(g) for g in groups])):
+            if same:
+                ids_a.append(a)
+                ids_b.append(b)
+                good += [True] * len(group)
+            else:  # one of them has other bytes
+                self._singly(group, ids_a, ids_b, good)
+        self._singly(new[loose:], ids_a, ids_b, good)
+        self._remember(new, np.array(good), *[np.fromiter((i for x in ids for i in x), np.int64) for ids in (ids_a, ids_b)])
+
+    def _many(self, texts: list[str]) -> Iterator[tuple[list[int], list[int], bool]]:
+        for i in range(0, len(texts), TOGETHER):
+            yield from self.encoded(texts[i : i + TOGETHER])
+
+    def _singly(self, segments: list[str], ids_a: list, ids_b: list, good: list[bool]) -> None:
+        for a, b, same in self._many(segments):
+            if same:
+                ids_a.append(a)
+                ids_b.append(b)
+            good.append(same)
+
+    def _remember(self, new: list[str], good: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+        """`a` and `b`: the ids of the good segments, which stand for the same bytes."""
+        raw = np.fromiter((len(s.encode()) + 1 for s in new), np.int64, len(new))
+        ends = np.cumsum(raw[good])
+        ends_a, ends_b, cut_a, cut_b = self.pairing.cuts(a, b)
+        text, ends_text = self.pairing.written(a, b, cut_a, cut_b)
+
+        def counted(token_ends: np.ndarray) -> np.ndarray:
+            """Tokens of each segment, 0 for those that are not good."""
+            out = np.zeros(len(new), np.int64)
+            out[good] = np.diff(np.searchsorted(token_ends, ends, side="right"), prepend=0)
+            return out
+
+        n_groups = counted(ends_a[cut_a])
+        bounds = np.concatenate(([0], ends_text))[np.concatenate(([0], np.cumsum(n_groups)))].tolist()
+        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
+        self.groups += [text[x:y] for x, y in zip(bounds[:-1], bounds[1:])]
+        self.ok = np.concatenate((self.ok, good))
+        self.n_a, self.n_b = np.concatenate((self.n_a, counted(ends_a))), np.concatenate((self.n_b, counted(ends_b)))
+        self.n_groups = np.concatenate((self.n_groups, n_groups))
+        self.links = np.concatenate((self.links, a[cut_a] << 32 | b[cut_b]))
+        self.starts = _before(self.n_groups)
 
 
 def _segments(text: str) -> list[str]:
@@ -275,20 +336,19 @@ def _facts(known: Tokenizers, texts: list, flat: list, part: pa.RecordBatch, num
         bad = summed(~known.ok[codes]) > 0
         n_a, n_b, n_groups = (summed(x[codes]) for x in (known.n_a, known.n_b, known.n_groups))
         n = known.n_groups[codes]
-        place = np.arange(n.sum()) + np.repeat(known.starts[codes] - (np.cumsum(n) - n), n)
-        links = np.array(known.links, np.int64)[place]
+        place = np.arange(n.sum()) + np.repeat(known.starts[codes] - _before(n), n)
+        distinct, links = np.unique(known.links[place], return_inverse=True)
         owner = np.repeat(np.repeat(np.arange(count), sizes), n)
-        keys, times = np.unique(owner * len(known.index) + links, return_counts=True)
-        owner, links = np.divmod(keys, len(known.index))
+        keys, times = np.unique(owner * max(1, len(distinct)) + links, return_counts=True)
+        owner, links = np.divmod(keys, max(1, len(distinct)))
         whole = ~bad[owner]
-        owner, times = owner[whole], times[whole]
-        pairs = np.fromiter(known.index, np.int64, len(known.index))[links[whole]]
+        owner, times, pairs = owner[whole], times[whole], distinct[links[whole]]
     else:
         bad, n_a, n_b, n_groups = np.zeros(count, bool), *[np.zeros(count, np.int64)] * 3
         owner = pairs = times = np.zeros(0, np.int64)
     number, groups = codes.tolist(), known.groups
     hashes = [
-        hashlib.sha256(b";".join([groups[i] for i in number[a:b]])).hexdigest() if b > a and not skip else ""
+        hashlib.sha256(b"".join([groups[i] for i in number[a:b]])[:-1]).hexdigest() if b > a and not skip else ""
         for a, b, skip in zip(bounds[:-1].tolist(), bounds[1:].tolist(), bad.tolist())
     ]
     own = np.bincount(owner, minlength=count)

@@ -117,6 +117,7 @@ _IDS = st.lists(st.integers(0, 3), max_size=12)
 def test_product_is_associative_and_equals_the_whole(ids, data):
     """Tokens 0 to 3 of A have 1 to 4 bytes; B cuts the same bytes elsewhere."""
     size = [1, 2, 3, 4]
+    pairing = align.Pairing(size, size)
     total, other = sum(size[i] for i in ids), []
     while total:
         other.append(data.draw(st.integers(0, min(3, total - 1))))
@@ -124,13 +125,13 @@ def test_product_is_associative_and_equals_the_whole(ids, data):
     total = sum(size[i] for i in ids)
     cuts = sorted(data.draw(st.lists(st.integers(0, total), max_size=4)))
     bounds = list(zip([0, *cuts], [*cuts, total]))
-    parts = [align.aligned(ids, other, size, size, low, high) for low, high in bounds]
+    parts = [pairing.fragment(ids, other, low, high) for low, high in bounds]
     left = parts[0]
     for part in parts[1:]:
         left = left * part
     right = parts[-1]
     for part in reversed(parts[:-1]):
         right = part * right
-    whole = align.aligned(ids, other, size, size)
+    whole = pairing.fragment(ids, other)
     assert left == right == whole
     assert align.Fragment() * whole == whole == whole * align.Fragment()
