@@ -190,8 +190,7 @@ def merge(df: DataFrame, spec: TableSpec) -> None:
     finally:
         if spec.stage_incoming:
             _drop_helper(spark, incoming, spec.table)
-        for role in ("hot", "touched"):
-            _drop_helper(spark, stage_name(spark, spec.table, role), spec.table)
+        _drop_helper(spark, stage_name(spark, spec.table, "hot"), spec.table)
 
 
 def _take_in(new: DataFrame, spec: TableSpec, stage: str) -> tuple[DataFrame, bool]:
@@ -255,7 +254,7 @@ def _skew(old: DataFrame, new: DataFrame, spec: TableSpec) -> KeySkew:
 
 @dataclass(frozen=True)
 class _Touched:
-    """The partitions to read, as a helper table, and whether it may be broadcast.
+    """The partitions to read, as rows, and whether these may be broadcast.
 
     Its columns, all named by `_T`, are 0, 1, ... of the partition columns' own types,
     `matched` (the partition holds matched old rows), `code`, a hash of the partition's
@@ -344,14 +343,9 @@ def _find_touched(target: DataFrame, new: DataFrame, spec: TableSpec, few: bool)
     held = [f"{_T}{i}" for i in range(len(columns))]
     found = ends.select("part.*", f"{_T}matched").groupBy(*held).agg(F.bool_or(f"{_T}matched").alias(f"{_T}matched"))
     found = found.selectExpr("*", f"{_code(held)} AS {_T}code", f"1 AS {_T}chosen")
-    seen = Observation()
-    measured = found.observe(seen, F.sum(row_bytes(found.schema)).alias("bytes"))
-    spark = target.sparkSession
-    helper = stage_name(spark, spec.table, "touched")
-    # parquet keeps a timestamp as the instant that it is
-    _save_helper(measured, helper, spec.table, "parquet")
-    size = seen.get["bytes"]
-    return _Touched(spark.table(qualified(spark, helper)), size <= spec.broadcast_bytes) if size else None
+    found = found.persist()
+    size = found.agg(F.sum(row_bytes(found.schema))).first()[0]
+    return _Touched(found, size <= spec.broadcast_bytes) if size else None
 
 
 def _merge_touched(target: DataFrame, new: DataFrame, spec: TableSpec, few: bool) -> bool:
@@ -362,25 +356,39 @@ def _merge_touched(target: DataFrame, new: DataFrame, spec: TableSpec, few: bool
     touched = _find_touched(target, new, spec, few)
     if touched is None:  # nothing came in
         return True
-    old = touched.only(target, columns).drop(*spec.derived)
-    stage = stage_name(spark, spec.table)
-    _save_stage(_merged(old, new, spec, few), spec, stage)
-    present = pick(spark.table(qualified(spark, stage)), columns).distinct().selectExpr("*", f"true AS {_T}present")
-    same = [F.col(quote(c)).eqNullSafe(F.col(f"{_T}{i}")) for i, c in enumerate(columns)]
-    both = touched.partitions.join(present, same, "full")
-    emptied = both.where(f"{_T}matched AND {_T}present IS NULL").select(touched.partitions.columns)
-    outside, left = both.agg(
-        F.count_if(F.col(f"{_T}matched").isNull()), F.count_if(F.expr(f"{_T}matched AND {_T}present IS NULL"))
-    ).first()
-    if outside:
-        _drop_helper(spark, stage, spec.table)
-        return False
-    if left:
-        _save_helper(emptied, stage_name(spark, spec.table, "emptied"), spec.table, "parquet")
+    try:
+        old = touched.only(target, columns).drop(*spec.derived)
+        stage = stage_name(spark, spec.table)
+        _save_stage(_merged(old, new, spec, few), spec, stage)
+        present = _listed(spark, stage).selectExpr("*", f"true AS {_T}present")
+        same = [F.col(quote(c)).eqNullSafe(F.col(f"{_T}{i}")) for i, c in enumerate(columns)]
+        both = touched.partitions.join(present, same, "full")
+        emptied = both.where(f"{_T}matched AND {_T}present IS NULL").select(touched.partitions.columns)
+        outside, left = both.agg(
+            F.count_if(F.col(f"{_T}matched").isNull()), F.count_if(F.expr(f"{_T}matched AND {_T}present IS NULL"))
+        ).first()
+        if outside:
+            _drop_helper(spark, stage, spec.table)
+            return False
+        if left:
+            _save_helper(emptied, stage_name(spark, spec.table, "emptied"), spec.table, "parquet")
+    finally:
+        touched.partitions.unpersist()
     _publish_stage(spark, spec, stage, _TOUCHED)
     return True
 
 
+def _listed(spark: SparkSession, table: str) -> DataFrame:
+    """The partitions of a table as its catalog lists them: their values typed as they are
+    when rows are read, and `raw`, the catalog's own text."""
+    name, columns = qualified(spark, table), table_info(spark, table).partition_by
+    schema = spark.table(name).schema
+    value = "url_decode(replace(substring_index(part, '=', -1), '+', '%2B'))"
+    values = f"transform(split(partition, '/'), part -> nullif({value}, '__HIVE_DEFAULT_PARTITION__'))"
+    typed = [f"CAST({_T}raw[{i}] AS {schema[c].dataType.simpleString()}) AS {quote(c)}" for i, c in enumerate(columns)]
+    return spark.sql(f"SHOW PARTITIONS {name}").selectExpr(f"{values} AS {_T}raw").selectExpr(f"{_T}raw", *typed)
+
+
 def _insert_dynamic(spark: SparkSession, rows: str, table: str) -> None:
     """Replace the partitions that the rows of one table have in another one."""
     other = session_with(spark, {OVERWRITE_MODE: "dynamic"})
@@ -477,17 +485,9 @@ def _remove_partitions(spark: SparkSession, table: str, emptied: str) -> None:
 
         with ThreadPoolExecutor(_THREADS) as pool:
             list(pool.map(remove, (folder for (folder,) in folders)))
-    # The catalog's own names of the partitions, typed as it types them when they are read.
-    schema = spark.table(name).schema
-    value = "url_decode(replace(substring_index(part, '=', -1), '+', '%2B'))"
-    values = f"transform(split(partition, '/'), part -> nullif({value}, '__HIVE_DEFAULT_PARTITION__'))"
-    listed = spark.sql(f"SHOW PARTITIONS {name}").selectExpr(f"{values} AS raw")
-    typed = listed.selectExpr(
-        "raw", *[f"CAST(raw[{i}] AS {schema[c].dataType.simpleString()}) AS {quote(c)}" for i, c in enumerate(info.partition_by)]
-    )
-    rows = gone.only(typed, info.partition_by).select("raw").collect()
+    rows = gone.only(_listed(spark, table), info.partition_by).select(f"{_T}raw").collect()
     for i in range(0, len(rows), _DROPPED_AT_ONCE):
-        clauses = ", ".join(f"PARTITION ({_partition_clause(info, row['raw'])})" for row in rows[i : i + _DROPPED_AT_ONCE])
+        clauses = ", ".join(f"PARTITION ({_partition_clause(info, row[0])})" for row in rows[i : i + _DROPPED_AT_ONCE])
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {clauses}")
     spark.catalog.refreshTable(name)
 
@@ -530,7 +530,7 @@ def recover(spark: SparkSession, table: str) -> None:
     was not complete: it is dropped and the table is as before that merge.
     """
     successor, stage = successor_name(spark, table), stage_name(spark, table)
-    for role in ("incoming", "hot", "touched"):
+    for role in ("incoming", "hot"):
         _drop_helper(spark, stage_name(spark, table, role), table)
     if _owned(spark, successor, table):
         if table_exists(spark, table):
