@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablesync.llm import decontaminate, packing, quality_rules, simhash, substring_dedup
-from tablesync.llm.common import shared_folder, table
+from tablesync.llm.common import discard, shared_folder, table
 from tablesync.llm.queries import TOKENIZER
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -63,11 +63,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`; each is written to the shared folder and read by the next."""
+    """All stages over `documents`; each is written to the shared folder and read by the next.
+
+    A stage's rows are removed once the next has written its own; the last one's stay.
+    """
     docs = table(spark, sf_dir, "documents")
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    before = None
     for name, stage in STAGES:
         path = f"{folder}/{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            discard(spark, before)
+        before = path
     return docs
