@@ -47,6 +47,8 @@ from tablesync.llm.common import settled, shared_folder, slices
 CHUNK = 1 << 15
 #: Fragments that one task multiplies in a round.
 FAN = 16
+#: Bytes of text whose segments are looked up at once.
+SLICE_BYTES = 1 << 19
 #: Segments that a task remembers.
 KNOWN = 300_000
 #: Segments encoded as one text, and texts encoded in one call.
@@ -312,7 +314,7 @@ def _short(path_a: str, path_b: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, numbers = Tokenizers(path_a, path_b), _numbers()
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most=SLICE_BYTES):
                 texts = [_segments(t) if t else [] for t in part.column("text").to_pylist()]
                 flat = [s for t in texts for s in t]
                 if flat:
