@@ -39,6 +39,13 @@ def merged(old: str, new: str, keys: tuple[str, ...], columns: tuple[str, ...])
 
 
 MERGED_ORDERS = merged("SELECT * FROM orders", ORDER_CHANGES, ("o_orderkey",), ORDERS)
+MERGED_UPPER_HALF = merged(
+    "SELECT * FROM orders",
+    f"""SELECT * FROM ({ORDER_CHANGES})
+        WHERE o_orderkey < 0 OR o_orderkey > (SELECT quantile_cont(o_orderkey, 0.5) FROM orders)""",
+    ("o_orderkey",),
+    ORDERS,
+)
 ORDERS_AND_YEAR = f"SELECT *, {YEAR} FROM orders"
 HOURS = """
     SELECT event_id, CASE WHEN event_type = 'purchase' THEN -value ELSE value END AS value,
@@ -108,6 +115,8 @@ ORACLE: dict[str, str] = {
     "merge_managed_partitioned": f"SELECT *, {YEAR} FROM ({MERGED_ORDERS})",
     "merge_external": MERGED_ORDERS,
     "merge_external_partitioned": MERGED_ORDERS,
+    "merge_by_file": MERGED_UPPER_HALF,
+    "merge_by_file_external": MERGED_UPPER_HALF,
     "merge_rewriting_all_in_dynamic_session": MERGED_ORDERS,
     "merge_timestamp_partition": HOURS,
     "merge_timestamp_partition_external": HOURS,

@@ -276,6 +276,24 @@ def merge_external_partitioned(w: Workspace) -> DataFrame:
     return _merged_orders(w, external=True, partition_by=["o_orderstatus"], **JOINED)
 
 
+def _by_file(w: Workspace, **options) -> DataFrame:
+    """Orders in files by key range; changes come in for the upper half of the keys and the new keys."""
+    orders = w.read("orders")
+    spec = w.spec(keys=["o_orderkey"], rewrite="files", **options)
+    ts.overwrite(orders.repartitionByRange(8, "o_orderkey"), spec)
+    middle = orders.selectExpr("percentile(o_orderkey, 0.5)").first()[0]
+    ts.merge(order_changes(orders).where((F.col("o_orderkey") < 0) | (F.col("o_orderkey") > middle)), spec)
+    return w.table()
+
+
+def merge_by_file(w: Workspace) -> DataFrame:
+    return _by_file(w)
+
+
+def merge_by_file_external(w: Workspace) -> DataFrame:
+    return _by_file(w, external=True, file_format="parquet", **JOINED)
+
+
 def merge_rewriting_all_in_dynamic_session(w: Workspace) -> DataFrame:
     """Changed statuses move rows to other partitions; none may stay in the old one."""
     with catalog.session_conf(w.spark, DYNAMIC):
@@ -577,6 +595,8 @@ QUERIES: dict[str, Query] = {
         merge_managed_partitioned,
         merge_external,
         merge_external_partitioned,
+        merge_by_file,
+        merge_by_file_external,
         merge_rewriting_all_in_dynamic_session,
         merge_timestamp_partition,
         merge_timestamp_partition_external,

@@ -98,6 +98,7 @@ class TableInfo:
     properties: Mapping[str, str] = field(default_factory=dict)
     comment: str | None = None
     column_comments: Mapping[str, str] = field(default_factory=dict)
+    statistics: Mapping[str, int] = field(default_factory=dict)
 
 
 def table_info(spark: SparkSession, table: str) -> TableInfo:
@@ -113,6 +114,7 @@ def table_info(spark: SparkSession, table: str) -> TableInfo:
         properties=about.get("table_properties") or {},
         comment=about.get("comment"),
         column_comments={c["name"]: c["comment"] for c in about["columns"] if c.get("comment")},
+        statistics=about.get("statistics") or {},
     )
 
 

@@ -6,6 +6,9 @@ How the merged rows are published follows from the table and the spec alone:
   matches lie in are read and merged into a stage table, which then replaces them.
   ``rewrite="all"``, or derived columns that are not a function of the row or not
   those the table was written with, turn this off.
+* *files* -- a table without partitions or buckets, if the spec says ``rewrite="files"``.
+  Only the files that hold a match are read in full and merged into a stage, whose files
+  take their place; all others stay.
 * *renamed* -- a managed table where renaming moves no data: the merged rows are
   written once to a new table, which takes the place of the old one.
 * *staged* -- any other table: the stage holds all merged rows.
@@ -70,11 +73,14 @@ _TARGET_PATH = "tablesync.stage.path"
 _OWNER = "tablesync.owner"
 #: Begins the names of helper columns that stand beside a table's own.
 _T = "__tablesync_"
-_WHOLE, _TOUCHED = "whole", "touched"
+_WHOLE, _TOUCHED, _FILES = "whole", "touched", "files"
 #: Threads that remove folders; partitions dropped by one statement.
 _THREADS = 16
 _DROPPED_AT_ONCE = 100
 
+# Formats whose files can be added to a table as they are.
+_SELF_DESCRIBING = ("orc", "parquet")
+
 # File systems on which renaming a directory moves no data.
 _CHEAP_RENAME = ("file", "hdfs", "viewfs", "abfs", "abfss")
 
@@ -123,6 +129,7 @@ def _save_helper(
     bucket_by: Sequence[str] = (),
     num_buckets: int | None = None,
     file_rows: int | None = None,
+    location: str | None = None,
 ) -> None:
     """Write rows to a new helper table, which names its owner from the start."""
     spark = df.sparkSession
@@ -141,6 +148,7 @@ def _save_helper(
         else "",
         f"PARTITIONED BY {listed(partition_by)}" if partition_by else "",
         f"CLUSTERED BY {listed(bucket_by)} INTO {num_buckets} BUCKETS" if bucket_by else "",
+        f"LOCATION {text_literal(location)}" if location else "",
         f"TBLPROPERTIES ({text_literal(_OWNER)} = {text_literal(_full_name(spark, table))})",
     ]
     columns = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema])
@@ -183,9 +191,11 @@ def merge(df: DataFrame, spec: TableSpec) -> None:
         same_derivation = info.properties.get(write.DERIVED_PROPERTY) == (
             json.dumps(asked) if asked else None
         )
-        if info.partition_by and spec.rewrite == "touched" and same_derivation and _stable(new, spec):
+        if info.partition_by and spec.rewrite != "all" and same_derivation and _stable(new, spec):
             if _merge_touched(target, new, spec, few):
                 return
+        if _by_file(spec, info):
+            return _merge_files(target, new, spec, few, info)
         _merge_whole(old, new, spec, few, info)
     finally:
         if spec.stage_incoming:
@@ -397,6 +407,74 @@ def _insert_dynamic(spark: SparkSession, rows: str, table: str) -> None:
     spark.catalog.refreshTable(target)
 
 
+# --- touched files ----------------------------------------------------------
+
+
+def _by_file(spec: TableSpec, info: TableInfo) -> bool:
+    """Whether single files of the table are to be replaced, and can be."""
+    apart = not info.partition_by and not info.bucket_by
+    return spec.rewrite == "files" and apart and info.file_format in _SELF_DESCRIBING
+
+
+def _merge_files(target: DataFrame, new: DataFrame, spec: TableSpec, few: bool, info: TableInfo) -> None:
+    """Rewrite only the files that hold a key of the incoming rows.
+
+    Of the table the keys are scanned, then those files. Their names are collected: no more
+    than the file index of the table holds on the driver anyway. The stage lies in a hidden
+    folder of the table, so its files move into place on any store.
+    """
+    spark = target.sparkSession
+    spark.catalog.refreshTable(qualified(spark, spec.table))
+    path = target.metadataColumn("_metadata")["file_path"]
+    keys = range(len(spec.keys))
+    held = target.select(*[F.col(quote(k)).alias(f"o{i}") for i, k in enumerate(spec.keys)], path.alias("file"))
+    wanted = new.select(*[F.col(quote(k)).alias(f"n{i}") for i, k in enumerate(spec.keys)])
+    same = F.expr(" AND ".join(f"o{i} = n{i}" for i in keys))
+    touched = held.join(F.broadcast(wanted) if few else wanted, same, "left_semi").select("file").distinct()
+    replaced = stage_name(spark, spec.table, "files")
+    _save_helper(touched, replaced, spec.table, "parquet")
+    files = [file for (file,) in spark.table(qualified(spark, replaced)).collect()]
+    # The names are constant in each file: others are not opened.
+    merged = _merged(target.where(path.isin(files)), new, spec, few)
+    folder = f"{info.location.rstrip('/')}/_{_helper(spark, spec.table, 'stage')}"
+    _remove_paths(spark, [folder])
+    _save_helper(merged, stage_name(spark, spec.table), spec.table, spec.file_format, location=folder)
+    _publish_stage(spark, spec, stage_name(spark, spec.table), _FILES)
+
+
+def _swap_files(spark: SparkSession, table: str, stage: str, replaced: str) -> None:
+    """Move the staged files into the table, then remove those they replace. Done again, it
+    moves and removes what is left; no row is missing at any time."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    source, target = (jvm.org.apache.hadoop.fs.Path(table_info(spark, t).location) for t in (stage, table))
+    store = source.getFileSystem(conf)
+
+    def move(file: str) -> None:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+        if not store.rename(path, jvm.org.apache.hadoop.fs.Path(target, path.getName())) and store.exists(path):
+            raise OSError(f"{file} can't be moved to {target}")
+
+    spark.catalog.refreshTable(qualified(spark, stage))
+    with ThreadPoolExecutor(_THREADS) as pool:
+        list(pool.map(move, spark.table(qualified(spark, stage)).inputFiles()))
+    _remove_paths(spark, [file for (file,) in spark.table(qualified(spark, replaced)).collect()], encoded=True)
+    spark.catalog.refreshTable(qualified(spark, table))
+    if table_info(spark, table).statistics:  # an insert would have dropped them
+        spark.sql(f"ANALYZE TABLE {qualified(spark, table)} COMPUTE STATISTICS NOSCAN")
+
+
+def _remove_paths(spark: SparkSession, paths: Sequence[str], encoded: bool = False) -> None:
+    """Remove files or folders, as far as they are there; ``encoded`` paths are URIs."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def remove(name: str) -> None:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name) if encoded else name)
+        path.getFileSystem(conf).delete(path, True)
+
+    with ThreadPoolExecutor(_THREADS) as pool:
+        list(pool.map(remove, paths))
+
+
 # --- whole table ------------------------------------------------------------
 
 
@@ -477,14 +555,7 @@ def _remove_partitions(spark: SparkSession, table: str, emptied: str) -> None:
         # Dropping the partition of an external table leaves its files.
         files = gone.only(spark.table(name).select("*", "_metadata.file_path"), info.partition_by)
         folders = files.select(F.regexp_extract("file_path", "^(.*)/[^/]*$", 1)).distinct().collect()
-        jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-
-        def remove(folder: str) -> None:
-            path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
-            path.getFileSystem(conf).delete(path, True)
-
-        with ThreadPoolExecutor(_THREADS) as pool:
-            list(pool.map(remove, (folder for (folder,) in folders)))
+        _remove_paths(spark, [folder for (folder,) in folders], encoded=True)
     rows = gone.only(_listed(spark, table), info.partition_by).select(f"{_T}raw").collect()
     for i in range(0, len(rows), _DROPPED_AT_ONCE):
         clauses = ", ".join(f"PARTITION ({_partition_clause(info, row[0])})" for row in rows[i : i + _DROPPED_AT_ONCE])
@@ -505,6 +576,11 @@ def _replay(spark: SparkSession, table: str, stage: str) -> None:
         if _owned(spark, emptied, table):
             _remove_partitions(spark, table, emptied)
             drop_table(spark, emptied)
+    elif info.properties[_READY] == _FILES:
+        replaced = stage_name(spark, table, "files")
+        _swap_files(spark, table, stage, replaced)
+        _drop_stage(spark, stage)
+        return drop_table(spark, replaced)
     else:
         derived = info.properties.get(write.DERIVED_PROPERTY)
         spec = TableSpec(
@@ -523,6 +599,14 @@ def _replay(spark: SparkSession, table: str, stage: str) -> None:
     drop_table(spark, stage)
 
 
+def _drop_stage(spark: SparkSession, stage: str) -> None:
+    """Drop a stage; of one that lies in its table's folder, the files as well."""
+    info = table_info(spark, stage)
+    drop_table(spark, stage)
+    if info.external:
+        _remove_paths(spark, [info.location])
+
+
 def recover(spark: SparkSession, table: str) -> None:
     """Finish a merge that was broken off while it replaced the table's rows.
 
@@ -543,5 +627,6 @@ def recover(spark: SparkSession, table: str) -> None:
         if _READY in table_info(spark, stage).properties:
             _replay(spark, table, stage)
         else:
-            drop_table(spark, stage)
-    _drop_helper(spark, stage_name(spark, table, "emptied"), table)
+            _drop_stage(spark, stage)
+    for role in ("emptied", "files"):
+        _drop_helper(spark, stage_name(spark, table, role), table)

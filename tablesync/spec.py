@@ -38,7 +38,9 @@ class TableSpec:
 
     Merge only: ``keys`` match rows; ``duplicate_keys="error"`` refuses
     repeated keys, the default multiplies them like any join; ``rewrite="all"``
-    turns off the rewrite of just the touched partitions; ``stage_incoming``
+    turns off the rewrite of just the touched partitions; ``rewrite="files"`` also
+    keeps, of an orc or parquet table without partitions and buckets, the files that
+    hold none of the incoming keys; ``stage_incoming``
     writes the incoming rows once before the several passes over them (turn it
     off only for a frame that is cheap and gives the same rows each time);
     incoming rows of up to ``broadcast_bytes`` in all are broadcast;
@@ -83,7 +85,7 @@ class TableSpec:
         _one_of("file_format", self.file_format, (None, *FILE_FORMATS))
         _one_of("nested", self.nested, ("json", "keep"))
         _one_of("duplicate_keys", self.duplicate_keys, ("allow", "error"))
-        _one_of("rewrite", self.rewrite, ("touched", "all"))
+        _one_of("rewrite", self.rewrite, ("touched", "all", "files"))
         if bool(self.bucket_by) != (self.num_buckets is not None):
             raise SpecError("give both bucket_by and num_buckets, or neither")
         for name in ("num_buckets", "num_partitions", "hot_key_rows", "file_bytes"):

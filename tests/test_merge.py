@@ -176,6 +176,7 @@ def derived_value(layout, row):
 CASES = [(layout, external, "touched") for layout in LAYOUTS if layout != "int_partition" for external in (False, True)]
 CASES += [("int_partition", True, "touched"), ("int_partition", False, "touched")]
 CASES += [("both", False, "all"), ("both", True, "all"), ("bucketed_partitioned", True, "all")]
+CASES += [(layout, external, "files") for layout in ("plain", "bucketed", "partitioned") for external in (False, True)]
 
 
 @pytest.mark.parametrize("few", [False, True])
@@ -509,21 +510,91 @@ def broken_off(spark, monkeypatch, spec, where):
         ({"path": True}, "_replay"),
         ({"path": True, "partition_by": ["a"]}, "_replay"),
         ({"path": True, "partition_by": ["a"]}, "_insert_dynamic"),
+        *[({"rewrite": "files", "path": path}, at) for path in (False, True) for at in ("_publish_stage", "_replay", "_swap_files")],
+        ({"rewrite": "files"}, "_drop_stage"),
     ],
 )
 def test_recovery(spark, db, tmp_path, monkeypatch, options, where):
-    if options.get("path"):
-        options = {**options, "path": str(tmp_path / "t")}
+    options = {**options, "path": str(tmp_path / "t") if options.get("path") else None}
     spec = TableSpec(f"{db}.t", keys=["id"], **options)
     overwrite(frame(spark, OLD), spec)
     broken_off(spark, monkeypatch, spec, where)
     merge_table.recover(spark, spec.table)
     got = rows(spark.table(spec.table).select("id", "a", "b"))
-    complete = where in ("rename_table", "_replay", "_insert_dynamic")
+    complete = where in ("rename_table", "_replay", "_insert_dynamic", "_swap_files", "_drop_stage")
     assert got == (expected(OLD, NEW) if complete else sorted(OLD, key=repr))
     assert leftovers(spark, db) == []
 
 
+def data_files(spark, table):
+    spark.catalog.refreshTable(table)
+    return {file.rsplit("/", 1)[1] for file in spark.table(table).inputFiles()}
+
+
+@pytest.mark.parametrize("file_format", ["orc", "parquet"])
+@pytest.mark.parametrize("external", [False, True])
+@pytest.mark.parametrize("few", [False, True])
+def test_only_files_that_hold_a_match_are_rewritten(spark, db, tmp_path, file_format, external, few):
+    """20 files of 50 keys each in key order; the keys of two of them come in, and new ones."""
+    path = str(tmp_path / "a b" / "t") if external else None
+    spec = TableSpec(f"{db}.t", keys=["id"], rewrite="files", path=path, file_format=file_format,
+                     broadcast_bytes=TableSpec("t").broadcast_bytes if few else 0)
+    old = [(i, f"v{i}", i) for i in range(1000)] + [(None, "n", None)]
+    overwrite(frame(spark, old[:-1]).repartitionByRange(20, "id").unionByName(frame(spark, old[-1:]).coalesce(1)), spec)
+    spark.sql(f"ANALYZE TABLE {spec.table} COMPUTE STATISTICS")
+    before = data_files(spark, spec.table)
+    held = spark.table(spec.table).where("id in (10, 11, 990)").select("_metadata.file_name").distinct()
+    held = {r[0] for r in held.collect()}
+    new = [(10, None, 5), (11, "new", None), (990, "far", 1), (990, "twice", 2), (5000, "in", 1), (None, "in", 2)]
+    merge(frame(spark, new), spec)
+    assert rows(spark.table(spec.table)) == expected(old, new)
+    after = data_files(spark, spec.table)
+    assert len(held) == 2 and before - after == held
+    assert leftovers(spark, db) == []
+    assert table_info(spark, spec.table).statistics.get("num_rows") != 1001  # no longer true
+
+    merge(frame(spark, [(7000, "only new", 1)]), spec)  # nothing matches: files are only added
+    assert after < data_files(spark, spec.table)
+    last = data_files(spark, spec.table)
+    merge(frame(spark, []), spec)  # nothing comes in
+    assert last <= data_files(spark, spec.table)
+    assert rows(spark.table(spec.table)) == sorted(expected(old, new) + [(7000, "only new", 1)], key=repr)
+
+
+def test_other_files_are_not_opened(spark, db, monkeypatch):
+    """Of the files without a match only the keys are read."""
+    spec = TableSpec(f"{db}.t", keys=["id"], rewrite="files")
+    overwrite(frame(spark, [(i, "v", i) for i in range(1000)]).repartitionByRange(20, "id"), spec)
+    read, merged = [], merge_table._merged
+
+    def looked_at(old, *args):
+        plan = old._jdf.queryExecution().executedPlan()
+        plan.executeCollect()
+        read.append(plan.collectLeaves().head().metrics().apply("numFiles").value())
+        return merged(old, *args)
+
+    monkeypatch.setattr(merge_table, "_merged", looked_at)
+    merge(frame(spark, [(10, "x", 1), (11, "y", 1)]), spec)
+    assert read == [1]
+
+
+def test_a_move_broken_off_is_finished(spark, db, monkeypatch):
+    """Some staged files are in the table, none of the replaced ones is gone."""
+    spec = TableSpec(f"{db}.t", keys=["id"], rewrite="files", num_partitions=4)
+    overwrite(frame(spark, OLD), spec)
+    broken_off(spark, monkeypatch, spec, "_swap_files")
+    stage = merge_table.stage_name(spark, spec.table)
+    jvm, at = spark._jvm, table_info(spark, spec.table).location
+    staged = spark.table(stage).inputFiles()
+    assert len(staged) > 1
+    file = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(staged[0]))
+    store = file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    assert store.rename(file, jvm.org.apache.hadoop.fs.Path(at, file.getName()))
+    merge(frame(spark, [], SCHEMA), spec)  # recovers first
+    assert rows(spark.table(spec.table)) == expected(OLD, NEW)
+    assert leftovers(spark, db) == []
+
+
 def test_stage_in_the_shared_folder(spark, db, tmp_path, monkeypatch):
     monkeypatch.setattr(merge_table, "shared_folder", lambda _: str(tmp_path / "shared"))
     monkeypatch.setattr(merge_table, "STAGE_SCHEMA", "stage_here")
