@@ -10,6 +10,11 @@ shingles has at least a known Jaccard similarity j with it, so the number of ban
 the least for which 1 - (1 - j) ** bands is `FOUND`. A collision is only a candidate; it
 counts if the window truly holds that share of the template's shingles.
 
+Whole license texts are cut into pieces of `PIECE` words that overlap by half, each a passage
+like the others, so any `PIECE` + `PIECE` / 2 words in a row of a license hold a whole piece and
+are found wherever they come from. A piece that several licenses share, or nearly, counts for the
+one named first, unless the others' piece holds more of the text.
+
 Templates are the query side and are broadcast, in blocks of `BLOCK` templates each, one after
 the other against all texts; texts aren't shuffled. Each document returns its best window per
 template, and of templates whose windows overlap the one of which most tokens are found, so
@@ -31,12 +36,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tablesync.llm.common import mixed, sliding_least, slices, tokens_of
-from tablesync.llm.license_texts import TEMPLATES
+from tablesync.llm.license_texts import TEMPLATES, whole_texts
 
 SHINGLE = 3
 #: Tokens from which on a template is a passage: of its shingles, one changed word leaves `CONTAINED`.
 PASSAGE = 17
 CONTAINED = 0.8
+#: Words of a piece of a whole license.
+PIECE = 90
 #: Chance that a window which holds a template becomes a candidate, at least.
 FOUND = 0.999
 #: Templates of one pass over the texts; all that are given here fit in one, so that overlaps are settled between them.
@@ -107,23 +114,37 @@ class Scanner:
         return product ^ (product >> np.uint64(32))
 
     def candidates(self, shingles: np.ndarray, places: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
-        """(template, window's shingles, places) that collide in a band; `places`: where known shingles are."""
-        known = shingles[places]
+        """(template, window's shingles, places) that collide in a band; `places`: where known shingles are.
+
+        Windows with too few places of the template's shingles, repeats counted, are left out."""
+        order = np.argsort(shingles[places], kind="stable")
+        known, at = shingles[places][order], places[order]
         for length, members in self.by_length.items():
             width = length - SHINGLE + 1
             for t in members:
+                own = self.templates[t].shingles
+                first, end = np.searchsorted(known, own), np.searchsorted(known, own, "right")
+                needed = ceil(CONTAINED * len(own))
+                if (end - first).sum() < needed:
+                    continue
+                held = np.sort(np.concatenate([at[a:b] for a, b in zip(first.tolist(), end.tolist())]))
                 found = []
                 for band in range(self.bands):
                     own = self._hashed(self.templates[t].shingles, band)
+                    least = int(own.argmin())
                     # a window can only have this least value around a place of the shingle that gives it
-                    for place in places[known == self.templates[t].shingles[own.argmin()]].tolist():
+                    near = at[first[least] : end[least]]
+                    near = near[np.searchsorted(held, near + width) - np.searchsorted(held, near - width + 1) >= needed]
+                    for place in near.tolist():
                         low = max(0, place - width + 1)
                         around = self._hashed(shingles[low : place + width], band)
                         # a window may run over the end of all texts, not over its own text's in what is verified
                         padded = np.concatenate((around, np.full(place + width - low - len(around), np.iinfo(np.uint64).max)))
                         found.append(low + np.flatnonzero(sliding_least(padded, width) == own.min()))
                 if found:
-                    yield t, width, np.unique(np.concatenate(found))
+                    windows = np.unique(np.concatenate(found))
+                    enough = np.searchsorted(held, windows + width) - np.searchsorted(held, windows) >= needed
+                    yield t, width, windows[enough]
 
     def lines(self, tokens: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, float, int, int, int]]:
         """(text, template, containment, tokens found, first token, last token) of all notices."""
@@ -191,9 +212,23 @@ def _scan(scanner):
     return run
 
 
-def licenses(docs: DataFrame, templates: dict[str, tuple[str, ...]] = TEMPLATES) -> DataFrame:
-    """(doc_id, license, containment, first_word, last_word): one row per document and license found."""
+def pieces(text: str, size: int = PIECE) -> list[str]:
+    """Overlapping runs of words, all of full size if the text has so many; the last ends with the text."""
+    words = text.split()
+    starts = [*range(0, max(1, len(words) - size), max(1, size // 2)), max(0, len(words) - size)]
+    return [" ".join(words[at : at + size]) for at in dict.fromkeys(starts)]
+
+
+def licenses(
+    docs: DataFrame,
+    templates: dict[str, tuple[str, ...]] = TEMPLATES,
+    whole: dict[str, str] | None = None,
+) -> DataFrame:
+    """(doc_id, license, containment, first_word, last_word): one row per document and license found.
+
+    ``whole``: license texts to be found by any piece; those of `license_texts` if not given."""
     named = [(name, text) for name, texts in templates.items() for text in texts]
+    named += [(name, piece) for name, text in (whole_texts() if whole is None else whole).items() for piece in pieces(text)]
     if not named:
         raise ValueError("there must be a template")
     context = docs.sparkSession.sparkContext

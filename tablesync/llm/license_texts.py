@@ -1,17 +1,23 @@
 """The wordings by which texts state common licenses.
 
 Short licenses are given in full. Of long ones there are the opening passages, which every copy
-of the full text holds, and the notices that they ask for. One-line notices are made of a
-license's usual names.
+of the full text holds, and the notices that they ask for; thirteen of them lie as whole texts,
+word for word, in the folder `whole_licenses`, one file a license. One-line notices are made of
+a license's usual names.
 """
 
-_LEADS = ("under", "under the", "the terms of", "the terms of the")
+from __future__ import annotations
+
+from importlib.resources import files
+
+_LEADS = ("under", "under the", "under a", "licensed", "the terms of", "the terms of the")
 
 _NAMES = {
-    "MIT": ("MIT License", "MIT Licence", "MIT/X11 License", "Expat License"),
+    "MIT": ("MIT License", "MIT Licence", "MIT/X11 License", "MIT open source License", "Expat License"),
     "Apache-2.0": (
         "Apache License 2.0", "Apache License, Version 2.0", "Apache License v2.0", "Apache License v2",
         "Apache Software License 2.0", "Apache Software License, Version 2.0", "Apache 2.0", "Apache-2.0",
+        "Apache 2", "Apache License 2",
     ),
     "MPL-2.0": (
         "Mozilla Public License 2.0", "Mozilla Public License, Version 2.0", "Mozilla Public License, v. 2.0",
@@ -28,7 +34,7 @@ _NAMES = {
     "0BSD": ("Zero-Clause BSD License", "BSD Zero Clause License", "0BSD"),
     "Zlib": ("zlib License", "zlib/libpng License"),
     "BSL-1.0": ("Boost Software License 1.0", "Boost Software License, Version 1.0", "BSL-1.0"),
-    "EPL-2.0": ("Eclipse Public License 2.0", "Eclipse Public License, Version 2.0", "Eclipse Public License v2.0", "EPL-2.0"),
+    "EPL-2.0": ("Eclipse Public License 2.0", "Eclipse Public License, Version 2.0", "Eclipse Public License v2.0", "Eclipse Public License - v 2.0", "EPL-2.0"),
     "CC0-1.0": ("CC0 1.0", "CC0-1.0", "CC0 1.0 Universal", "Creative Commons Zero v1.0"),
 }
 
@@ -187,6 +193,7 @@ _LINES = {
     "GPL-2.0": ("This work is licensed under the GNU General Public License, version 2.", "version 2 of the GNU General Public License"),
     "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.",),
     "CC-BY-4.0": ("Licensed under CC BY 4.0.",),
+    "EPL-2.0": ("Eclipse Public License - v 2.0",),
 }
 
 TEMPLATES: dict[str, tuple[str, ...]] = {
@@ -198,3 +205,10 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     )
     for name in dict.fromkeys([*_LINES, *_PASSAGES, *_NAMES])
 }
+
+
+def whole_texts() -> dict[str, str]:
+    """The whole texts of long licenses, by name."""
+    folder = files(__package__).joinpath("whole_licenses")
+    found = sorted(folder.iterdir(), key=lambda file: file.name)
+    return {file.name.removesuffix(".txt"): file.read_text("utf-8") for file in found}
