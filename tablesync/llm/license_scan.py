@@ -1,27 +1,29 @@
 """License scans: MinHash bands over overlapping text windows, verified by shingle containment.
 
-Texts and templates are tokens (letters and digits of words, without case). A template of
-fewer than `PASSAGE` tokens is a one-line notice, whose every word may name another license, so
-it must be found word for word. Longer ones are passages, of shingles of `SHINGLE` tokens: from
-that length on, a share `CONTAINED` of them bears one changed word. For each passage length there are windows of that many tokens (rounded up by at most a
-half) at every place of every text. A band is one hash function: window and template collide
-if their least values under it agree. A window that holds a share `CONTAINED` of a template's
-shingles has at least a known Jaccard similarity j with it, so the number of bands is set to
-the least for which 1 - (1 - j) ** bands is `FOUND`. A collision is only a candidate; it
-counts if the window truly holds that share of the template's shingles.
+Texts and templates are tokens (letters and digits of words, without case). Shingles are
+`SHINGLE` tokens, or a whole template of fewer. A template of fewer than `PASSAGE` tokens is a
+one-line notice, whose every word may name another license, so all of its shingles must be found,
+in a window of as many tokens. Longer ones are passages, of which a share `CONTAINED` is enough:
+from that length on, it bears one changed word; their windows have the template's length, rounded
+up by at most a half. Windows stand at every place of every text. A band is one hash function:
+window and template collide if their least values under it agree. A window that holds what is
+demanded of a template has at least a known Jaccard similarity j with it, so each template has the
+least number of bands for which 1 - (1 - j) ** bands is `FOUND`; a notice needs one. A
+collision is only a candidate; it counts if the window truly holds those shingles.
 
 Whole license texts are cut into pieces of `PIECE` words that overlap by half, each a passage
 like the others, so any `PIECE` + `PIECE` / 2 words in a row of a license hold a whole piece and
 are found wherever they come from. A piece that several licenses share, or nearly, counts for the
 one named first, unless the others' piece holds more of the text.
 
-Templates are the query side and are broadcast, in blocks of `BLOCK` templates each, one after
-the other against all texts; texts aren't shuffled. Each document returns its best window per
-template, and of templates whose windows overlap the one of which most tokens are found, so
-near variants of one license give one row.
+Templates are the query side: a list that the caller holds, broadcast whole; one of more than
+`TEMPLATE_BYTES` of text is refused. Texts aren't shuffled. Each document returns its best window per
+passage and all of its notices; of those that overlap, the one of which most tokens are found
+stays, so near variants of one license give one row.
 
 Null and empty texts hold no template. Templates without a token are refused. The templates are
-those of `license_texts`; a license that they don't word isn't found. Repeated rows and ids are each scanned; a pair of id and license is returned once.
+those of `license_texts`; a license that they don't word isn't found. Ids may be of any type that
+can be grouped. Repeated rows and ids are each scanned; a pair of id and license is returned once.
 Other columns are ignored.
 """
 
@@ -46,9 +48,10 @@ CONTAINED = 0.8
 PIECE = 90
 #: Chance that a window which holds a template becomes a candidate, at least.
 FOUND = 0.999
-#: Templates of one pass over the texts; all that are given here fit in one, so that overlaps are settled between them.
-BLOCK = 4000
-SCHEMA = "doc_id long, license string, containment double, first_word long, last_word long"
+#: Bytes of all templates' text, at most.
+TEMPLATE_BYTES = 64 << 20
+#: Places of a text that are looked at together.
+PLACES = 2048
 
 
 def _shingles(tokens: np.ndarray, size: int = SHINGLE) -> np.ndarray:
@@ -67,130 +70,168 @@ def _among(values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return at[np.isin(values[at], wanted)]
 
 
+def _hashed(shingles: np.ndarray, band: int) -> np.ndarray:
+    product = shingles * (mixed(np.array([band + 1], np.uint64)) | np.uint64(1))
+    return product ^ (product >> np.uint64(32))
+
+
 @dataclass(frozen=True)
 class _Template:
+    """`width`: shingles of a window; `needed`: those of the template that it must hold."""
+
     license: str
-    shingles: np.ndarray  # sorted, distinct; none of a notice
+    shingles: np.ndarray  # sorted, distinct
+    width: int
+    needed: int
+    bands: int
+    is_notice: bool
+
+    @classmethod
+    def of(cls, license: str, tokens: np.ndarray) -> tuple[int, _Template]:
+        """The template and the size of its shingles."""
+        size = min(SHINGLE, len(tokens))
+        own = np.unique(_shingles(tokens, size))
+        is_notice, length, needed = len(tokens) < PASSAGE, len(tokens), len(own)
+        if not is_notice:
+            length, needed = SHINGLE, ceil(CONTAINED * len(own))
+            while length < len(tokens):
+                length = length + length // 2
+        width = length - size + 1
+        similar = needed / (width + len(own) - needed)
+        bands = ceil(log(1 - FOUND) / log(1 - similar)) if similar < 1 else 1
+        return size, cls(license, own, width, needed, bands, is_notice)
 
 
 @dataclass(frozen=True)
-class Scanner:
-    """Templates by window length, each with the least value of its shingles under each band's hash."""
+class _Group:
+    """The templates whose shingles have one size, and all these shingles, one template's after another's."""
 
+    size: int
+    numbers: list[int]  # of the templates among all
     templates: list[_Template]
-    bands: int
-    factors: np.ndarray
-    by_length: dict[int, list[int]]
-    notices: dict[int, tuple[np.ndarray, np.ndarray]]  # by tokens: sorted hashes of all of them, templates
-    all_shingles: np.ndarray
+    flat: np.ndarray
+    starts: np.ndarray
+    distinct: np.ndarray
 
     @classmethod
-    def of(cls, named: list[tuple[str, str]]) -> Scanner:
-        templates, by_length, notices, least = [], {}, {}, 1.0
-        for name, text in named:
-            tokens, _, _ = tokens_of(pa.array([text]), {})
-            if not len(tokens):
-                raise ValueError(f"a template of {name} has no token")
-            if len(tokens) < PASSAGE:
-                templates.append(_Template(name, np.zeros(0, np.uint64)))
-                notices.setdefault(len(tokens), {})[_shingles(tokens, len(tokens))[0]] = len(templates) - 1
-                continue
-            own = np.unique(_shingles(tokens))
-            length = SHINGLE
-            while length < len(tokens):
-                length = length + length // 2
-            templates.append(_Template(name, own))
-            by_length.setdefault(length, []).append(len(templates) - 1)
-            held = ceil(CONTAINED * len(own))
-            least = min(least, held / (length - SHINGLE + 1 + len(own) - held))
-        bands = max(1, ceil(log(1 - FOUND) / log(1 - least))) if least < 1 else 1
-        factors = mixed(np.arange(1, bands + 1, dtype=np.uint64)) | np.uint64(1)
-        lines = {n: tuple(map(np.array, zip(*sorted(of.items())))) for n, of in notices.items()}
-        known = np.unique(np.concatenate([t.shingles for t in templates]))
-        return cls(templates, bands, factors, by_length, lines, known)
-
-    def _hashed(self, shingles: np.ndarray, band: int) -> np.ndarray:
-        product = shingles * self.factors[band]
-        return product ^ (product >> np.uint64(32))
-
-    def candidates(self, shingles: np.ndarray, places: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
-        """(template, window's shingles, places) that collide in a band; `places`: where known shingles are.
+    def of(cls, size: int, numbered: list[tuple[int, _Template]]) -> _Group:
+        numbers, templates = map(list, zip(*numbered))
+        flat = np.concatenate([t.shingles for t in templates])
+        starts = np.cumsum([0] + [len(t.shingles) for t in templates[:-1]])
+        return cls(size, numbers, templates, flat, starts, np.unique(flat))
+
+    def candidates(self, shingles: np.ndarray, places: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """(template, places of windows) that collide in a band; `places`: where known shingles are.
 
         Windows with too few places of the template's shingles, repeats counted, are left out."""
         order = np.argsort(shingles[places], kind="stable")
         known, at = shingles[places][order], places[order]
-        for length, members in self.by_length.items():
-            width = length - SHINGLE + 1
-            for t in members:
-                own = self.templates[t].shingles
-                first, end = np.searchsorted(known, own), np.searchsorted(known, own, "right")
-                needed = ceil(CONTAINED * len(own))
-                if (end - first).sum() < needed:
-                    continue
-                held = np.sort(np.concatenate([at[a:b] for a, b in zip(first.tolist(), end.tolist())]))
-                found = []
-                for band in range(self.bands):
-                    own = self._hashed(self.templates[t].shingles, band)
-                    least = int(own.argmin())
-                    # a window can only have this least value around a place of the shingle that gives it
-                    near = at[first[least] : end[least]]
-                    near = near[np.searchsorted(held, near + width) - np.searchsorted(held, near - width + 1) >= needed]
-                    for place in near.tolist():
-                        low = max(0, place - width + 1)
-                        around = self._hashed(shingles[low : place + width], band)
-                        # a window may run over the end of all texts, not over its own text's in what is verified
-                        padded = np.concatenate((around, np.full(place + width - low - len(around), np.iinfo(np.uint64).max)))
-                        found.append(low + np.flatnonzero(sliding_least(padded, width) == own.min()))
-                if found:
-                    windows = np.unique(np.concatenate(found))
-                    enough = np.searchsorted(held, windows + width) - np.searchsorted(held, windows) >= needed
-                    yield t, width, windows[enough]
-
-    def lines(self, tokens: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, float, int, int, int]]:
-        """(text, template, containment, tokens found, first token, last token) of all notices."""
-        text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-        total = np.zeros(len(tokens), np.uint64)
-        for size in range(1, min(PASSAGE, len(tokens) + 1)):
-            total = total[: len(tokens) - size + 1] * np.uint64(0x9E3779B97F4A7C15) + tokens[size - 1 :]
-            if size not in self.notices:
-                continue
-            hashes, templates = self.notices[size]
-            runs = mixed(total)
-            at = _among(runs, hashes)
-            at = at[at + size <= bounds[1:][text[at]]]
-            for place, t in zip(at.tolist(), templates[np.searchsorted(hashes, runs[at])].tolist()):
-                yield int(text[place]), t, 1.0, size, place, place + size - 1
+        first, end = np.searchsorted(known, self.flat), np.searchsorted(known, self.flat, "right")
+        there = np.add.reduceat((end > first).astype(np.int64), self.starts)
+        for t in np.flatnonzero(there >= [t.needed for t in self.templates]).tolist():
+            template, begin = self.templates[t], self.starts[t]
+            width = template.width
+            low, high = first[begin:][: len(template.shingles)], end[begin:][: len(template.shingles)]
+            held = np.sort(np.concatenate([at[a:b] for a, b in zip(low.tolist(), high.tolist())]))
+            found = [np.zeros(0, np.int64)]
+            for band in range(template.bands):
+                own = _hashed(template.shingles, band)
+                least = int(own.argmin())
+                # a window can only have this least value around a place of the shingle that gives it
+                near = at[low[least] : high[least]]
+                many = np.searchsorted(held, near + width) - np.searchsorted(held, near - width + 1)
+                near = near[many >= template.needed]
+                for start in range(0, len(near), PLACES):
+                    grid = near[start : start + PLACES] + np.arange(1 - width, width)[:, None]
+                    # a window may run over the end of all texts, not over its own text's in what is verified
+                    inside = (grid >= 0) & (grid < len(shingles))
+                    values = _hashed(shingles[np.where(inside, grid, 0)], band)
+                    values[~inside] = np.iinfo(np.uint64).max
+                    collide = (sliding_least(values, width) == own[least]) & inside[:width]
+                    found.append(grid[:width][collide])
+            windows = np.unique(np.concatenate(found))
+            many = np.searchsorted(held, windows + width) - np.searchsorted(held, windows)
+            yield t, windows[many >= template.needed]
+
+
+class _Texts:
+    """Shingles of one size of all texts: whose they are, and which are known."""
+
+    def __init__(self, tokens: np.ndarray, bounds: np.ndarray, group: _Group):
+        self.shingles = _shingles(tokens, group.size)
+        self.text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[: len(self.shingles)]
+        self.last = bounds[1:][self.text] - group.size  # the last whole shingle of the place's text
+        at = _among(self.shingles, group.distinct)
+        self.places = at[at <= self.last[at]]
+        self.known = np.zeros(len(self.shingles), bool)
+        self.known[self.places] = True
+
+    def notices(self, template: _Template, windows: np.ndarray) -> np.ndarray:
+        """The windows that hold every shingle of a notice."""
+        windows = windows[windows + template.width - 1 <= self.last[windows]]
+        held = np.ones(len(windows), bool)
+        grid = self.shingles[windows + np.arange(template.width)[:, None]]
+        for shingle in template.shingles:
+            held &= (grid == shingle).any(axis=0)
+        return windows[held]
+
+    def passages(self, template: _Template, windows: np.ndarray, size: int) -> dict[int, tuple]:
+        """The best window of each text: (containment, tokens found, first token, last token)."""
+        best: dict[int, tuple] = {}
+        own = template.shingles
+        for place in windows[windows <= self.last[windows]].tolist():
+            stop = min(place + template.width, int(self.last[place]) + 1)
+            inside = np.flatnonzero(self.known[place:stop]) + place
+            inside = inside[np.isin(self.shingles[inside], own)]
+            n = len(np.unique(self.shingles[inside]))
+            if n >= template.needed:
+                hit = (n / len(own), n + size - 1, int(inside[0]), int(inside[-1]) + size - 1)
+                doc = int(self.text[place])
+                if doc not in best or (hit[0], -hit[2]) > (best[doc][0], -best[doc][2]):
+                    best[doc] = hit
+        return best
+
+
+@dataclass(frozen=True)
+class Scanner:
+    """All templates, by the size of their shingles."""
+
+    names: list[str]
+    groups: list[_Group]
+
+    @classmethod
+    def of(cls, named: list[tuple[str, str]]) -> Scanner:
+        sized: dict[int, list[tuple[int, _Template]]] = {}
+        for number, (name, text) in enumerate(named):
+            tokens, _, _ = tokens_of(pa.array([text]), {})
+            if not len(tokens):
+                raise ValueError(f"a template of {name} has no token")
+            size, template = _Template.of(name, tokens)
+            sized.setdefault(size, []).append((number, template))
+        return cls([name for name, _ in named], [_Group.of(size, of) for size, of in sized.items()])
 
     def hits(self, tokens: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, float, int, int]]:
-        """(text, template, containment, first token, last token)."""
-        text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-        shingles = _shingles(tokens)
-        text = text[: len(shingles)]
-        last = bounds[1:][text] - SHINGLE  # the last whole shingle of the place's text
-        at = _among(shingles, self.all_shingles)
-        at = at[at <= last[at]]
-        known = np.zeros(len(shingles), bool)
-        known[at] = True
-        best: dict[tuple[int, int], tuple] = {}
-        for t, width, places in self.candidates(shingles, at):
-            own = self.templates[t].shingles
-            for place in places[places <= last[places]].tolist() if len(places) else []:
-                stop = min(place + width, int(last[place]) + 1)
-                inside = np.flatnonzero(known[place:stop]) + place
-                inside = inside[np.isin(shingles[inside], own)]
-                share = len(np.unique(shingles[inside])) / len(own)
-                if share >= CONTAINED:
-                    key = (int(text[place]), t)
-                    hit = (share, round(share * len(own)) + SHINGLE - 1, int(inside[0]), int(inside[-1]) + SHINGLE - 1)
-                    if key not in best or (hit[0], -hit[2]) > (best[key][0], -best[key][2]):
-                        best[key] = hit
-        found = [(doc, t, *hit) for (doc, t), hit in best.items()] + list(self.lines(tokens, bounds))
-        kept: dict[int, list[tuple]] = {}
-        for doc, t, share, _, first, end in sorted(found, key=lambda x: (x[0], -x[3], -x[2], x[4], x[1])):
-            rows = kept.setdefault(doc, [])
-            if all(end < a or b < first for _, _, _, a, b in rows):
-                rows.append((doc, t, share, first, end))
-        return [row for rows in kept.values() for row in rows]
+        """(text, template, containment, first token, last token); none overlap."""
+        found = []
+        for group in self.groups:
+            texts = _Texts(tokens, bounds, group)
+            if not len(texts.places):
+                continue
+            for t, windows in group.candidates(texts.shingles, texts.places):
+                template, number = group.templates[t], group.numbers[t]
+                if template.is_notice:
+                    size = template.width + group.size - 1
+                    for place in texts.notices(template, windows).tolist():
+                        found.append((size, 1.0, int(texts.text[place]), place, place + size - 1, number))
+                else:
+                    for doc, (share, n, first, end) in texts.passages(template, windows, group.size).items():
+                        found.append((n, share, doc, first, end, number))
+        taken, kept = np.zeros(len(tokens), bool), []
+        for _, share, doc, first, end, number in sorted(found, key=lambda x: (x[2], -x[0], -x[1], x[3], x[5])):
+            if not taken[first : end + 1].any():
+                taken[first : end + 1] = True
+                kept.append((doc, number, share, first, end))
+        return kept
 
 
 def _scan(scanner):
@@ -199,15 +240,16 @@ def _scan(scanner):
         for batch in batches:
             for part in slices(batch):
                 tokens, bounds, word = tokens_of(part.column("text"), known)
-                ids = part.column("doc_id")
-                rows = [
-                    (ids[doc].as_py(), scanner.value.templates[t].license, share, int(word[first]), int(word[end]))
-                    for doc, t, share, first, end in scanner.value.hits(tokens, bounds)
+                hits = scanner.value.hits(tokens, bounds)
+                docs, numbers, shares, first, end = map(list, zip(*hits)) if hits else ([],) * 5
+                columns = [
+                    part.column("doc_id").take(pa.array(docs, pa.int64())),
+                    pa.array([scanner.value.names[n] for n in numbers], pa.string()),
+                    pa.array(shares, pa.float64()),
+                    pa.array(word[np.array(first, np.int64)], pa.int64()),
+                    pa.array(word[np.array(end, np.int64)], pa.int64()),
                 ]
-                columns = list(zip(*rows)) or [[]] * 5
-                kinds = [pa.int64(), pa.string(), pa.float64(), pa.int64(), pa.int64()]
-                names = ["doc_id", "license", "containment", "first_word", "last_word"]
-                yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+                yield pa.record_batch(columns, ["doc_id", "license", "containment", "first_word", "last_word"])
 
     return run
 
@@ -231,12 +273,14 @@ def licenses(
     named += [(name, piece) for name, text in (whole_texts() if whole is None else whole).items() for piece in pieces(text)]
     if not named:
         raise ValueError("there must be a template")
-    context = docs.sparkSession.sparkContext
-    found = None
-    for start in range(0, len(named), BLOCK):
-        scanner = context.broadcast(Scanner.of(named[start : start + BLOCK]))
-        rows = docs.select("doc_id", "text").mapInArrow(_scan(scanner), SCHEMA)
-        found = rows if found is None else found.union(rows)
+    size = sum(len(text.encode()) for _, text in named)
+    if size > TEMPLATE_BYTES:
+        raise ValueError(f"templates of {size} bytes; at most {TEMPLATE_BYTES} can be broadcast")
+    scanner = docs.sparkSession.sparkContext.broadcast(Scanner.of(named))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    found = docs.select("doc_id", "text").mapInArrow(
+        _scan(scanner), f"doc_id {kind}, license string, containment double, first_word long, last_word long"
+    )
     best = F.max(F.struct("containment", (-F.col("first_word")).alias("before"), "last_word"))
     return found.groupBy("doc_id", "license").agg(best.alias("best")).select(
         "doc_id",
