@@ -260,6 +260,48 @@ def test_licenses_in_usual_words(texts):
         assert sorted(r.license for r in got if r.doc_id == i) == want, i
 
 
+def plain_notices(rows, named):
+    """Windows of a template's length that hold all of its shingles; the longest win, then the first."""
+    out = set()
+    for doc_id, text in rows:
+        words, found = text.split(), []
+        for number, (_, template) in enumerate(named):
+            own = template.split()
+            size = min(license_scan.SHINGLE, len(own))
+            shingles = lambda w: {tuple(w[i : i + size]) for i in range(len(w) - size + 1)}
+            for i in range(len(words) - len(own) + 1):
+                if shingles(own) <= shingles(words[i : i + len(own)]):
+                    found.append((-len(own), i, number, i + len(own) - 1))
+        taken = set()
+        for _, first, number, last in sorted(found):
+            if not taken & set(range(first, last + 1)):
+                taken |= set(range(first, last + 1))
+                out.add((doc_id, named[number][0]))
+    return out
+
+
+@pytest.mark.parametrize("others", [0, 4500])
+def test_notices_against_plain_ones(spark, others):
+    """Also among thousands of other templates, first or last in the list."""
+    dice = random.Random(5)
+    some = lambda n: " ".join(f"v{dice.randrange(7)}" for _ in range(n))
+    named = [(f"L{i}", some(n)) for i, n in enumerate([1, 2, 3, 4, 5, 6, 8, 12, 16] * 3)]
+    rows = [(f"d{i}", some(dice.choice([0, 1, 2, 5, 20, 60])) + f" {dice.choice(named)[1]} " + some(4)) for i in range(120)]
+    rest = {f"other {i}": (f"nothing {i} of this kind",) for i in range(others)}
+    ours = {name: (template,) for name, template in named}
+    templates = dict([*ours.items()][:20]) | rest | dict([*ours.items()][20:])
+    docs = spark.createDataFrame(rows * 2, "doc_id string, text string").repartition(3)
+    got = license_scan.licenses(docs, templates, whole={}).collect()
+    assert {(r.doc_id, r.license) for r in got} == plain_notices(rows, named)
+    assert len(got) == len({(r.doc_id, r.license) for r in got})
+
+
+def test_templates_beyond_the_bound_are_refused(texts, monkeypatch):
+    monkeypatch.setattr(license_scan, "TEMPLATE_BYTES", 10)
+    with pytest.raises(ValueError, match="broadcast"):
+        license_scan.licenses(texts(ODD), {"A": ("some words of a license",)}, whole={})
+
+
 def plain_pieces(words, whole):
     """License pieces of which a stretch of as many words holds 0.8 of the 3-word shingles, by a full comparison."""
     tokens = [re.sub(r"[\W_]+", "", w).lower() for w in words]
