@@ -1,7 +1,8 @@
 """Quality classifier: supervised subword embeddings.
 
 A word's features are hashed: itself, its character n-grams, and, if it repeats the word
-before it, the pair's shape. Each hash has a learned vector; a document is the mean of the
+before it, one more token, `<again>`, counted `AGAIN` times (a vector of its own is learned for it;
+an average of words can't tell repetition otherwise). Each hash has a learned vector; a document is the mean of the
 vectors of all its words' features, and a softmax over it gives the probability of each label.
 Vectors and output are trained by stochastic gradient descent in numpy on the driver, over at
 most `sample` labelled documents (those with the least hashes of their ids), whose features,
@@ -37,6 +38,9 @@ SAMPLE = 4000
 #: Score from which label 1 is predicted.
 THRESHOLD = 0.7
 
+#: How often a repeated word counts the token that stands for repetition.
+AGAIN = 8
+
 _MASK = (1 << BUCKET_BITS) - 1
 _AGAIN = crc32(b"<again>") & _MASK
 
@@ -75,7 +79,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             buckets, counts = [], []
             for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
                 of_words = [found[i] for i in at[a:b].tolist()]
-                repeated = np.full(int(again[a:b].sum()) * 8, _AGAIN)
+                repeated = np.full(int(again[a:b].sum()) * AGAIN, _AGAIN)
                 one, n = np.unique(np.concatenate([*of_words, repeated]).astype(np.int32), return_counts=True)
                 buckets.append(one)
                 counts.append(n.astype(np.int32))
@@ -153,7 +157,7 @@ def _scores(model):
                 words, bounds = split_words(part.column("text"))
                 distinct, at = distinct_words(words)
                 numbers = np.array(known_values(distinct, known, value), np.float64).reshape(-1, 2)
-                again = _again(at, bounds) * 8.0
+                again = _again(at, bounds) * float(AGAIN)
                 total = np.concatenate(([0.0], np.cumsum(numbers[at, 0] + again * weights[_AGAIN])))
                 n = np.concatenate(([0.0], np.cumsum(numbers[at, 1] + again)))
                 mean = np.diff(total[bounds]) / np.maximum(np.diff(n[bounds]), 1)
